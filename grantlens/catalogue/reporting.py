@@ -1 +1,309 @@
-"""Registered queries."""
+"""Reports, files that are written and read back, generated rows, file audits."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from grantlens.catalogue.cleaning import RAW, _NAMES, raw_tables
+from grantlens.catalogue.questions import PERIODS
+from grantlens.catalogue.registry import query
+from grantlens.functions.draws import uniform
+from grantlens.plans import analysis, reports
+from grantlens.schemas import RAW as RAW_SCHEMAS
+from grantlens.session import shared_folder
+from grantlens.sources import delimited, integrity, synthetic, warehouse
+from grantlens.sources.paths import listing
+
+
+def _fresh_folder(t, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _answers(t, *names: str) -> dict:
+    built = {name: analysis.QUESTIONS[name] for name in names}
+    return {name: question(t.star) for name, question in built.items()}
+
+
+TOP_COMPANIES = """
+top_companies AS (
+  SELECT c.company_id, c.name AS company_name, COUNT(DISTINCT r.patent_id) AS patent_count
+  FROM companies c JOIN patent_relationships r ON r.company_id = c.company_id
+  GROUP BY c.company_id, c.name ORDER BY patent_count DESC, company_name, c.company_id LIMIT 20)"""
+
+TOP_INVENTORS = """
+top_inventors AS (
+  SELECT i.inventor_id, i.name AS inventor_name, i.country, COUNT(DISTINCT r.patent_id) AS patent_count
+  FROM inventors i JOIN patent_relationships r ON r.inventor_id = i.inventor_id
+  GROUP BY i.inventor_id, i.name, i.country
+  ORDER BY patent_count DESC, inventor_name, i.inventor_id LIMIT 20)"""
+
+TOP_COUNTRIES = """
+country_counts AS (
+  SELECT i.country, COUNT(DISTINCT r.patent_id) AS patent_count
+  FROM inventors i JOIN patent_relationships r ON r.inventor_id = i.inventor_id
+  WHERE i.country IS NOT NULL AND i.country <> '' GROUP BY i.country),
+top_countries AS (
+  SELECT country, patent_count, floor(CAST(patent_count AS DOUBLE)
+           / (SELECT SUM(patent_count) FROM country_counts) * 10000.0 + 0.5) / 10000.0 AS share
+  FROM country_counts ORDER BY patent_count DESC, country LIMIT 15)"""
+
+
+# -- report files -------------------------------------------------------------------------
+
+
+@query("csv_report_roundtrip", "SELECT * FROM top_companies", TOP_COMPANIES)
+def _(t):
+    folder = _fresh_folder(t, "csv-report")
+    top = _answers(t, "top_companies")["top_companies"]
+    delimited.write_csv(reports.head(top, "top_companies", 20), folder, files=1)
+    return t.spark.read.schema(top.schema).option("header", "true").csv(folder)
+
+
+@query("json_report")
+def _(t):
+    answers = analysis.answer_all(t.star)
+    answers["period_comparison"] = analysis.period_comparison(t.star, PERIODS)
+    return reports.json_report(answers).select(F.to_json(F.struct("*")).alias("report"))
+
+
+@query(
+    "json_report_rows",
+    """
+SELECT row_number() OVER (ORDER BY patent_count DESC, company_name, company_id) AS position,
+       company_name AS name, patent_count AS patents FROM top_companies""",
+    TOP_COMPANIES,
+)
+def _(t):
+    folder = _fresh_folder(t, "json-report")
+    reports.write_json_report(analysis.answer_all(t.star), folder)
+    return reports.read_json_report(t.spark, folder, "top_companies")
+
+
+@query(
+    "slim_records",
+    "SELECT inventor_name AS name, country, patent_count AS patents FROM top_inventors",
+    TOP_INVENTORS,
+)
+def _(t):
+    return reports.slim_records(_answers(t, "top_inventors"), "top_inventors")
+
+
+@query(
+    "percent_labels",
+    """
+SELECT *, CAST(round_even(share * 1000.0, 0) / 10.0 AS VARCHAR) || ' %' AS share_pct
+FROM top_countries""",
+    TOP_COUNTRIES,
+)
+def _(t):
+    return reports.with_percent(analysis.country_share(t.star), "share", "share_pct")
+
+
+def _line(view: str, order: str, text: str) -> str:
+    return f"""
+(SELECT string_agg(n || '. ' || entry, ' ' ORDER BY n) FROM (
+   SELECT ROW_NUMBER() OVER (ORDER BY {order}) AS n, {text} AS entry FROM {view}) WHERE n <= 5)"""
+
+
+@query(
+    "top5_lines",
+    "SELECT 'Top Inventors' AS title,"
+    + _line("top_inventors", "patent_count DESC, inventor_name, inventor_id",
+            "inventor_name || ' - ' || patent_count")
+    + " AS line\nUNION ALL SELECT 'Top Companies',"
+    + _line("top_companies", "patent_count DESC, company_name, company_id",
+            "company_name || ' - ' || format('{:,}', patent_count)")
+    + "\nUNION ALL SELECT 'Top Countries',"
+    + _line("top_countries", "patent_count DESC, country", "country"),
+    TOP_INVENTORS + "," + TOP_COMPANIES + "," + TOP_COUNTRIES,
+)
+def _(t):
+    return reports.summary_lines(_answers(t, "top_inventors", "top_companies", "country_share"))
+
+
+# -- tables on disk -----------------------------------------------------------------------
+
+
+@query(
+    "tsv_scan_roundtrip",
+    """
+SELECT patent_id, NULLIF(patent_date, '') AS patent_date, patent_title,
+       patent_abstract, CAST(NULL AS VARCHAR) AS wipo_kind
+FROM raw_patents""",
+    f"raw_patents AS ({RAW['patents'].format(**{n: n for n in _NAMES})})",
+)
+def _(t):
+    folder = _fresh_folder(t, "tsv")
+    delimited.write_tsv(raw_tables(t)["patents"], folder)
+    back = delimited.scan(t.spark, folder, RAW_SCHEMAS["patents"])
+    return back.select("patent_id", "patent_date", "patent_title", "patent_abstract", "wipo_kind")
+
+
+@query(
+    "warehouse_roundtrip",
+    """
+SELECT p.year, CAST(r.patent_id AS VARCHAR) AS patent_id,
+       CAST(r.inventor_id AS VARCHAR) AS inventor_id, CAST(r.company_id AS VARCHAR) AS company_id
+FROM patent_relationships r JOIN patents p ON p.patent_id = r.patent_id WHERE p.year >= 1999""",
+)
+def _(t):
+    folder = _fresh_folder(t, "warehouse")
+    warehouse.write_star(t.star, folder)
+    stored = warehouse.read_star(t.spark, folder)
+    return stored.activity.filter(F.col("year") >= 1999)
+
+
+@query(
+    "written_row_counts",
+    """
+SELECT 'patents' AS table_name, COUNT(*) AS rows FROM patents
+UNION ALL SELECT 'inventors', COUNT(*) FROM inventors
+UNION ALL SELECT 'companies', COUNT(*) FROM companies
+UNION ALL SELECT 'links', COUNT(*) FROM patent_relationships
+UNION ALL SELECT 'cpc', COUNT(*) FROM patent_cpc
+UNION ALL SELECT 'dated_links', COUNT(*) FROM patent_relationships
+UNION ALL SELECT 'dated_cpc', COUNT(*) FROM patent_cpc""",
+)
+def _(t):
+    counts = warehouse.write_star(t.star, _fresh_folder(t, "warehouse"))
+    return t.spark.createDataFrame(list(counts.items()), "table_name string, rows long")
+
+
+# -- generated rows -----------------------------------------------------------------------
+
+
+def _uniform_sql(key: str, salt: str) -> str:
+    return f"(CAST('0x' || substr(md5({key} || ':{salt}'), 1, 8) AS BIGINT) / 4294967296.0)"
+
+
+def _pick_sql(u: str, weighted) -> str:
+    total, cases = 0.0, []
+    for value, weight in weighted[:-1]:
+        total = round(total + weight, 10)
+        quoted = f"'{value}'" if isinstance(value, str) else value
+        cases.append(f"WHEN {u} < {total} THEN {quoted}")
+    last = weighted[-1][0]
+    quoted = f"'{last}'" if isinstance(last, str) else last
+    return f"CASE {' '.join(cases)} ELSE {quoted} END"
+
+
+START, END = date(1995, 1, 1), date(2001, 12, 31)
+_DAYS = (END - START).days
+_MODE = _DAYS * synthetic.MODE_OF_DATES
+_U, _D = _uniform_sql("o_orderkey", "date"), _uniform_sql("o_orderkey", "dirt")
+
+
+@query(
+    "synthetic_patents",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS patent_id,
+       CASE WHEN {_D} < 0.005 THEN '' ELSE CAST(DATE '1995-01-01' + CAST(floor(
+         CASE WHEN {_U} < {_MODE / _DAYS} THEN 0.0 + sqrt({_U} * {_DAYS * _MODE})
+              ELSE {float(_DAYS)} - sqrt((1.0 - {_U}) * {_DAYS * (_DAYS - _MODE)}) END) AS INTEGER)
+         AS VARCHAR) END AS patent_date,
+       CASE WHEN {_D} >= 0.005 AND {_D} < 0.010 THEN '   Trimmed    method ' || o_orderkey || '   '
+            ELSE 'Method ' || o_orderkey END AS patent_title,
+       CASE WHEN {_D} >= 0.010 AND {_D} < 0.015 THEN ''
+            ELSE 'Apparatus for method ' || o_orderkey || '.' END AS patent_abstract
+FROM orders""",
+)
+def _(t):
+    return synthetic.patent_rows(t["orders"].select("o_orderkey"), START, END)
+
+
+_STEP = "o_orderkey || '/' || s"
+
+
+@query(
+    "synthetic_inventors",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS inventor_sequence,
+       CASE WHEN {_uniform_sql(_STEP, 'dirt')} < 0.002 THEN '' ELSE 'inv-' || person END AS inventor_id,
+       'First' || person AS disambig_inventor_name_first,
+       'Last' || person AS disambig_inventor_name_last, 'loc-' || place AS location_id
+FROM (SELECT o_orderkey, s, CAST(floor({_uniform_sql(_STEP, 'person')} * 6000) AS INTEGER) AS person,
+             CAST(floor({_uniform_sql(_STEP, 'place')} * 600) AS INTEGER) AS place
+      FROM orders CROSS JOIN generate_series(1, 5) AS g(s)
+      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'inventors'), synthetic.INVENTORS_PER_PATENT)})""",
+)
+def _(t):
+    return synthetic.inventor_rows(t["orders"].select("o_orderkey"), 6_000, 600)
+
+
+@query(
+    "synthetic_assignees",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS assignee_sequence,
+       'org-' || company AS assignee_id,
+       CAST(NULL AS VARCHAR) AS disambig_assignee_individual_name_first,
+       CAST(NULL AS VARCHAR) AS disambig_assignee_individual_name_last,
+       'Company ' || company AS disambig_assignee_organization
+FROM (SELECT o_orderkey, s, CAST(floor({_uniform_sql(_STEP, 'company')} * 60) AS INTEGER) AS company
+      FROM orders CROSS JOIN generate_series(1, 2) AS g(s)
+      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'assignees'), synthetic.ASSIGNEES_PER_PATENT)})""",
+)
+def _(t):
+    return synthetic.assignee_rows(t["orders"].select("o_orderkey"), 60)
+
+
+@query(
+    "synthetic_classes",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS cpc_sequence,
+       section AS cpc_section, section || number AS cpc_class,
+       section || number || letter AS cpc_subclass
+FROM (SELECT o_orderkey, s,
+        substr('{synthetic.SECTIONS}',
+               CAST(floor({_uniform_sql(_STEP, 'section')} * 9) AS INTEGER) + 1, 1) AS section,
+        lpad(CAST(CAST(floor({_uniform_sql(_STEP, 'class')} * 20) AS INTEGER) + 1 AS VARCHAR), 2, '0')
+          AS number,
+        substr('{synthetic.SUBCLASSES}',
+               CAST(floor({_uniform_sql(_STEP, 'subclass')} * 6) AS INTEGER) + 1, 1) AS letter
+      FROM orders CROSS JOIN generate_series(1, 3) AS g(s)
+      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'classes'), synthetic.CLASSES_PER_PATENT)})""",
+)
+def _(t):
+    return synthetic.class_rows(t["orders"].select("o_orderkey"))
+
+
+@query(
+    "synthetic_locations",
+    f"""
+SELECT 'loc-' || c_custkey AS location_id,
+       {_pick_sql(_uniform_sql('c_custkey', 'country'), synthetic.COUNTRY_WEIGHTS)} AS disambig_country
+FROM customer""",
+)
+def _(t):
+    return synthetic.location_rows(t["customer"].select("c_custkey"))
+
+
+@query("uniform_draws", f"SELECT l_orderkey, l_linenumber, {_uniform_sql('l_orderkey', 'x')} AS u FROM lineitem")
+def _(t):
+    return t["lineitem"].select(
+        "l_orderkey", "l_linenumber", uniform(F.col("l_orderkey"), "x").alias("u")
+    )
+
+
+# -- file audits --------------------------------------------------------------------------
+
+
+@query("file_integrity_audit")
+def _(t):
+    """The data folder against a manifest of itself, written and read back as a record."""
+    found = integrity.checksums(listing(t.spark, t.sf_dir, "*.parquet"))
+    record = _fresh_folder(t, "record")
+    integrity.record_loaded(found, record)
+    recorded = integrity.read_load_record(t.spark, record)
+    return integrity.audit(recorded, found)
+
+
+@query("pending_files")
+def _(t):
+    """Files of the data folder that are not yet recorded: one table was loaded before."""
+    found = integrity.checksums(listing(t.spark, t.sf_dir, "*.parquet"))
+    record = _fresh_folder(t, "record")
+    integrity.record_loaded(found.filter(F.col("path").endswith("/lineitem.parquet")), record)
+    return integrity.pending(found, integrity.read_load_record(t.spark, record))

@@ -11,6 +11,10 @@ from grantlens.sources.paths import exists
 # Texts that stand for a missing value in raw files.
 NULL_TOKENS = ("", "NULL", "null")
 
+_QUOTING = {"quote": '"', "escape": '"'}
+# Spark's writer would cut blanks at both ends of a value.
+_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def _without_null_tokens(c: str) -> Column:
     column = F.col(c)
@@ -23,13 +27,18 @@ def header_of(spark: SparkSession, path: str, separator: str = "\t") -> list[str
 
 
 def scan(
-    spark: SparkSession, path: str, schema: StructType, separator: str = "\t"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    separator: str = "\t",
+    multiline: bool = False,
 ) -> DataFrame:
     """All-text scan with a header. A malformed row stops the job.
 
     The file's own header decides which of the schema's columns are present and in
     which order; columns it lacks come back as NULL. Ids keep leading zeros
-    because no type is inferred.
+    because no type is inferred. ``multiline`` is for files with line breaks inside
+    quotes; such files cannot be split between tasks, so it is off by default.
     """
     names = header_of(spark, path, separator)
     present = StructType.fromDDL(", ".join(f"`{n}` string" for n in names))
@@ -37,8 +46,8 @@ def scan(
         spark.read.schema(present)
         .option("sep", separator)
         .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**_QUOTING)
+        .option("multiLine", multiline)
         .option("mode", "FAILFAST")
         .csv(path)
     )
@@ -79,8 +88,7 @@ def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
         out.write.mode("overwrite")
         .option("header", "true")
         .option("dateFormat", "yyyy-MM-dd")
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**_QUOTING, **_KEEP_SPACES)
         .csv(path)
     )
 
@@ -90,8 +98,7 @@ def write_tsv(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite")
         .option("header", "true")
         .option("sep", "\t")
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**_QUOTING, **_KEEP_SPACES)
         .option("emptyValue", "")
         .csv(path)
     )
