@@ -7,7 +7,6 @@ company, classifications = distinct (order, part type, brand, brand + size).
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -72,87 +71,125 @@ class Tables:
 
     @cached_property
     def star(self) -> Star:
-        """Links and classifications get the order's year from the join that makes them."""
-        orders = self["orders"].select(
-            F.col("o_orderkey").alias("patent_id"),
-            F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("company_id"),
-            F.year("o_orderdate").alias("year"),
-        )
-        # An order key is unique, so pairs made distinct before the join stay distinct after it.
-        pairs = (
-            self["lineitem"]
-            .select(F.col("l_orderkey").alias("patent_id"), F.col("l_suppkey").alias("inventor_id"))
-            .distinct()
-        )
-        dated_links = pairs.join(orders, "patent_id").select(
-            "patent_id", "inventor_id", "company_id", "year"
-        )
-        cpc = (
-            self["lineitem"]
-            .select(F.col("l_orderkey").alias("patent_id"), F.col("l_partkey").alias("p_partkey"))
-            .join(self["part"].select("p_partkey", "p_type", "p_brand", "p_size"), "p_partkey")
-            .select(
-                "patent_id",
-                F.col("p_type").alias("section"),
-                F.col("p_brand").alias("cpc_class"),
-                F.concat("p_brand", F.col("p_size").cast("string")).alias("cpc_subclass"),
-            )
-            .distinct()
-        )
-        patents = self["orders"].select(
+        return RoleStar(self)
+
+    @cached_property
+    def summaries(self) -> Summaries:
+        return Summaries(self.star)
+
+    @cached_property
+    def corpus(self) -> Star:
+        return CorpusStar(self)
+
+    @cached_property
+    def coded(self) -> Star:
+        return CodedStar(self)
+
+
+class RoleStar(Star):
+    """The star over the driver tables; each table is set up when it is first asked for."""
+
+    def __init__(self, tables: Tables):
+        object.__setattr__(self, "_tables", tables)
+
+    @cached_property
+    def patents(self) -> DataFrame:
+        return self._tables["orders"].select(
             F.col("o_orderkey").alias("patent_id"),
             F.col("o_orderpriority").alias("title"),
             F.lit(None).cast("string").alias("abstract"),
             F.to_date("o_orderdate").alias("filing_date"),
             F.year("o_orderdate").alias("year"),
         )
-        nations = self["nation"].select(
+
+    @cached_property
+    def inventors(self) -> DataFrame:
+        nations = self._tables["nation"].select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("country")
         )
-        inventors = (
-            self["supplier"]
+        return (
+            self._tables["supplier"]
             .join(nations, "s_nationkey")
             .select(
                 F.col("s_suppkey").alias("inventor_id"), F.col("s_name").alias("name"), "country"
             )
         )
-        companies = self["customer"].select(
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._tables["customer"].select(
             F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name")
         )
-        return Star(
-            patents=patents,
-            inventors=inventors,
-            companies=companies,
-            links=dated_links.select("patent_id", "inventor_id", "company_id"),
-            cpc=cpc,
-            dated_links=dated_links,
+
+    @cached_property
+    def dated_links(self) -> DataFrame:
+        """Links with the order's year, from the join that makes them; rows may repeat."""
+        orders = self._tables["orders"].select(
+            F.col("o_orderkey").alias("patent_id"),
+            F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("company_id"),
+            F.year("o_orderdate").alias("year"),
+        )
+        pairs = self._tables["lineitem"].select(
+            F.col("l_orderkey").alias("patent_id"), F.col("l_suppkey").alias("inventor_id")
+        )
+        return pairs.join(orders, "patent_id").select(
+            "patent_id", "inventor_id", "company_id", "year"
         )
 
+    @property
+    def link_rows(self) -> DataFrame:
+        return self.dated_links.select("patent_id", "inventor_id", "company_id")
+
+    @property
+    def links(self) -> DataFrame:
+        return self.link_rows.distinct()
+
     @cached_property
-    def summaries(self) -> Summaries:
-        return Summaries(self.star)
+    def class_rows(self) -> DataFrame:
+        return (
+            self._tables["lineitem"]
+            .select(F.col("l_orderkey").alias("patent_id"), F.col("l_partkey").alias("p_partkey"))
+            .join(
+                self._tables["part"].select("p_partkey", "p_type", "p_brand", "p_size"), "p_partkey"
+            )
+            .select(
+                "patent_id",
+                F.col("p_type").alias("section"),
+                F.col("p_brand").alias("cpc_class"),
+                F.concat("p_brand", F.col("p_size").cast("string")).alias("cpc_subclass"),
+            )
+        )
+
+    @property
+    def cpc(self) -> DataFrame:
+        return self.class_rows.distinct()
+
+
+class CorpusStar(RoleStar):
+    """Documents in the role of patents, for text search."""
 
     @cached_property
-    def corpus(self) -> Star:
-        """The star with documents in the role of patents, for text search."""
-        dates = self["orders"].select(
+    def patents(self) -> DataFrame:
+        dates = self._tables["orders"].select(
             F.col("o_orderkey").alias("patent_id"),
             F.to_date("o_orderdate").alias("filing_date"),
             F.year("o_orderdate").alias("year"),
         )
-        documents = self["documents"].select(
+        documents = self._tables["documents"].select(
             F.col("doc_id").alias("patent_id"),
             F.concat("source", F.lit(" "), "lang").alias("title"),
             F.col("text").alias("abstract"),
         )
-        return replace(self.star, patents=documents.join(dates, "patent_id"))
+        return documents.join(dates, "patent_id")
+
+
+class CodedStar(RoleStar):
+    """Inventors with two-character country codes (the nation's number)."""
 
     @cached_property
-    def coded(self) -> Star:
-        """The star with two-character country codes (the nation's number)."""
-        codes = self["supplier"].select(
+    def inventors(self) -> DataFrame:
+        return self._tables["supplier"].select(
             F.col("s_suppkey").alias("inventor_id"),
             F.col("s_name").alias("name"),
             F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("country"),
         )
-        return replace(self.star, inventors=codes)

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A full year-month-day, optionally followed by a time. Spark's own cast would also
-# accept a bare year or year-month, which must stay NULL.
-_FULL_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
+# Accepted forms. Spark's own cast would also accept a bare year or year-month,
+# which must stay NULL; the separators / \ and blank mean the same as a dash.
 _OTHER_SEPARATOR = r"^([0-9]{4})[/ \\]([0-9]{1,2})[/ \\]([0-9]{1,2})$"
+_NOT_A_FULL_DATE = r"^(?![0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$)[\s\S]*$"
 
 
 def safe_date(c: Column) -> Column:
-    text = F.regexp_replace(F.trim(c.cast("string")), _OTHER_SEPARATOR, "$1-$2-$3")
-    return F.when(text.rlike(_FULL_DATE), text.try_cast("date"))
+    """The date a text stands for, or NULL.
+
+    The input occurs once in the expression: it may be a long one, and it is copied
+    into every filter that is pushed below the parsed column.
+    """
+    dashed = F.regexp_replace(F.trim(c.cast("string")), _OTHER_SEPARATOR, "$1-$2-$3")
+    return F.regexp_replace(dashed, _NOT_A_FULL_DATE, "").try_cast("date")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The white-space class that is collapsed. Java's \s would add vertical tab.
-SPACE_RUN = r"[ \t\n\f\r]+"
+# The white space that is collapsed (Java's \s would add vertical tab). A single
+# blank is left out of the pattern: it would be replaced by itself in every row.
+SPACE_RUN = r"[ \t\n\f\r]{2,}|[\t\n\f\r]"
 
 
 def trimmed(c: Column) -> Column:
@@ -14,7 +15,11 @@ def trimmed(c: Column) -> Column:
 
 def collapsed(c: Column) -> Column:
     """Trim, then turn each run of white space into one blank."""
-    return F.regexp_replace(trimmed(c), SPACE_RUN, " ")
+    return spaced_once(trimmed(c))
+
+
+def spaced_once(c: Column) -> Column:
+    return F.regexp_replace(c, SPACE_RUN, " ")
 
 
 def blank_to_null(c: Column) -> Column:

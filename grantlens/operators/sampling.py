@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from grantlens.operators.ranking import top_per_group
+from grantlens.operators.shares import everything
 
 
 def proportional_quota(
@@ -12,9 +13,9 @@ def proportional_quota(
 ) -> DataFrame:
     """Rows to take per stratum: scaled so the largest stratum gets ``peak``, never below ``floor``.
 
-    Ties of the rounding go to the even number.
+    ``volumes`` has one row per stratum. Ties of the rounding go to the even number.
     """
-    largest = volumes.agg(F.max(volume)).scalar()
+    largest = F.max(volume).over(everything())
     scaled = F.rint(F.col(volume).cast("double") / largest * F.lit(float(peak)))
     return volumes.select(stratum, F.greatest(F.lit(floor), scaled.cast("int")).alias("quota"))
 

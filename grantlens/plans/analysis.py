@@ -20,12 +20,12 @@ from grantlens.operators.growing import (
     with_previous,
 )
 from grantlens.operators.ranking import top, top_per_group
-from grantlens.operators.shares import with_share
+from grantlens.operators.shares import everything, with_share
 from grantlens.star import Star
 
 
 def top_inventors(star: Star, limit: int = 20) -> DataFrame:
-    counts = entity_counts(star.links, star.inventors, "inventor_id", "patent_count")
+    counts = entity_counts(star.link_rows, star.inventors, "inventor_id", "patent_count")
     rows = counts.select(
         "inventor_id", F.col("name").alias("inventor_name"), "country", "patent_count"
     )
@@ -34,7 +34,7 @@ def top_inventors(star: Star, limit: int = 20) -> DataFrame:
 
 
 def top_companies(star: Star, limit: int = 20) -> DataFrame:
-    counts = entity_counts(star.links, star.companies, "company_id", "patent_count")
+    counts = entity_counts(star.link_rows, star.companies, "company_id", "patent_count")
     rows = counts.select("company_id", F.col("name").alias("company_name"), "patent_count")
     order = [F.desc("patent_count"), F.asc_nulls_last("company_name"), F.asc("company_id")]
     return top(rows, order, limit)
@@ -42,7 +42,7 @@ def top_companies(star: Star, limit: int = 20) -> DataFrame:
 
 def country_counts(star: Star) -> DataFrame:
     """Distinct patents per inventor country."""
-    pairs = star.links.select("patent_id", "inventor_id").join(star.located, "inventor_id")
+    pairs = star.link_rows.select("patent_id", "inventor_id").join(star.located, "inventor_id")
     return count_ids(pairs, ["country"], "patent_id", "patent_count")
 
 
@@ -89,8 +89,10 @@ def wide_join(star: Star, limit: int = 500) -> DataFrame:
 
 def reference_year(yearly: DataFrame, share_of_peak: float = 0.6):
     """Latest year whose volume reaches the given part of the peak, as a scalar subquery."""
-    peak = yearly.agg(F.max("patents")).scalar()
-    full = yearly.filter(F.col("patents") >= peak * F.lit(share_of_peak))
+    peak = F.max("patents").over(everything())
+    full = yearly.withColumn("peak", peak).filter(
+        F.col("patents") >= F.col("peak") * F.lit(share_of_peak)
+    )
     return full.agg(F.max("year")).scalar()
 
 
@@ -120,7 +122,7 @@ def top_inventors_by_country(star: Star, k: int = 3) -> DataFrame:
     Every row ahead of a kept row is kept too, so the rank may be taken after the cut.
     """
     counts = entity_counts(
-        star.links, star.inventors.filter(F.col("country").isNotNull() & (F.col("country") != "")),
+        star.link_rows, star.inventors.filter(F.col("country").isNotNull() & (F.col("country") != "")),
         "inventor_id", "patent_count",
     ).withColumnRenamed("name", "inventor_name")
     order = [F.desc("patent_count"), F.asc_nulls_last("inventor_name"), F.asc("inventor_id")]
@@ -213,19 +215,19 @@ def company_section_counts(star: Star, leaders: DataFrame, max_leaders: int) ->
 
     ``leaders`` has (company_id, company_name). Companies of one name share their rows.
     """
-    owned = star.links.select("patent_id", "company_id").join(
+    owned = star.link_rows.select("patent_id", "company_id").join(
         broadcast_if_bounded(leaders, max_leaders), "company_id"
     )
     # The leaders' inventors would multiply the pairs; drop copies before meeting the classes.
     owned = owned.select("patent_id", "company_name").distinct()
-    classes = star.cpc.filter(F.col("section").isNotNull()).select("patent_id", "section")
+    classes = star.class_rows.filter(F.col("section").isNotNull()).select("patent_id", "section")
     return count_ids(
         owned.join(classes, "patent_id"), ["company_name", "section"], "patent_id", "patents"
     )
 
 
 def company_section_matrix(star: Star, companies: int = 15) -> DataFrame:
-    counts = entity_counts(star.links, star.companies, "company_id", "n")
+    counts = entity_counts(star.link_rows, star.companies, "company_id", "n")
     leaders = top(
         counts, [F.desc("n"), F.asc_nulls_last("name"), F.asc("company_id")], companies
     ).select("company_id", F.col("name").alias("company_name"))
@@ -252,7 +254,7 @@ def totals(star: Star) -> DataFrame:
 
 
 def section_breakdown(star: Star) -> DataFrame:
-    classes = star.cpc.filter(F.col("section").isNotNull())
+    classes = star.class_rows.filter(F.col("section").isNotNull())
     counts = count_ids(classes, ["section"], "patent_id", "patent_count")
     return counts.withColumn("section_label", section_label(F.col("section"))).orderBy(
         F.desc("patent_count"), "section"

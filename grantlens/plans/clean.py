@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from grantlens.functions.dates import safe_date
@@ -11,6 +13,7 @@ from grantlens.functions.text import (
     full_name,
     key_present,
     organisation_or_person,
+    spaced_once,
     trimmed,
 )
 from grantlens.operators.ranking import first_per_key
@@ -30,15 +33,13 @@ def clean_patents(raw: DataFrame, min_year: int, max_year: int) -> DataFrame:
     parsed = raw.select(
         trimmed(F.col("patent_id")).alias("patent_id"),
         collapsed(F.col("patent_title")).alias("title"),
-        F.regexp_replace(
-            blank_to_null(trimmed(_optional(raw, "patent_abstract"))), r"[ \t\n\f\r]+", " "
-        ).alias("abstract"),
+        spaced_once(blank_to_null(trimmed(_optional(raw, "patent_abstract")))).alias("abstract"),
         date.alias("filing_date"),
         F.year(date).alias("year"),
     )
     kept = parsed.filter(
         (F.col("patent_id") != "")
-        & (F.col("year").isNull() | F.col("year").between(min_year, max_year))
+        & F.coalesce(F.col("year").between(min_year, max_year), F.lit(True))
     )
     order = [F.asc_nulls_last(c) for c in ("filing_date", "title", "abstract")]
     first = first_per_key(kept, "patent_id", order)
@@ -167,7 +168,7 @@ def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
 
 
 def clean_star(
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     min_year: int = 1976,
     max_year: int = 2025,
     prefer_named: bool = False,

@@ -113,7 +113,7 @@ def _classified_only(df: DataFrame, star: Star, f: Filters) -> DataFrame:
     """Keep patents that have a chosen classification."""
     if not f.by_class:
         return df
-    chosen = star.cpc.filter(f.class_condition()).select("patent_id")
+    chosen = star.class_rows.filter(f.class_condition()).select("patent_id")
     return df.join(chosen, "patent_id", "left_semi")
 
 
@@ -140,7 +140,7 @@ def yearly(star: Star, f: Filters) -> DataFrame:
         star.patents.filter(f.in_window()).select("patent_id", "year"), star, f
     )
     if f.countries:
-        placed = _in_countries(star.links.select("patent_id", "inventor_id"), star, f)
+        placed = _in_countries(star.link_rows.select("patent_id", "inventor_id"), star, f)
         rows = rows.join(placed.select("patent_id"), "patent_id", "left_semi")
     return rows.groupBy("year").agg(F.count(F.lit(1)).alias("patents")).orderBy("year")
 
@@ -352,7 +352,7 @@ def overview_rollup(summaries: Summaries, f: Filters) -> DataFrame:
 def _class_rows(star: Star, f: Filters) -> DataFrame:
     rows = star.classified.filter(f.in_window() & f.class_condition())
     if f.countries:
-        placed = _in_countries(star.links.select("patent_id", "inventor_id"), star, f)
+        placed = _in_countries(star.link_rows.select("patent_id", "inventor_id"), star, f)
         rows = rows.join(placed.select("patent_id"), "patent_id", "left_semi")
     return rows
 
@@ -503,12 +503,12 @@ def country_options(star: Star) -> DataFrame:
 
 
 def section_options(star: Star) -> DataFrame:
-    rows = star.cpc.filter(F.col("section").isNotNull())
+    rows = star.class_rows.filter(F.col("section").isNotNull())
     return rows.select("section").distinct().orderBy("section")
 
 
 def class_options(star: Star, sections: Sequence[str]) -> DataFrame:
-    rows = star.cpc.filter(F.col("cpc_class").isNotNull() & F.col("section").isin(*sections))
+    rows = star.class_rows.filter(F.col("cpc_class").isNotNull() & F.col("section").isin(*sections))
     return rows.select("cpc_class").distinct().orderBy("cpc_class")
 
 

@@ -12,7 +12,7 @@ from grantlens.operators.counting import count_ids
 from grantlens.operators.growing import endpoints, split_year_sums
 from grantlens.operators.ranking import top, top_per_group
 from grantlens.operators.reshaping import pivot_counts
-from grantlens.operators.shares import with_share
+from grantlens.operators.shares import with_share, with_share_of
 from grantlens.plans.analysis import period_counts
 from grantlens.plans.summaries import Summaries
 from grantlens.star import Star
@@ -36,12 +36,12 @@ def country_share_of_patents(star: Star, summaries: Summaries, limit: int = 5) -
         summaries["mv_country_yearly"].groupBy("country").agg(F.sum("patents").alias("patent_count"))
     )
     size = star.patents.agg(F.count(F.lit(1)).alias("n"))
-    shares = with_share(sums, "patent_count", size)
+    shares = with_share_of(sums, "patent_count", size)
     return top(shares, [F.desc("patent_count"), F.asc("country")], limit)
 
 
 def classes_top(star: Star, limit: int = 80) -> DataFrame:
-    rows = star.cpc.filter(F.col("section").isNotNull() & F.col("cpc_class").isNotNull())
+    rows = star.class_rows.filter(F.col("section").isNotNull() & F.col("cpc_class").isNotNull())
     counts = count_ids(rows, ["section", "cpc_class"], "patent_id", "patents")
     first = top(counts, [F.desc("patents"), F.asc("section"), F.asc("cpc_class")], limit)
     return first.withColumn("section_label", coded_section_label(F.col("section")))
@@ -59,7 +59,7 @@ def section_trend(summaries: Summaries) -> DataFrame:
 
 def _inventor_name_counts(star: Star, keep_blank: bool = False) -> DataFrame:
     people = star.inventors if keep_blank else _with_name(star.inventors)
-    named = star.links.select("patent_id", "inventor_id").join(
+    named = star.link_rows.select("patent_id", "inventor_id").join(
         people.select("inventor_id", F.col("name").alias("inventor"), "country"), "inventor_id"
     )
     return count_ids(named, ["inventor", "country"], "patent_id", "patents")
@@ -71,7 +71,7 @@ def inventors_by_name(star: Star, limit: int = 20) -> DataFrame:
 
 
 def _company_name_counts(star: Star) -> DataFrame:
-    owned = star.links.filter(F.col("company_id").isNotNull())
+    owned = star.link_rows.filter(F.col("company_id").isNotNull())
     named = owned.select("patent_id", "company_id").distinct().join(
         _with_name(star.companies).select("company_id", F.col("name").alias("company")),
         "company_id",
@@ -173,9 +173,9 @@ def company_section_by_name(star: Star, companies: int = 15) -> DataFrame:
     chosen = star.companies.select("company_id", F.col("name").alias("company")).join(
         broadcast_if_bounded(leaders, companies), "company", "left_semi"
     )
-    owned = star.links.filter(F.col("company_id").isNotNull()).select("patent_id", "company_id")
+    owned = star.link_rows.filter(F.col("company_id").isNotNull()).select("patent_id", "company_id")
     owned = owned.distinct().join(chosen, "company_id").select("patent_id", "company").distinct()
-    classes = star.cpc.filter(F.col("section").isNotNull()).select("patent_id", "section")
+    classes = star.class_rows.filter(F.col("section").isNotNull()).select("patent_id", "section")
     return count_ids(owned.join(classes, "patent_id"), ["company", "section"], "patent_id", "n")
 
 

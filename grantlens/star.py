@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 class Star:
     """Five tables plus two optional pre-joined facts.
 
+    ``links`` and ``cpc`` hold each combination once. Counts of distinct ids do not
+    need that, so they read ``link_rows``, ``class_rows``, ``activity`` and
+    ``classified``, in which a source may leave repeated rows: the count's own
+    map-side step drops them, and no extra shuffle is spent on it.
+
     ``dated_links`` and ``dated_cpc`` carry the patent's year next to the fact's
     own columns. The warehouse stores them partitioned by year, so a
     year-window query prunes folders and never joins the patents table; when
@@ -25,12 +30,20 @@ class Star:
     dated_links: DataFrame | None = None
     dated_cpc: DataFrame | None = None
 
+    @property
+    def link_rows(self) -> DataFrame:
+        return self.links
+
+    @property
+    def class_rows(self) -> DataFrame:
+        return self.cpc
+
     @property
     def activity(self) -> DataFrame:
         """(patent_id, inventor_id, company_id, year) for patents with a known year."""
         if self.dated_links is not None:
             return self.dated_links.filter(F.col("year").isNotNull())
-        return self.links.join(self._years(), "patent_id")
+        return self.link_rows.join(self._years(), "patent_id")
 
     @property
     def classified(self) -> DataFrame:
@@ -38,7 +51,7 @@ class Star:
         if self.dated_cpc is not None:
             dated = self.dated_cpc.filter(F.col("year").isNotNull())
         else:
-            dated = self.cpc.join(self._years(), "patent_id")
+            dated = self.class_rows.join(self._years(), "patent_id")
         return dated.filter(F.col("section").isNotNull())
 
     @property
