@@ -48,6 +48,8 @@ def scan(
         .option("header", "true")
         .options(**_QUOTING)
         .option("multiLine", multiline)
+        # With pruning, a row of the wrong length would pass whenever few columns are read.
+        .option("columnPruning", "false")
         .option("mode", "FAILFAST")
         .csv(path)
     )
