@@ -11,7 +11,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(path, bytes) of the files below a folder. Only metadata is read, not the content."""
+    """(path, bytes) of the files below a folder. Only metadata is read, not the content.
+
+    Spark's file listing leaves out files of zero length.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

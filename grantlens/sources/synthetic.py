@@ -66,11 +66,11 @@ def _repeated(keys: DataFrame, weights, salt: str, name: str) -> DataFrame:
     key = _key(keys)
     n = pick(uniform(key, salt), weights)
     steps = F.filter(F.sequence(F.lit(1), F.lit(weights[-1][0])), lambda i: i <= n)
-    return keys.select(key.alias("key"), F.explode(steps).alias(name))
+    return keys.select(key.alias("_key"), F.explode(steps).alias(name))
 
 
 def _draw(salt: str, step: str) -> Column:
-    return uniform(F.concat_ws("/", F.col("key").cast("string"), F.col(step).cast("string")), salt)
+    return uniform(F.concat_ws("/", F.col("_key").cast("string"), F.col(step).cast("string")), salt)
 
 
 def inventor_rows(keys: DataFrame, inventors: int, locations: int) -> DataFrame:
@@ -79,7 +79,7 @@ def inventor_rows(keys: DataFrame, inventors: int, locations: int) -> DataFrame:
     place = below(_draw("place", "inventor_sequence"), locations)
     missing = _draw("dirt", "inventor_sequence") < 0.002
     return rows.select(
-        F.col("key").cast("string").alias("patent_id"),
+        F.col("_key").cast("string").alias("patent_id"),
         "inventor_sequence",
         F.when(missing, F.lit("")).otherwise(
             F.concat(F.lit("inv-"), person.cast("string"))
@@ -94,7 +94,7 @@ def assignee_rows(keys: DataFrame, companies: int) -> DataFrame:
     rows = _repeated(keys, ASSIGNEES_PER_PATENT, "assignees", "assignee_sequence")
     company = below(_draw("company", "assignee_sequence"), companies).cast("string")
     return rows.select(
-        F.col("key").cast("string").alias("patent_id"),
+        F.col("_key").cast("string").alias("patent_id"),
         "assignee_sequence",
         F.concat(F.lit("org-"), company).alias("assignee_id"),
         F.lit(None).cast("string").alias("disambig_assignee_individual_name_first"),
@@ -113,7 +113,7 @@ def class_rows(keys: DataFrame) -> DataFrame:
         F.lit(SUBCLASSES), below(_draw("subclass", "cpc_sequence"), len(SUBCLASSES)) + 1, F.lit(1)
     )
     return rows.select(
-        F.col("key").cast("string").alias("patent_id"),
+        F.col("_key").cast("string").alias("patent_id"),
         "cpc_sequence",
         section.alias("cpc_section"),
         F.concat(section, number).alias("cpc_class"),

