@@ -163,9 +163,7 @@ SELECT 'patents' AS table_name, COUNT(*) AS rows FROM patents
 UNION ALL SELECT 'inventors', COUNT(*) FROM inventors
 UNION ALL SELECT 'companies', COUNT(*) FROM companies
 UNION ALL SELECT 'links', COUNT(*) FROM patent_relationships
-UNION ALL SELECT 'cpc', COUNT(*) FROM patent_cpc
-UNION ALL SELECT 'dated_links', COUNT(*) FROM patent_relationships
-UNION ALL SELECT 'dated_cpc', COUNT(*) FROM patent_cpc""",
+UNION ALL SELECT 'cpc', COUNT(*) FROM patent_cpc""",
 )
 def _(t):
     counts = warehouse.write_star(t.star, _fresh_folder(t, "warehouse"))

@@ -122,7 +122,7 @@ class RoleStar(Star):
         )
 
     @cached_property
-    def dated_links(self) -> DataFrame:
+    def dated_link_rows(self) -> DataFrame:
         """Links with the order's year, from the join that makes them; rows may repeat."""
         orders = self._tables["orders"].select(
             F.col("o_orderkey").alias("patent_id"),
@@ -138,7 +138,11 @@ class RoleStar(Star):
 
     @property
     def link_rows(self) -> DataFrame:
-        return self.dated_links.select("patent_id", "inventor_id", "company_id")
+        return self.dated_link_rows.select("patent_id", "inventor_id", "company_id")
+
+    @property
+    def dated_links(self) -> DataFrame:
+        return self.dated_link_rows.distinct()
 
     @property
     def links(self) -> DataFrame:

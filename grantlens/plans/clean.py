@@ -17,6 +17,7 @@ from grantlens.functions.text import (
     trimmed,
 )
 from grantlens.operators.ranking import first_per_key
+from grantlens.sources.warehouse import read_clean_table, write_clean_table
 from grantlens.star import Star
 
 
@@ -125,7 +126,8 @@ def clean_links(
     Copies of a pair are removed before any join. ``inventors`` is needed only when
     it was not made from the same raw rows: a table made by ``clean_inventors`` from
     ``raw_inventors`` holds every usable id, so checking against it drops nothing.
-    An assignee without a company row leaves a NULL company.
+    An assignee without a company row leaves a NULL company. The patent's year comes along
+    as a fourth column.
     """
     pairs = (
         raw_inventors.filter(
@@ -136,7 +138,7 @@ def clean_links(
             trimmed(F.col("inventor_id")).alias("inventor_id"),
         )
         .distinct()
-        .join(patents.select("patent_id"), "patent_id", "left_semi")
+        .join(patents.select("patent_id", "year"), "patent_id")
     )
     if inventors is not None:
         pairs = pairs.join(inventors.select("inventor_id"), "inventor_id", "left_semi")
@@ -153,18 +155,20 @@ def clean_links(
     known = companies.select(F.col("company_id"), F.col("company_id").alias("assignee_id"))
     # Two unknown assignees of one patent both become NULL, hence the second distinct.
     owners = owners.join(known, "assignee_id", "left").select("patent_id", "company_id").distinct()
-    return pairs.join(owners, "patent_id", "left").select("patent_id", "inventor_id", "company_id")
+    return pairs.join(owners, "patent_id", "left").select(
+        "patent_id", "inventor_id", "company_id", "year"
+    )
 
 
 def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
-    """Distinct classifications of surviving patents; a blank section becomes NULL."""
+    """Distinct classifications of surviving patents, with their year; a blank section becomes NULL."""
     rows = raw.filter(F.col("patent_id").isNotNull() & F.col("cpc_section").isNotNull()).select(
         trimmed(F.col("patent_id")).alias("patent_id"),
         blank_to_null(trimmed(F.col("cpc_section"))).alias("section"),
         blank_to_null(trimmed(F.col("cpc_class"))).alias("cpc_class"),
         blank_to_null(trimmed(F.col("cpc_subclass"))).alias("cpc_subclass"),
     )
-    return rows.distinct().join(patents.select("patent_id"), "patent_id", "left_semi")
+    return rows.distinct().join(patents.select("patent_id", "year"), "patent_id")
 
 
 def clean_star(
@@ -178,10 +182,46 @@ def clean_star(
     inventors = clean_inventors(raw["inventors"], raw["locations"], prefer_named)
     companies = clean_companies(raw["assignees"])
     links = clean_links(raw["inventors"], raw["assignees"], patents, companies)
+    return _assemble(patents, inventors, companies, links, clean_cpc(raw["cpc"], patents))
+
+
+def _assemble(patents, inventors, companies, dated_links, dated_cpc) -> Star:
     return Star(
         patents=patents,
         inventors=inventors,
         companies=companies,
-        links=links,
-        cpc=clean_cpc(raw["cpc"], patents),
+        links=dated_links.drop("year"),
+        cpc=dated_cpc.drop("year"),
+        dated_links=dated_links,
+        dated_cpc=dated_cpc,
     )
+
+
+def build_warehouse(
+    raw: Mapping[str, DataFrame],
+    folder: str,
+    min_year: int = 1976,
+    max_year: int = 2025,
+    prefer_named: bool = False,
+) -> dict[str, int]:
+    """Clean the raw tables into ``folder``; returns the rows written per table.
+
+    The entity tables are written first and read back for the two facts, so the
+    patents are cleaned once, and a lost executor costs a re-read, not a re-clean.
+    """
+    spark = raw["patents"].sparkSession
+    counts = {
+        "patents": write_clean_table(
+            clean_patents(raw["patents"], min_year, max_year), folder, "patents"
+        ),
+        "inventors": write_clean_table(
+            clean_inventors(raw["inventors"], raw["locations"], prefer_named), folder, "inventors"
+        ),
+        "companies": write_clean_table(clean_companies(raw["assignees"]), folder, "companies"),
+    }
+    patents = read_clean_table(spark, folder, "patents")
+    companies = read_clean_table(spark, folder, "companies")
+    links = clean_links(raw["inventors"], raw["assignees"], patents, companies)
+    counts["links"] = write_clean_table(links, folder, "links")
+    counts["cpc"] = write_clean_table(clean_cpc(raw["cpc"], patents), folder, "cpc")
+    return counts

@@ -1,17 +1,15 @@
 """The stored star schema and its summary tables.
 
-Layout for large data:
-
-* ``dated_links`` and ``dated_cpc`` hold the patent's year and are written
-  partitioned by it, so year windows become folder pruning.
-* inside a year, rows are spread by a hash of all columns (a patent or
-  organisation with very many rows does not make one large file) and files are
-  bounded by ``maxRecordsPerFile``.
+Layout for large data: the two facts carry the patent's year and are written
+partitioned by it, so year windows become folder pruning. Before the write, rows are
+rebalanced on the year: Spark joins small years into one task and splits large
+ones, so neither many tiny files nor one huge file comes out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from grantlens.schemas import CLEAN, conform
 from grantlens.sources.paths import exists
@@ -28,15 +26,19 @@ CSV_NAMES = {
     "cpc": "clean_cpc.csv",
 }
 
+# Tables that carry the patent's year and are stored by it.
+FACTS = ("links", "cpc")
+
 ROWS_PER_FILE = 20_000_000
 
 
 def write_counted(df: DataFrame, path: str, by_year: bool = False) -> int:
     """Write Parquet and return the row count, observed in the same pass."""
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    out = df.hint("rebalance", F.col("year")) if by_year else df
     writer = (
-        out.write.mode("overwrite")
+        out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
     )
@@ -44,26 +46,27 @@ def write_counted(df: DataFrame, path: str, by_year: bool = False) -> int:
     return seen.get["rows"]
 
 
-def _spread_over_years(df: DataFrame, pieces: int) -> DataFrame:
-    """A year is written by up to ``pieces`` tasks, so one heavy year is not one task."""
-    piece = F.pmod(F.xxhash64(*df.columns), F.lit(pieces))
-    return df.withColumn("_piece", piece).repartition("year", "_piece").drop("_piece")
+def _dated(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("year", IntegerType())])
+
 
+def write_clean_table(df: DataFrame, folder: str, name: str) -> int:
+    """Write one clean table; facts must come with their year."""
+    if name in FACTS:
+        return write_counted(conform(df, _dated(CLEAN[name])), f"{folder}/{name}", by_year=True)
+    return write_counted(conform(df, CLEAN[name]), f"{folder}/{name}")
 
-def write_star(star: Star, folder: str, pieces: int = 16) -> dict[str, int]:
-    """Write the clean tables and the two dated facts; returns written rows per table."""
-    counts = {
-        name: write_counted(conform(getattr(star, name), CLEAN[name]), f"{folder}/{name}")
-        for name in CLEAN_TABLES
+
+def write_star(star: Star, folder: str) -> dict[str, int]:
+    """Write the clean tables; returns written rows per table."""
+    tables = {
+        "patents": star.patents,
+        "inventors": star.inventors,
+        "companies": star.companies,
+        "links": star.dated_links if star.dated_links is not None else star.dated_link_rows,
+        "cpc": star.dated_cpc if star.dated_cpc is not None else star.dated_class_rows.distinct(),
     }
-    spark = star.patents.sparkSession
-    stored = read_star(spark, folder)
-    for name in ("links", "cpc"):
-        dated = getattr(stored, name).join(stored.patents.select("patent_id", "year"), "patent_id")
-        counts[f"dated_{name}"] = write_counted(
-            _spread_over_years(dated, pieces), f"{folder}/dated_{name}", by_year=True
-        )
-    return counts
+    return {name: write_clean_table(df, folder, name) for name, df in tables.items()}
 
 
 def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
@@ -71,7 +74,9 @@ def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame |
     schema = CLEAN[name]
     parquet = f"{folder}/{name}"
     if exists(spark, parquet):
-        return conform(spark.read.parquet(parquet), schema)
+        stored = spark.read.parquet(parquet)
+        dated = name in FACTS and "year" in stored.columns
+        return conform(stored, _dated(schema) if dated else schema)
     csv = f"{folder}/{CSV_NAMES[name]}"
     if exists(spark, csv):
         reader = (
@@ -87,14 +92,15 @@ def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame |
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    """Open the clean tables; a missing one is empty. Dated facts are used when stored."""
+    """Open the clean tables; a missing one is empty."""
     tables = {}
     for name in CLEAN_TABLES:
         table = read_clean_table(spark, folder, name)
         tables[name] = spark.createDataFrame([], CLEAN[name]) if table is None else table
-    for name in ("dated_links", "dated_cpc"):
-        if exists(spark, f"{folder}/{name}/_SUCCESS"):
-            tables[name] = spark.read.parquet(f"{folder}/{name}")
+    for name in FACTS:
+        if "year" in tables[name].columns:
+            tables[f"dated_{name}"] = tables[name]
+            tables[name] = tables[name].drop("year")
     return Star(**tables)
 
 

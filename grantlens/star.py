@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame, functions as F
 
 @dataclass(frozen=True)
 class Star:
-    """Five tables plus two optional pre-joined facts.
+    """Five tables plus two optional facts that also carry the patent's year.
 
-    ``links`` and ``cpc`` hold each combination once. Counts of distinct ids do not
-    need that, so they read ``link_rows``, ``class_rows``, ``activity`` and
-    ``classified``, in which a source may leave repeated rows: the count's own
-    map-side step drops them, and no extra shuffle is spent on it.
+    ``dated_links`` and ``dated_cpc`` are ``links`` and ``cpc`` with the year (NULL
+    where unknown). The warehouse stores them partitioned by year, so a year-window
+    query prunes folders and never joins the patents table; when they are absent the
+    year is joined on ``patent_id``.
 
-    ``dated_links`` and ``dated_cpc`` carry the patent's year next to the fact's
-    own columns. The warehouse stores them partitioned by year, so a
-    year-window query prunes folders and never joins the patents table; when
-    they are absent they are derived with one join on ``patent_id``.
+    All of these hold each combination once. Counts of distinct ids do not need that,
+    so they read ``link_rows``, ``class_rows``, ``activity`` and ``classified``, in
+    which a source may leave repeated rows: the count's own map-side step drops
+    them, and no extra shuffle is spent on it.
     """
 
     patents: DataFrame
@@ -39,20 +39,30 @@ class Star:
         return self.cpc
 
     @property
-    def activity(self) -> DataFrame:
-        """(patent_id, inventor_id, company_id, year) for patents with a known year."""
+    def dated_link_rows(self) -> DataFrame:
+        """(patent_id, inventor_id, company_id, year)."""
         if self.dated_links is not None:
-            return self.dated_links.filter(F.col("year").isNotNull())
-        return self.link_rows.join(self._years(), "patent_id")
+            return self.dated_links
+        return self.link_rows.join(self._years(), "patent_id", "left")
 
     @property
-    def classified(self) -> DataFrame:
-        """(patent_id, section, cpc_class, cpc_subclass, year), section and year known."""
+    def dated_class_rows(self) -> DataFrame:
+        """(patent_id, section, cpc_class, cpc_subclass, year)."""
         if self.dated_cpc is not None:
-            dated = self.dated_cpc.filter(F.col("year").isNotNull())
-        else:
-            dated = self.class_rows.join(self._years(), "patent_id")
-        return dated.filter(F.col("section").isNotNull())
+            return self.dated_cpc
+        return self.class_rows.join(self._years(), "patent_id", "left")
+
+    @property
+    def activity(self) -> DataFrame:
+        """Link rows of patents with a known year."""
+        return self.dated_link_rows.filter(F.col("year").isNotNull())
+
+    @property
+    def classified(self) -> DataFrame:
+        """Classification rows with a known section and year."""
+        return self.dated_class_rows.filter(
+            F.col("year").isNotNull() & F.col("section").isNotNull()
+        )
 
     @property
     def located(self) -> DataFrame:
@@ -69,7 +79,7 @@ class Star:
         )
 
     def _years(self) -> DataFrame:
-        return self.patents.filter(F.col("year").isNotNull()).select("patent_id", "year")
+        return self.patents.select("patent_id", "year")
 
 
 def country_present():

@@ -6,8 +6,9 @@ import pytest
 
 from conftest import rows
 from grantlens.plans import checks
-from grantlens.plans.clean import clean_inventors, clean_links, clean_star
+from grantlens.plans.clean import build_warehouse, clean_inventors, clean_links, clean_star
 from grantlens.sources.delimited import read_raw
+from grantlens.sources.warehouse import read_star
 
 FILES = {
     "g_patent.tsv": (
@@ -143,6 +144,16 @@ def test_optional_files_and_columns(spark, folder):
     assert star.patents.count() == 7
 
 
+def test_warehouse_build_equals_the_lazy_star(spark, folder, star, tmp_path):
+    out = str(tmp_path / "warehouse")
+    counts = build_warehouse(read_raw(spark, str(folder)), out)
+    assert counts == {"patents": 7, "inventors": 5, "companies": 2, "links": 9, "cpc": 3}
+    stored = read_star(spark, out)
+    for table in counts:
+        assert rows(getattr(stored, table)) == rows(getattr(star, table)), table
+    assert rows(stored.activity.select("patent_id").distinct()) == [("0123",), ("500",), ("600",)]
+
+
 def test_clean_star_passes_its_checks(star):
     report = {(r[0], r[1]): r[2] for r in checks.quality_report(star, 1976, 2025).collect()}
     # the fixture has two countries only, one fewer than a real corpus must have
