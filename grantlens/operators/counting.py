@@ -32,12 +32,23 @@ def entity_years(activity: DataFrame, key: str, name: str = "patents") -> DataFr
     return count_ids(activity.filter(F.col(key).isNotNull()), [key, "year"], "patent_id", name)
 
 
-def most_frequent(df: DataFrame, key: str, value: str) -> DataFrame:
+def most_frequent(df: DataFrame, key: str, value: str, times: str | None = None) -> DataFrame:
     """The most frequent value per key; ties go to the smallest value.
 
-    Counting (key, value) first leaves only one row per distinct value for the
-    second step, whatever the size of the key's group.
+    ``times`` names a column that says how often a row counts. Adding up per (key,
+    value) first leaves only one row per distinct value for the second step,
+    whatever the size of the key's group.
     """
-    tally = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    weight = F.lit(1) if times is None else F.col(times)
+    tally = df.groupBy(key, value).agg(F.sum(weight).alias("n"))
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col(value).alias("v")))
     return tally.groupBy(key).agg(best.alias("best")).select(key, F.col("best.v").alias(value))
+
+
+def smallest_text(df: DataFrame, key: str, value: str) -> DataFrame:
+    """The smallest text per key (NULL only when there is no other).
+
+    A minimum of texts is aggregated by sorting. Distinct pairs are found by hashing
+    and are few, as a key repeats its value on most rows, so they go first.
+    """
+    return df.select(key, value).distinct().groupBy(key).agg(F.min(value).alias(value))

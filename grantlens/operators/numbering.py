@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from grantlens.session import shared_folder
+
 
 def number_within(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
     """row_number per key in the given order, without gathering a key in one task.
@@ -16,6 +18,7 @@ def number_within(df: DataFrame, key: str, order: Sequence[str], name: str) -> D
     The slice numbers are fixed with a checkpoint, because both the numbering
     and the starting points must see the same boundaries, also after a lost executor.
     """
+    shared_folder(df.sparkSession)  # a checkpoint needs a folder
     columns = [F.asc_nulls_last(c) for c in order]
     sliced = (
         df.repartitionByRange(F.col(key), *columns)

@@ -16,6 +16,7 @@ from grantlens.functions.text import (
     spaced_once,
     trimmed,
 )
+from grantlens.operators.counting import most_frequent, smallest_text
 from grantlens.operators.ranking import first_per_key
 from grantlens.sources.warehouse import read_clean_table, write_clean_table
 from grantlens.star import Star
@@ -63,15 +64,7 @@ def inventor_countries(raw_inventors: DataFrame, raw_locations: DataFrame) -> Da
         .groupBy("inventor_id", "location_id")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    tally = (
-        seen.join(places, "location_id")
-        .groupBy("inventor_id", "country")
-        .agg(F.sum("times").alias("times"))
-    )
-    best = F.min(F.struct((-F.col("times")).alias("n"), F.col("country").alias("c")))
-    return tally.groupBy("inventor_id").agg(best.alias("b")).select(
-        "inventor_id", F.col("b.c").alias("country")
-    )
+    return most_frequent(seen.join(places, "location_id"), "inventor_id", "country", "times")
 
 
 def clean_inventors(
@@ -88,10 +81,11 @@ def clean_inventors(
             F.col("disambig_inventor_name_first"), F.col("disambig_inventor_name_last")
         ).alias("name"),
     )
-    name = blank_to_null(F.min("name"))
     if prefer_named:
-        name = F.min(blank_to_null(F.col("name")))
-    people = named.groupBy("inventor_id").agg(name.alias("name"))
+        named = named.withColumn("name", blank_to_null(F.col("name")))
+    people = smallest_text(named, "inventor_id", "name").withColumn(
+        "name", blank_to_null(F.col("name"))
+    )
     if raw_locations is None:
         return people.withColumn("country", F.lit(None).cast("string"))
     return people.join(inventor_countries(raw, raw_locations), "inventor_id", "left")
@@ -107,11 +101,7 @@ def clean_companies(raw: DataFrame) -> DataFrame:
             F.col("disambig_assignee_individual_name_last"),
         ).alias("name"),
     )
-    return (
-        named.filter(F.col("name").isNotNull())
-        .groupBy("company_id")
-        .agg(F.min("name").alias("name"))
-    )
+    return smallest_text(named.filter(F.col("name").isNotNull()), "company_id", "name")
 
 
 def clean_links(

@@ -127,7 +127,7 @@ def _in_countries(df: DataFrame, star: Star, f: Filters) -> DataFrame:
 
 def _links(star: Star, f: Filters, *columns: str) -> DataFrame:
     """Links in the window whose patent has a chosen class."""
-    rows = star.activity.filter(f.in_window()).select("patent_id", *columns).distinct()
+    rows = star.activity.filter(f.in_window()).select("patent_id", *columns)
     return _classified_only(rows, star, f)
 
 
