@@ -12,24 +12,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from grantlens.star import Star
+
 
 def count_ids(df: DataFrame, keys: Sequence[str], id_column: str, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count_distinct(id_column).alias(name))
 
 
-def entity_counts(links: DataFrame, entities: DataFrame, key: str, name: str) -> DataFrame:
+def count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Counts of rows that are distinct already; combined map-side, one small row per key and task."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def entity_counts(star: Star, entities: DataFrame, key: str, name: str) -> DataFrame:
     """Patents per entity, aggregated before the entity's attributes are joined.
 
     The join then meets one row per entity instead of one row per link, so an
     entity with a third of all links is a single row by that time.
     """
-    counts = count_ids(links.filter(F.col(key).isNotNull()), [key], "patent_id", name)
-    return entities.join(counts, key)
+    return entities.join(count_rows(star.patents_of(key), [key], name), key)
 
 
-def entity_years(activity: DataFrame, key: str, name: str = "patents") -> DataFrame:
+def entity_years(star: Star, key: str, name: str = "patents") -> DataFrame:
     """Patents per (entity, year). A patent has one year, so the counts add up over years."""
-    return count_ids(activity.filter(F.col(key).isNotNull()), [key, "year"], "patent_id", name)
+    return count_rows(star.patents_of(key, dated=True), [key, "year"], name)
 
 
 def most_frequent(df: DataFrame, key: str, value: str, times: str | None = None) -> DataFrame:

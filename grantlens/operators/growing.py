@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grantlens.functions.numbers import compound_growth, growth, round4
-from grantlens.operators.counting import count_ids
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -55,16 +54,16 @@ def midpoint(patents: DataFrame) -> Column:
 
 
 def two_sided_counts(
-    dated: DataFrame, key: str, early: Column, names: tuple[str, str]
+    pairs: DataFrame, key: str, early: Column, names: tuple[str, str]
 ) -> DataFrame:
-    """Distinct patents per key on either side of a year condition.
+    """Patents per key on either side of a year condition.
 
-    Counted per (key, side) with a single distinct column and then turned into
-    two columns, which avoids the row expansion of two conditional distinct counts.
+    ``pairs`` holds each (key, patent) once, so both counts are plain ones.
     """
-    sides = count_ids(dated.withColumn("_early", early), [key, "_early"], "patent_id", "n")
-    pick = lambda flag: F.coalesce(F.sum(F.when(F.col("_early") == flag, F.col("n"))), F.lit(0))
-    return sides.groupBy(key).agg(pick(True).alias(names[0]), pick(False).alias(names[1]))
+    sided = pairs.withColumn("_early", early)
+    return sided.groupBy(key).agg(
+        F.count_if(F.col("_early")).alias(names[0]), F.count_if(~F.col("_early")).alias(names[1])
+    )
 
 
 HALVES = ("first_half_patents", "second_half_patents")

@@ -10,7 +10,7 @@ from grantlens.functions.labels import section_label
 from grantlens.functions.numbers import growth, round4
 from grantlens.functions.periods import FIVE_YEAR_PERIODS, closed_period
 from grantlens.operators.broadcasting import broadcast_if_bounded
-from grantlens.operators.counting import count_ids, entity_counts, entity_years
+from grantlens.operators.counting import count_ids, count_rows, entity_counts, entity_years
 from grantlens.operators.growing import (
     HALVES,
     compound_growth_table,
@@ -25,7 +25,7 @@ from grantlens.star import Star
 
 
 def top_inventors(star: Star, limit: int = 20) -> DataFrame:
-    counts = entity_counts(star.link_rows, star.inventors, "inventor_id", "patent_count")
+    counts = entity_counts(star, star.inventors, "inventor_id", "patent_count")
     rows = counts.select(
         "inventor_id", F.col("name").alias("inventor_name"), "country", "patent_count"
     )
@@ -34,7 +34,7 @@ def top_inventors(star: Star, limit: int = 20) -> DataFrame:
 
 
 def top_companies(star: Star, limit: int = 20) -> DataFrame:
-    counts = entity_counts(star.link_rows, star.companies, "company_id", "patent_count")
+    counts = entity_counts(star, star.companies, "company_id", "patent_count")
     rows = counts.select("company_id", F.col("name").alias("company_name"), "patent_count")
     order = [F.desc("patent_count"), F.asc_nulls_last("company_name"), F.asc("company_id")]
     return top(rows, order, limit)
@@ -42,8 +42,7 @@ def top_companies(star: Star, limit: int = 20) -> DataFrame:
 
 def country_counts(star: Star) -> DataFrame:
     """Distinct patents per inventor country."""
-    pairs = star.link_rows.select("patent_id", "inventor_id").join(star.located, "inventor_id")
-    return count_ids(pairs, ["country"], "patent_id", "patent_count")
+    return count_rows(star.patents_in_countries(), ["country"], "patent_count")
 
 
 def country_share(star: Star, limit: int = 15) -> DataFrame:
@@ -98,7 +97,7 @@ def reference_year(yearly: DataFrame, share_of_peak: float = 0.6):
 
 def innovation_leaders(star: Star, min_patents: int = 2, limit: int = 20) -> DataFrame:
     """Companies by growth in the latest complete year over their previous active year."""
-    counted = entity_years(star.activity, "company_id", "patents_filed")
+    counted = entity_years(star, "company_id", "patents_filed")
     compared = with_previous(counted, ["company_id"], "patents_filed", "prev_year_patents")
     current = compared.filter(
         (F.col("year") == reference_year(star.yearly)) & (F.col("patents_filed") >= min_patents)
@@ -122,7 +121,7 @@ def top_inventors_by_country(star: Star, k: int = 3) -> DataFrame:
     Every row ahead of a kept row is kept too, so the rank may be taken after the cut.
     """
     counts = entity_counts(
-        star.link_rows, star.inventors.filter(F.col("country").isNotNull() & (F.col("country") != "")),
+        star, star.inventors.filter(F.col("country").isNotNull() & (F.col("country") != "")),
         "inventor_id", "patent_count",
     ).withColumnRenamed("name", "inventor_name")
     order = [F.desc("patent_count"), F.asc_nulls_last("inventor_name"), F.asc("inventor_id")]
@@ -175,7 +174,7 @@ def company_cagr(
     star: Star, min_total: int = 20, min_span: int = 3, limit: int | None = 25
 ) -> DataFrame:
     """Compound yearly growth between a company's first and last active year."""
-    yearly = entity_years(star.activity, "company_id")
+    yearly = entity_years(star, "company_id")
     rates = compound_growth_table(yearly, ["company_id"], min_total, min_span)
     rows = rates.join(star.companies, "company_id").withColumnRenamed("name", "company_name")
     order = [F.desc_nulls_last("cagr"), F.desc("total_patents"), F.asc("company_id")]
@@ -187,16 +186,13 @@ def company_cagr(
 
 
 def country_halves(star: Star) -> DataFrame:
-    placed = star.activity.select("patent_id", "inventor_id", "year").join(
-        star.located, "inventor_id"
-    )
+    placed = star.patents_in_countries(dated=True)
     return two_sided_counts(placed, "country", F.col("year") <= midpoint(star.patents), HALVES)
 
 
 def section_halves(star: Star) -> DataFrame:
-    return two_sided_counts(
-        star.classified, "section", F.col("year") <= midpoint(star.patents), HALVES
-    )
+    classed = star.classified.select("patent_id", "section", "year").distinct()
+    return two_sided_counts(classed, "section", F.col("year") <= midpoint(star.patents), HALVES)
 
 
 def country_growth(star: Star, min_total: int = 30, limit: int | None = 25) -> DataFrame:
@@ -215,9 +211,8 @@ def company_section_counts(star: Star, leaders: DataFrame, max_leaders: int) ->
 
     ``leaders`` has (company_id, company_name). Companies of one name share their rows.
     """
-    owned = star.link_rows.select("patent_id", "company_id").join(
-        broadcast_if_bounded(leaders, max_leaders), "company_id"
-    )
+    rows = star.link_rows.select("patent_id", "company_id")
+    owned = rows.join(broadcast_if_bounded(leaders, max_leaders), "company_id")
     # The leaders' inventors would multiply the pairs; drop copies before meeting the classes.
     owned = owned.select("patent_id", "company_name").distinct()
     classes = star.class_rows.filter(F.col("section").isNotNull()).select("patent_id", "section")
@@ -227,7 +222,7 @@ def company_section_counts(star: Star, leaders: DataFrame, max_leaders: int) ->
 
 
 def company_section_matrix(star: Star, companies: int = 15) -> DataFrame:
-    counts = entity_counts(star.link_rows, star.companies, "company_id", "n")
+    counts = entity_counts(star, star.companies, "company_id", "n")
     leaders = top(
         counts, [F.desc("n"), F.asc_nulls_last("name"), F.asc("company_id")], companies
     ).select("company_id", F.col("name").alias("company_name"))

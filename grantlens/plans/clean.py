@@ -18,7 +18,7 @@ from grantlens.functions.text import (
 )
 from grantlens.operators.counting import most_frequent, smallest_text
 from grantlens.operators.ranking import first_per_key
-from grantlens.sources.warehouse import read_clean_table, write_clean_table
+from grantlens.sources.warehouse import read_clean_table, write_clean_table, write_counted
 from grantlens.star import Star
 
 
@@ -150,6 +150,44 @@ def clean_links(
     )
 
 
+def mark_links(links: DataFrame, inventors: DataFrame) -> DataFrame:
+    """Add the inventor's country and the flags ``Star`` describes to (…, year) links.
+
+    A patent's links are all its inventors with all its companies. So the rows of
+    one chosen company hold each inventor once, the rows of one chosen inventor
+    hold each company once, and an inventor chosen per country, with the chosen
+    company, holds each country once. Choices are smallest ids, found by
+    aggregates that shrink map-side; no window gathers a patent's rows.
+    """
+    known = F.col("country").isNotNull() & (F.col("country") != "")
+    located = links.join(inventors.select("inventor_id", "country"), "inventor_id", "left")
+    chosen = links.groupBy("patent_id").agg(
+        F.min("company_id").alias("_company"), F.min("inventor_id").alias("_inventor")
+    )
+    per_country = (
+        located.filter(known)
+        .groupBy("patent_id", "country")
+        .agg(F.min("inventor_id").alias("_local"))
+    )
+    first_company = F.col("company_id").eqNullSafe(F.col("_company"))
+    return (
+        located.join(per_country, ["patent_id", "country"], "left")
+        .join(chosen, "patent_id")
+        .select(
+            "patent_id",
+            "inventor_id",
+            "company_id",
+            "year",
+            "country",
+            first_company.alias("one_per_inventor"),
+            (F.col("inventor_id") == F.col("_inventor")).alias("one_per_company"),
+            (first_company & F.col("inventor_id").eqNullSafe(F.col("_local"))).alias(
+                "one_per_country"
+            ),
+        )
+    )
+
+
 def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
     """Distinct classifications of surviving patents, with their year; a blank section becomes NULL."""
     rows = raw.filter(F.col("patent_id").isNotNull() & F.col("cpc_section").isNotNull()).select(
@@ -211,7 +249,11 @@ def build_warehouse(
     }
     patents = read_clean_table(spark, folder, "patents")
     companies = read_clean_table(spark, folder, "companies")
+    inventors = read_clean_table(spark, folder, "inventors")
     links = clean_links(raw["inventors"], raw["assignees"], patents, companies)
-    counts["links"] = write_clean_table(links, folder, "links")
+    # Marking reads the links three times: from a written stage, not from the joins.
+    write_counted(links, f"{folder}/stage_links")
+    links = spark.read.parquet(f"{folder}/stage_links")
+    counts["links"] = write_clean_table(mark_links(links, inventors), folder, "links")
     counts["cpc"] = write_clean_table(clean_cpc(raw["cpc"], patents), folder, "cpc")
     return counts

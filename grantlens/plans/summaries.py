@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantlens.functions.periods import DECADE_PERIODS
-from grantlens.operators.counting import count_ids
+from grantlens.operators.counting import count_ids, count_rows
 from grantlens.operators.quality import report
 from grantlens.operators.ranking import top
 from grantlens.plans.analysis import (
@@ -27,10 +27,7 @@ def yearly(star: Star) -> DataFrame:
 
 
 def country_yearly(star: Star) -> DataFrame:
-    placed = star.activity.select("patent_id", "inventor_id", "year").join(
-        star.located, "inventor_id"
-    )
-    return count_ids(placed, ["country", "year"], "patent_id", "patents")
+    return count_rows(star.patents_in_countries(dated=True), ["country", "year"], "patents")
 
 
 def section_yearly(star: Star) -> DataFrame:
@@ -38,13 +35,8 @@ def section_yearly(star: Star) -> DataFrame:
 
 
 def _lifetime(star: Star, key: str) -> DataFrame:
-    """Patents and active years per entity id.
-
-    First one row per (entity, patent), whose year is fixed by the patent; all
-    three measures then come from one ordinary aggregate.
-    """
-    once = star.activity.filter(F.col(key).isNotNull()).select(key, "patent_id", "year").distinct()
-    return once.groupBy(key).agg(
+    """Patents and active years per entity id, from one row per (entity, patent)."""
+    return star.patents_of(key, dated=True).groupBy(key).agg(
         F.count(F.lit(1)).alias("total_patents"),
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
@@ -66,9 +58,7 @@ def inventor_total(star: Star) -> DataFrame:
 
 
 def company_yearly(star: Star) -> DataFrame:
-    owned = star.activity.filter(F.col("company_id").isNotNull())
-    owned = owned.select("patent_id", "company_id", "year").distinct()
-    named = owned.join(
+    named = star.patents_of("company_id", dated=True).join(
         star.companies.select("company_id", F.col("name").alias("company")), "company_id"
     )
     return count_ids(named, ["company", "year"], "patent_id", "patents")
@@ -76,7 +66,7 @@ def company_yearly(star: Star) -> DataFrame:
 
 def inventor_yearly(star: Star) -> DataFrame:
     people = star.inventors.select("inventor_id", F.col("name").alias("inventor"), "country")
-    named = star.activity.select("patent_id", "inventor_id", "year").join(people, "inventor_id")
+    named = star.patents_of("inventor_id", dated=True).join(people, "inventor_id")
     counted = count_ids(named, ["inventor", "country", "year"], "patent_id", "patents")
     return counted.withColumn("country", F.coalesce("country", F.lit("?")))
 

@@ -18,6 +18,8 @@ DEFAULTS = {
     # ... also where the split costs another shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Hash instead of sort-merge joins where every partition of one side turns out small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.files.maxPartitionBytes": "128m",
 }

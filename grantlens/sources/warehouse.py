@@ -9,7 +9,7 @@ ones, so neither many tiny files nor one huge file comes out.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from grantlens.schemas import CLEAN, conform
 from grantlens.sources.paths import exists
@@ -46,14 +46,26 @@ def write_counted(df: DataFrame, path: str, by_year: bool = False) -> int:
     return seen.get["rows"]
 
 
-def _dated(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField("year", IntegerType())])
+# What stored facts may carry beside their own columns.
+EXTRAS = StructType([
+    StructField("country", StringType()),
+    StructField("one_per_inventor", BooleanType()),
+    StructField("one_per_company", BooleanType()),
+    StructField("one_per_country", BooleanType()),
+    StructField("year", IntegerType()),
+])
+
+
+def _fact_schema(name: str, columns: list[str]) -> StructType:
+    extras = [field for field in EXTRAS if field.name in columns]
+    return StructType([*CLEAN[name].fields, *extras])
 
 
 def write_clean_table(df: DataFrame, folder: str, name: str) -> int:
     """Write one clean table; facts must come with their year."""
     if name in FACTS:
-        return write_counted(conform(df, _dated(CLEAN[name])), f"{folder}/{name}", by_year=True)
+        schema = _fact_schema(name, df.columns)
+        return write_counted(conform(df, schema), f"{folder}/{name}", by_year=True)
     return write_counted(conform(df, CLEAN[name]), f"{folder}/{name}")
 
 
@@ -75,8 +87,9 @@ def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame |
     parquet = f"{folder}/{name}"
     if exists(spark, parquet):
         stored = spark.read.parquet(parquet)
-        dated = name in FACTS and "year" in stored.columns
-        return conform(stored, _dated(schema) if dated else schema)
+        if name in FACTS:
+            schema = _fact_schema(name, stored.columns)
+        return conform(stored, schema)
     csv = f"{folder}/{CSV_NAMES[name]}"
     if exists(spark, csv):
         reader = (
@@ -100,7 +113,7 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     for name in FACTS:
         if "year" in tables[name].columns:
             tables[f"dated_{name}"] = tables[name]
-            tables[name] = tables[name].drop("year")
+            tables[name] = tables[name].select(CLEAN[name].names)
     return Star(**tables)
 
 

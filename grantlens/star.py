@@ -16,6 +16,12 @@ class Star:
     query prunes folders and never joins the patents table; when they are absent the
     year is joined on ``patent_id``.
 
+    Stored links also carry the inventor's country and three flags that are true on
+    exactly one row per (patent, inventor), (patent, company) and (patent, country).
+    With them the distinct pairs are a filter, and patents per inventor, company or
+    country are plain counts that Spark combines map-side; without them the pairs
+    are made distinct.
+
     All of these hold each combination once. Counts of distinct ids do not need that,
     so they read ``link_rows``, ``class_rows``, ``activity`` and ``classified``, in
     which a source may leave repeated rows: the count's own map-side step drops
@@ -64,6 +70,33 @@ class Star:
             F.col("year").isNotNull() & F.col("section").isNotNull()
         )
 
+    def _chosen_rows(self, flag: str, columns: list[str], dated: bool) -> DataFrame | None:
+        """Rows a stored flag selects, or nothing when the flag is not stored."""
+        if self.dated_links is None or flag not in self.dated_links.columns:
+            return None
+        rows = self.dated_links.filter(F.col(flag))
+        return _known_year(rows, dated).select(*columns, *_year(dated))
+
+    def patents_of(self, key: str, dated: bool = False) -> DataFrame:
+        """Distinct (patent_id, key[, year]); ``key`` is inventor_id or company_id."""
+        flag = {"inventor_id": "one_per_inventor", "company_id": "one_per_company"}[key]
+        pairs = self._chosen_rows(flag, ["patent_id", key], dated)
+        if pairs is None:
+            rows = self.dated_link_rows if dated else self.link_rows
+            rows = _known_year(rows, dated).filter(F.col(key).isNotNull())
+            return rows.select("patent_id", key, *_year(dated)).distinct()
+        return pairs.filter(F.col(key).isNotNull())
+
+    def patents_in_countries(self, dated: bool = False) -> DataFrame:
+        """Distinct (patent_id, country[, year]) over the known countries of a patent's inventors."""
+        pairs = self._chosen_rows("one_per_country", ["patent_id", "country"], dated)
+        if pairs is None:
+            rows = _known_year(self.dated_link_rows if dated else self.link_rows, dated)
+            rows = rows.select("patent_id", "inventor_id", *_year(dated))
+            placed = rows.join(self.located, "inventor_id")
+            return placed.select("patent_id", "country", *_year(dated)).distinct()
+        return pairs
+
     @property
     def located(self) -> DataFrame:
         """(inventor_id, country) for inventors whose country is known."""
@@ -82,6 +115,14 @@ class Star:
         return self.patents.select("patent_id", "year")
 
 
+def _year(dated: bool) -> list[str]:
+    return ["year"] if dated else []
+
+
+def _known_year(df: DataFrame, dated: bool) -> DataFrame:
+    return df.filter(F.col("year").isNotNull()) if dated else df
+
+
 def country_present():
     # `country <> ''` is NULL for a NULL country, so it drops those rows as well.
     return F.col("country").isNotNull() & (F.col("country") != "")

@@ -1,12 +1,20 @@
 """Planted dirt and the exact rows it must become."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
 
 from conftest import rows
 from grantlens.plans import checks
-from grantlens.plans.clean import build_warehouse, clean_inventors, clean_links, clean_star
+from grantlens.plans.clean import (
+    build_warehouse,
+    clean_inventors,
+    clean_links,
+    clean_star,
+    mark_links,
+)
+from grantlens.sources import synthetic
 from grantlens.sources.delimited import read_raw
 from grantlens.sources.warehouse import read_star
 
@@ -154,6 +162,21 @@ def test_warehouse_build_equals_the_lazy_star(spark, folder, star, tmp_path):
     assert rows(stored.activity.select("patent_id").distinct()) == [("0123",), ("500",), ("600",)]
 
 
+def test_flags_give_the_distinct_pairs(spark):
+    """The stored flags and the plain distinct must find the same pairs."""
+    raw = synthetic.raw_tables(spark, 0.4)
+    star = clean_star(raw)
+    marked = mark_links(star.dated_links, star.inventors).cache()
+    stored = replace(star, dated_links=marked)
+    assert marked.count() == star.links.count()
+    for dated in (False, True):
+        for key in ("inventor_id", "company_id"):
+            assert rows(stored.patents_of(key, dated)) == rows(star.patents_of(key, dated))
+        assert rows(stored.patents_in_countries(dated)) == rows(star.patents_in_countries(dated))
+    plan = stored.patents_of("inventor_id")._jdf.queryExecution().executedPlan().toString()
+    assert "one_per_inventor" in plan
+
+
 def test_clean_star_passes_its_checks(star):
     report = {(r[0], r[1]): r[2] for r in checks.quality_report(star, 1976, 2025).collect()}
     # the fixture has two countries only, one fewer than a real corpus must have

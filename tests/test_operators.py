@@ -101,7 +101,7 @@ def test_quota_rounds_half_to_even(spark):
 
 def test_two_sided_counts(spark):
     df = spark.createDataFrame(
-        [("a", 1, 2000), ("a", 1, 2000), ("a", 2, 2001), ("a", 3, 2005), ("b", 3, 2005)],
+        [("a", 1, 2000), ("a", 2, 2001), ("a", 3, 2005), ("b", 3, 2005)],
         "k string, patent_id int, year int",
     )
     got = growing.two_sided_counts(df, "k", F.col("year") <= 2001, ("x", "y"))
