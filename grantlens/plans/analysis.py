@@ -55,6 +55,22 @@ def yearly_trend(star: Star) -> DataFrame:
     return star.yearly.withColumnRenamed("patents", "patent_count").orderBy("year")
 
 
+def _newest_documents(star: Star, documents: DataFrame, limit: int) -> DataFrame:
+    """The patents the first ``limit`` link rows belong to: at most ``limit`` of them.
+
+    Every link of a complete star survives the joins, so no other patent can reach the result.
+    """
+    front = (
+        star.dated_links.select("year", "patent_id")
+        .orderBy(F.desc_nulls_last("year"), F.asc("patent_id"))
+        .limit(limit)
+        .select("patent_id")
+        .distinct()
+    )
+    kept = documents.join(broadcast_if_bounded(front, limit), "patent_id", "left_semi")
+    return broadcast_if_bounded(kept, limit)
+
+
 def wide_join(star: Star, limit: int = 500) -> DataFrame:
     """Newest rows of patents with their inventors and, where known, companies.
 
@@ -73,6 +89,8 @@ def wide_join(star: Star, limit: int = 500) -> DataFrame:
     documents = star.patents.select(
         "patent_id", F.col("title").alias("patent_title"), "filing_date", "year"
     )
+    if star.complete:
+        documents = _newest_documents(star, documents, limit)
     newest = star.links.join(documents, "patent_id").join(people, "inventor_id")
     newest = newest.orderBy(*order).limit(limit)
     names = star.companies.select("company_id", F.col("name").alias("company_name"))

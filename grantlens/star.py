@@ -77,6 +77,11 @@ class Star:
         rows = self.dated_links.filter(F.col(flag))
         return _known_year(rows, dated).select(*columns, *_year(dated))
 
+    @property
+    def complete(self) -> bool:
+        """Stored with flags: then every link has its patent and its inventor, by construction."""
+        return self.dated_links is not None and "one_per_inventor" in self.dated_links.columns
+
     def patents_of(self, key: str, dated: bool = False) -> DataFrame:
         """Distinct (patent_id, key[, year]); ``key`` is inventor_id or company_id."""
         flag = {"inventor_id": "one_per_inventor", "company_id": "one_per_company"}[key]

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 
 from conftest import rows
-from grantlens.plans import checks
+from grantlens.plans import analysis, checks
 from grantlens.plans.clean import (
     build_warehouse,
     clean_inventors,
@@ -173,6 +173,9 @@ def test_flags_give_the_distinct_pairs(spark):
         for key in ("inventor_id", "company_id"):
             assert rows(stored.patents_of(key, dated)) == rows(star.patents_of(key, dated))
         assert rows(stored.patents_in_countries(dated)) == rows(star.patents_in_countries(dated))
+    for limit in (1, 20):
+        want = [tuple(r) for r in analysis.wide_join(star, limit).collect()]
+        assert [tuple(r) for r in analysis.wide_join(stored, limit).collect()] == want
     plan = stored.patents_of("inventor_id")._jdf.queryExecution().executedPlan().toString()
     assert "one_per_inventor" in plan
 
