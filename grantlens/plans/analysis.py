@@ -209,7 +209,7 @@ def country_halves(star: Star) -> DataFrame:
 
 
 def section_halves(star: Star) -> DataFrame:
-    classed = star.classified.select("patent_id", "section", "year").distinct()
+    classed = star.patents_in_sections(dated=True)
     return two_sided_counts(classed, "section", F.col("year") <= midpoint(star.patents), HALVES)
 
 
@@ -267,8 +267,7 @@ def totals(star: Star) -> DataFrame:
 
 
 def section_breakdown(star: Star) -> DataFrame:
-    classes = star.class_rows.filter(F.col("section").isNotNull())
-    counts = count_ids(classes, ["section"], "patent_id", "patent_count")
+    counts = count_rows(star.patents_in_sections(), ["section"], "patent_count")
     return counts.withColumn("section_label", section_label(F.col("section"))).orderBy(
         F.desc("patent_count"), "section"
     )

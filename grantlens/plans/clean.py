@@ -199,6 +199,23 @@ def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
     return rows.distinct().join(patents.select("patent_id", "year"), "patent_id")
 
 
+def mark_cpc(classes: DataFrame) -> DataFrame:
+    """Add a flag that is true on one row per (patent, section): the first class and subclass."""
+    nothing = F.lit("")
+    code = F.struct(F.coalesce("cpc_class", nothing), F.coalesce("cpc_subclass", nothing))
+    first = (
+        classes.filter(F.col("section").isNotNull())
+        .groupBy("patent_id", "section")
+        .agg(F.min(code).alias("_first"))
+    )
+    chosen = F.coalesce(code == F.col("_first"), F.lit(False))
+    return (
+        classes.join(first, ["patent_id", "section"], "left")
+        .withColumn("one_per_section", chosen)
+        .drop("_first")
+    )
+
+
 def clean_star(
     raw: Mapping[str, DataFrame],
     min_year: int = 1976,
@@ -255,5 +272,7 @@ def build_warehouse(
     write_counted(links, f"{folder}/stage_links")
     links = spark.read.parquet(f"{folder}/stage_links")
     counts["links"] = write_clean_table(mark_links(links, inventors), folder, "links")
-    counts["cpc"] = write_clean_table(clean_cpc(raw["cpc"], patents), folder, "cpc")
+    write_counted(clean_cpc(raw["cpc"], patents), f"{folder}/stage_cpc")
+    classes = spark.read.parquet(f"{folder}/stage_cpc")
+    counts["cpc"] = write_clean_table(mark_cpc(classes), folder, "cpc")
     return counts

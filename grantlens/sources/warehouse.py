@@ -52,6 +52,7 @@ EXTRAS = StructType([
     StructField("one_per_inventor", BooleanType()),
     StructField("one_per_company", BooleanType()),
     StructField("one_per_country", BooleanType()),
+    StructField("one_per_section", BooleanType()),
     StructField("year", IntegerType()),
 ])
 

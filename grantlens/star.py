@@ -20,7 +20,7 @@ class Star:
     exactly one row per (patent, inventor), (patent, company) and (patent, country).
     With them the distinct pairs are a filter, and patents per inventor, company or
     country are plain counts that Spark combines map-side; without them the pairs
-    are made distinct.
+    are made distinct. Stored classifications have such a flag per (patent, section).
 
     All of these hold each combination once. Counts of distinct ids do not need that,
     so they read ``link_rows``, ``class_rows``, ``activity`` and ``classified``, in
@@ -102,6 +102,15 @@ class Star:
             return placed.select("patent_id", "country", *_year(dated)).distinct()
         return pairs
 
+    def patents_in_sections(self, dated: bool = False) -> DataFrame:
+        """Distinct (patent_id, section[, year]) over a patent's known sections."""
+        if self.dated_cpc is not None and "one_per_section" in self.dated_cpc.columns:
+            rows = _known_year(self.dated_cpc.filter(F.col("one_per_section")), dated)
+            return rows.select("patent_id", "section", *_year(dated))
+        rows = _known_year(self.dated_class_rows if dated else self.class_rows, dated)
+        rows = rows.filter(F.col("section").isNotNull())
+        return rows.select("patent_id", "section", *_year(dated)).distinct()
+
     @property
     def located(self) -> DataFrame:
         """(inventor_id, country) for inventors whose country is known."""

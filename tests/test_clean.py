@@ -12,6 +12,7 @@ from grantlens.plans.clean import (
     clean_inventors,
     clean_links,
     clean_star,
+    mark_cpc,
     mark_links,
 )
 from grantlens.sources import synthetic
@@ -167,12 +168,15 @@ def test_flags_give_the_distinct_pairs(spark):
     raw = synthetic.raw_tables(spark, 0.4)
     star = clean_star(raw)
     marked = mark_links(star.dated_links, star.inventors).cache()
-    stored = replace(star, dated_links=marked)
+    classes = mark_cpc(star.dated_cpc).cache()
+    assert classes.count() == star.cpc.count()
+    stored = replace(star, dated_links=marked, dated_cpc=classes)
     assert marked.count() == star.links.count()
     for dated in (False, True):
         for key in ("inventor_id", "company_id"):
             assert rows(stored.patents_of(key, dated)) == rows(star.patents_of(key, dated))
         assert rows(stored.patents_in_countries(dated)) == rows(star.patents_in_countries(dated))
+        assert rows(stored.patents_in_sections(dated)) == rows(star.patents_in_sections(dated))
     for limit in (1, 20):
         want = [tuple(r) for r in analysis.wide_join(star, limit).collect()]
         assert [tuple(r) for r in analysis.wide_join(stored, limit).collect()] == want
