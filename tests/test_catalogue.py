@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from grantlens.catalogue import all_queries, all_sql
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 # Queries whose result SQL over the tables cannot express.
 ROWS_ONLY = {"json_report", "file_integrity_audit", "pending_files"}
