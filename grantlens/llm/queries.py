@@ -7,25 +7,44 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import mixing, packing
+from grantlens.llm import language, mixing, packing, pii, topk, toxicity
 from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.graded(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonym_report(read_table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_source_mixing, op10_sequence_packing)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op9_language, op10_sequence_packing,
+    )}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op4_source_mixing": checking.MIXING}
+    return {"op3_exact_top_k": checking.TOP_K, "op4_source_mixing": checking.MIXING}

@@ -36,3 +36,22 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
        (epochs * size + greatest(0, least(size, floor(target)::BIGINT - epochs * source_size - start)))::BIGINT AS taken
 FROM placed
 """
+
+TOP_K = """
+WITH good AS (
+    SELECT vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_sum(list_transform(list_zip(q.vector, c.vector), lambda x: x[1] * x[2]))::BIGINT AS score
+    FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, vec_id, score,
+           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
