@@ -28,6 +28,7 @@ DIMS = 8192
 PER_LANGUAGE = 400  # the bound of the sample that centroids are fitted to, per language
 CENTROIDS = 3
 FARTHEST = 0.97  # cosine distance beyond which a text is rejected
+STRAYS = 0.05  # share of a language's sample that a centroid must be nearest to
 UNKNOWN = "und"
 
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -88,7 +89,9 @@ def clustered(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
             if (nearest == c).any():
                 mean = points[nearest == c].sum(axis=0)
                 centres[c] = mean / max(np.linalg.norm(mean), 1e-12)
-    return centres
+    # a centre that hardly anything is near to describes strays, such as texts with a wrong label
+    near = np.bincount(np.argmax(points @ centres.T, axis=1), minlength=len(centres))
+    return centres[near >= STRAYS * len(points)]
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS,

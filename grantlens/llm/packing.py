@@ -17,6 +17,8 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -29,11 +31,22 @@ CAPACITY = 4096
 END = 2
 PIECE = 256
 BLOCK_TOKENS = 2_000_000
-REMEMBERED = 400_000  # words whose ids a task remembers at a time
+REMEMBERED = 800_000  # words whose ids a worker remembers at a time
+
+#: The sign that stands for each byte in a byte-level vocabulary: printable ones for themselves,
+#: the others for the next free code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+@lru_cache(maxsize=1)
+def coder_of(path: str) -> WordCoder:
+    """One for all tasks of a Python worker."""
+    return WordCoder(path)
+
+
 class WordCoder:
     """Ids of a text by a tokenizer that never joins what blanks separate, word by word.
 
@@ -50,15 +63,29 @@ class WordCoder:
         coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
         return [np.asarray(c.ids, dtype="<u4").tobytes() for c in coded]
 
-    def _learn(self, words: list[bytes]) -> None:
-        """A mark after an ASCII letter or digit is a token of its own: learn stem and mark apart."""
+    def _merge(self, word: bytes) -> bytes:
+        """Ids of a word of lower-case letters, which only the merges have to look at."""
+        tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(_BYTE_SIGNS))
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+
+    def _learn(self, words: set[bytes]) -> None:
+        """A mark after an ASCII letter or digit is a token of its own: stem and mark are learned apart."""
         known = self.known
-        ends = {w: w[:-1] for w in words if w[-1:] in b".," and len(w) > 1 and w[-2:-1].isalnum()}
-        plain = [w for w in {ends.get(w, w) for w in words} | ({b".", b","} if ends else set())
-                 if w not in known]
-        known.update(zip(plain, self._encode(plain), strict=True))
-        for word, stem in ends.items():
-            known[word] = known[stem] + known[word[-1:]]
+        ends = [w for w in words if w[-1:] in b".," and len(w) > 1 and w[-2:-1].isalnum()]
+        plain = words.difference(ends).union([w[:-1] for w in ends], (b".", b",") if ends else ())
+        others = []
+        for w in plain:
+            if w in known:
+                continue
+            letters = w.decode()
+            if letters.isalpha() and letters == letters.lower() and is_normalized("NFC", letters):
+                known[w] = self._merge(w)
+            else:
+                others.append(w)
+        if others:
+            known.update(zip(others, self._encode(others), strict=True))
+        for w in ends:
+            known[w] = known[w[:-1]] + known[w[-1:]]
 
     def encode(self, text: str) -> bytes:
         raw = text.encode("utf-8", "replace")
@@ -66,13 +93,12 @@ class WordCoder:
             raw = raw.lower()
         words = raw.split()
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        self._learn([w for w in set(words) if w not in known])
+        missing = {w for w in words if w not in known}
+        if missing:
+            if len(known) > REMEMBERED:
+                known.clear()
+                missing = set(words)
+            self._learn(missing)
         return b"".join([known[w] for w in words])
 
 
@@ -80,7 +106,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     """doc_id, start, length, ids_crc32, doc_tokens for each piece of each document."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = WordCoder(tokenizer)
+        coder = coder_of(tokenizer)
         end = np.asarray([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
@@ -110,16 +136,22 @@ def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
     serial = n
     while len(heap) > 1:
         _, _, sums, nodes = heapq.heappop(heap)
-        _, _, other, others = heapq.heappop(heap)
-        clash = max(0, len(sums) + len(other) - ways)
-        if clash:  # the smallest slots of one meet the largest of the other, crosswise
+        # A partition with an empty slot stays the most imbalanced one while others fit beside its slots.
+        more_sums, more_nodes, filled = [sums], [nodes], len(sums)
+        while heap and filled + len(heap[0][2]) <= ways:
+            _, _, other, others = heapq.heappop(heap)
+            more_sums.append(other)
+            more_nodes.append(others)
+            filled += len(other)
+        sums, nodes = np.concatenate(more_sums), np.concatenate(more_nodes)
+        if len(more_sums) == 1:  # the smallest slots of one meet the largest of the other, crosswise
+            _, _, other, others = heapq.heappop(heap)
+            clash = len(sums) + len(other) - ways
             a, b = len(sums) - clash, slice(clash - 1, None, -1)
             joined = np.arange(n + len(children), n + len(children) + clash)
             children.extend(zip(nodes[a:].tolist(), others[b].tolist(), strict=True))
             sums = np.concatenate([sums[:a], sums[a:] + other[b], other[clash:]])
             nodes = np.concatenate([nodes[:a], joined, others[clash:]])
-        else:
-            sums, nodes = np.concatenate([sums, other]), np.concatenate([nodes, others])
         order = np.argsort(-sums, kind="stable")
         sums, nodes = sums[order], nodes[order]
         spread = int(sums[0]) - (int(sums[-1]) if len(sums) == ways else 0)

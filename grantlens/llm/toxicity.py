@@ -1,17 +1,19 @@
 """Severity of toxic texts by cumulative-link ordinal regression.
 
 P(grade <= k) is a logistic function of threshold k less one score that all thresholds share; the
-score adds the weights of the hashed words a text holds. The expected severity is the sum of
-P(grade > k). The model is fitted to a sample of labelled rows, at most ``per_grade`` of each grade;
-words enter it if they tell grades apart by more than chance would.
-
-A null or empty text holds no words. A row without label is only predicted. Where no grade above 0 is
-labelled, every severity is 0. Repeated rows and ties are scored alike. Texts are read whole. An
-empty table gives an empty result; further columns are not looked at.
+score adds the weights of the hashed features a text holds: its words, and the runs of five bytes in
+and around them. The expected severity is the sum of P(grade > k). The model is fitted to a sample of
+labelled rows, at most ``per_grade`` of each grade; features enter it if they tell grades apart by
+more than chance would.
+
+A null or empty text holds no features. A row without label is only predicted. Where no grade above 0
+is labelled, every severity is 0. Repeated rows and ties are scored alike. Texts are read whole, in
+chunks. An empty table gives an empty result; further columns are not looked at.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -19,33 +21,57 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grantlens.llm.hashing import LETTERS, grouped, tokens_of
+from grantlens.llm.common import stored, text_or_empty
+from grantlens.llm.hashing import CHUNK, LETTERS, grouped, word_tokens
 
-BITS = 20
+BITS = 22
+GRAM = 5
 PER_GRADE = 4000  # the bound of the labelled sample, per grade
-TELLING = 5.0  # standard deviations by which a word must differ from chance
-GRADES = 3
+TELLING = 6.0  # standard deviations by which a feature must differ from chance
+LEAST = 5  # texts of the sample that a feature must be found in
 
 
 class Model(NamedTuple):
-    weights: np.ndarray  # by hashed word, most of them 0
+    weights: np.ndarray  # by feature, most of them 0
     thresholds: np.ndarray  # ascending
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def _features(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and features of the words, then of the byte runs, of texts that blanks separate."""
+    hashes, starts, _ = word_tokens(raw)
+    yield starts, (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    for at in range(0, len(raw) - GRAM + 1, CHUNK):
+        b = np.frombuffer(raw[at:at + CHUNK + GRAM - 1], dtype=np.uint8).astype(np.uint64)
+        n = len(b) - GRAM + 1
+        gram = b[:n]
+        for k in range(1, GRAM):
+            gram = gram << np.uint64(8) | b[k:k + n]
+        yield np.arange(at, at + n), (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def held_words(texts: list[str | None], only: np.ndarray | None = None) -> list[np.ndarray]:
-    """The different hashed words of each text; ``only`` those with a nonzero entry, if given."""
+def held_features(texts: list[str | None], only: np.ndarray | None = None) -> list[np.ndarray]:
+    """The different features of each text; those with a true entry in ``only``, if given."""
     out: list[np.ndarray] = []
-    raw = ((t or "").encode("utf-8", "replace").translate(LETTERS) for t in texts)
-    for _, run in grouped(raw):
-        tokens = tokens_of(run)
-        words = _bucket(tokens.hashes)
-        for a, b in zip(tokens.bounds[:-1], tokens.bounds[1:], strict=True):
-            own = words[a:b]
-            out.append(np.unique(own if only is None else own[only[own] != 0]))
+    raws = ((t or "").encode("utf-8", "replace").translate(LETTERS) for t in texts)
+    for _, run in grouped(raws):
+        lengths = np.array([len(x) + 1 for x in run])
+        opens = np.cumsum(lengths) - lengths  # each text begins with a blank
+        raw = b" " + b" ".join(run) + b" "
+        owners, found = [], []
+        for places, features in _features(raw):
+            if only is not None:
+                hit = only[features]
+                places, features = places[hit], features[hit]
+            owner = np.searchsorted(opens, places, side="right") - 1
+            within = places + GRAM <= opens[owner] + lengths[owner] + 1
+            if not len(owners):
+                within[:] = True  # words lie in one text
+            owners.append(owner[within])
+            found.append(features[within])
+        pairs = np.unique(np.concatenate(owners) << BITS | np.concatenate(found))
+        owner = pairs >> BITS
+        cuts = np.searchsorted(owner, np.arange(1, len(run)))
+        out.extend(np.split(pairs & ((1 << BITS) - 1), cuts))
     return out
 
 
@@ -58,49 +84,36 @@ def exceedances(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return _sigmoid(scores[:, None] - thresholds[None, :])
 
 
-def telling_words(held: list[np.ndarray], positive: np.ndarray) -> np.ndarray:
-    """Words whose rate of graded texts differs from the overall rate by over TELLING deviations."""
-    with_word = np.bincount(np.concatenate(held), minlength=1 << BITS)
-    chosen = [h for h, p in zip(held, positive, strict=True) if p]
-    graded = np.bincount(np.concatenate(chosen), minlength=1 << BITS) if chosen else np.zeros(1 << BITS)
-    rate = positive.mean()
-    chance = np.sqrt(np.maximum(with_word * rate * (1 - rate), 1e-9))
-    return np.flatnonzero((with_word >= 5) & (np.abs(graded - with_word * rate) > TELLING * chance))
-
-
-def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 400, ridge: float = 1e-3) -> Model:
-    """Gradient ascent with momentum on the penalised likelihood; gaps of thresholds stay positive."""
+def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ridge: float = 1e-5) -> Model:
+    """Adam steps on the penalised likelihood of the held features; gaps of thresholds stay positive."""
     levels = int(grades.max()) if len(grades) else 0
-    weights = np.zeros(1 << BITS)
-    if not levels or not (grades == 0).any():
-        return Model(weights, np.full(max(levels, 1), 40.0 if not levels else -40.0))
-    words = telling_words(held, grades > 0)
-    place = np.full(1 << BITS, -1)
-    place[words] = np.arange(len(words))
-    lengths = [np.count_nonzero(place[h] >= 0) for h in held]
+    weights = np.zeros(1 << BITS, dtype=np.float32)
+    if not levels:
+        return Model(weights, np.array([40.0]))
+    words = np.unique(np.concatenate(held))
+    lengths = [len(h) for h in held]
     row = np.repeat(np.arange(len(held)), lengths)
-    col = np.concatenate([place[h][place[h] >= 0] for h in held]) if sum(lengths) else np.zeros(0, np.int64)
+    col = np.searchsorted(words, np.concatenate(held))
     n, k = len(held), len(words)
     w, first, gaps = np.zeros(k), 1.0, np.zeros(levels - 1)  # gaps are logarithms
     state = np.zeros((2, k + levels))
+    every = np.arange(n)
     for turn in range(1, rounds + 1):
         thresholds = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        score = np.bincount(row, weights=w[col], minlength=n)
-        above = exceedances(score, thresholds)
-        upper = np.column_stack([np.ones(n), above])[np.arange(n), grades]
-        lower = np.column_stack([above, np.zeros(n)])[np.arange(n), grades]
-        p = np.maximum(upper - lower, 1e-12)
-        slope = above * (1 - above)  # of P(grade > k) by the score
-        pad = np.column_stack([np.zeros(n), slope, np.zeros(n)])
-        d_upper, d_lower = pad[np.arange(n), grades], pad[np.arange(n), grades + 1]
-        by_score = (d_upper - d_lower) / p
-        by_threshold = np.zeros(levels)
-        for t in range(levels):  # threshold t is the lower edge of grade t + 1 and the upper of grade t
-            by_threshold[t] = (np.where(grades == t, slope[:, t], 0) / p - np.where(grades == t + 1, slope[:, t], 0) / p).sum() / n
+        above = exceedances(np.bincount(row, weights=w[col], minlength=n), thresholds)
+        edges = np.column_stack([np.ones(n), above, np.zeros(n)])
+        p = np.maximum(edges[every, grades] - edges[every, grades + 1], 1e-12)
+        slopes = np.column_stack([np.zeros(n), above * (1 - above), np.zeros(n)])
+        by_score = (slopes[every, grades] - slopes[every, grades + 1]) / p
+        # threshold t is the upper edge of grade t and the lower one of grade t + 1
+        by_threshold = np.array([
+            ((np.where(grades == t, 1, 0) - np.where(grades == t + 1, 1, 0)) * slopes[:, t + 1] / p).sum() / n
+            for t in range(levels)
+        ])
         tail = np.cumsum(by_threshold[::-1])[::-1]
         grad = np.concatenate([
             np.bincount(col, weights=by_score[row], minlength=k) / n - ridge * w,
-            [tail[0]], tail[1:] * np.exp(gaps),
+            tail[:1], tail[1:] * np.exp(gaps),
         ])
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad**2
@@ -125,24 +138,57 @@ def graded_sample(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE
         .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_grade)
         .select("doc_id", "grade")
     )
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "grade")
+    return docs.select("doc_id", text_or_empty().alias("text")).join(chosen, "doc_id").select("text", "grade")
+
+
+def telling_features(sample: DataFrame) -> np.ndarray:
+    """Features whose share of graded texts differs from the overall share by over TELLING deviations.
+
+    Counted by Spark over the sample; what comes back is bounded by the number of features.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = held_features(batch["text"].tolist())
+            seen, n = np.unique(np.concatenate(held), return_counts=True)
+            toxic = [h for h, g in zip(held, batch["grade"], strict=True) if g > 0]
+            graded = np.zeros(1 << BITS, dtype=np.int32)
+            for h in toxic:
+                graded[h] += 1
+            yield pd.DataFrame({"feature": seen, "n": n, "graded": graded[seen]})
+
+    texts, graded = sample.agg(F.count(F.lit(1)), F.count(F.when(F.col("grade") > 0, 1))).first()
+    share = graded / texts if texts else 0.0
+    counts = (
+        sample.mapInPandas(count, "feature int, n long, graded long")
+        .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("graded").alias("graded"))
+    )
+    apart = F.abs(F.col("graded") - F.col("n") * share) > TELLING * F.sqrt(F.col("n") * share * (1 - share))
+    rows = counts.where((F.col("n") >= LEAST) & apart).select("feature").collect()
+    return np.array(sorted(r["feature"] for r in rows), dtype=np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> Model:
-    sample = graded_sample(docs, labels, per_grade)
+    sample = stored(graded_sample(docs, labels, per_grade), "graded")
+    telling = np.zeros(1 << BITS, dtype=bool)
+    telling[telling_features(sample)] = True
+    chosen = np.flatnonzero(telling)
 
     @F.pandas_udf("array<int>")
-    def words(text: pd.Series) -> pd.Series:
-        return pd.Series([h.tolist() for h in held_words([t if isinstance(t, str) else None for t in text])])
+    def features(text: pd.Series) -> pd.Series:
+        only = np.zeros(1 << BITS, dtype=bool)
+        only[chosen] = True
+        return pd.Series([h.tolist() for h in held_features(text.tolist(), only)])
 
-    rows = sample.select(words("text").alias("words"), "grade").collect()  # per_grade of each grade
-    held = [np.array(r["words"], dtype=np.int64) for r in rows]
+    rows = sample.select(features("text").alias("held"), "grade").collect()  # per_grade of each grade
+    held = [np.array(r["held"], dtype=np.int64) for r in rows]
     return fit_arrays(held, np.array([r["grade"] for r in rows], dtype=np.int64))
 
 
 def severities(texts: list[str | None], model: Model) -> pd.DataFrame:
-    scores = np.array([model.weights[h].sum() for h in held_words(texts, model.weights)])
-    above = exceedances(scores.reshape(-1), model.thresholds)
+    held = held_features(texts, model.weights != 0)
+    scores = np.array([model.weights[h].sum() for h in held], dtype=np.float64)
+    above = exceedances(scores, model.thresholds)
     return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0],
                          "grade": (above >= 0.5).sum(axis=1), "toxic": above[:, 0] >= 0.5})
 
