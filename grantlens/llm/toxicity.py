@@ -27,7 +27,8 @@ from grantlens.llm.hashing import CHUNK, LETTERS, grouped, word_tokens
 BITS = 22
 GRAM = 5
 PER_GRADE = 4000  # the bound of the labelled sample, per grade
-TELLING = 6.0  # standard deviations by which a feature must differ from chance
+TELLING = 5.0  # standard deviations by which a feature must differ from chance
+CLEAN = 0.25
 LEAST = 5  # texts of the sample that a feature must be found in
 
 
@@ -118,7 +119,7 @@ def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ri
         state[0] = 0.9 * state[0] + 0.1 * grad
         state[1] = 0.99 * state[1] + 0.01 * grad**2
         step = 0.1 * (state[0] / (1 - 0.9**turn)) / (np.sqrt(state[1] / (1 - 0.99**turn)) + 1e-8)
-        w += step[:k]
+        w = np.maximum(w + step[:k], 0.0)  # a feature never makes a text milder
         first += step[k]
         gaps = np.clip(gaps + step[k + 1:], -6, 6)
     weights[words] = w
@@ -142,9 +143,10 @@ def graded_sample(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE
 
 
 def telling_features(sample: DataFrame) -> np.ndarray:
-    """Features whose share of graded texts differs from the overall share by over TELLING deviations.
+    """Features found in graded texts more often than chance would have it, by over TELLING deviations.
 
-    Counted by Spark over the sample; what comes back is bounded by the number of features.
+    Of the texts that hold one, the share without a grade is at most CLEAN times the overall share:
+    features that merely go with long texts are left out. Counted by Spark over the sample; what comes back is bounded by the number of features.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,8 +165,9 @@ def telling_features(sample: DataFrame) -> np.ndarray:
         sample.mapInPandas(count, "feature int, n long, graded long")
         .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("graded").alias("graded"))
     )
-    apart = F.abs(F.col("graded") - F.col("n") * share) > TELLING * F.sqrt(F.col("n") * share * (1 - share))
-    rows = counts.where((F.col("n") >= LEAST) & apart).select("feature").collect()
+    apart = F.col("graded") - F.col("n") * share > TELLING * F.sqrt(F.col("n") * share * (1 - share))
+    seldom_clean = F.col("n") - F.col("graded") <= CLEAN * (1 - share) * F.col("n")
+    rows = counts.where((F.col("n") >= LEAST) & apart & seldom_clean).select("feature").collect()
     return np.array(sorted(r["feature"] for r in rows), dtype=np.int64)
 
 
