@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import language, mixing, packing, pii, topk, toxicity
+from grantlens.llm import language, mixing, packing, pii, simhash, topk, toxicity
 from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
@@ -32,6 +32,10 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonym_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(read_table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,8 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op9_language, op10_sequence_packing,
+        op1_toxicity, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op7_simhash, op9_language,
+        op10_sequence_packing,
     )}
 
 
