@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import language, mixing, packing, pii, simhash, topk, toxicity
+from grantlens.llm import language, mixing, packing, pii, simhash, substring, suffix, topk, toxicity
 from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.graded(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
@@ -36,6 +40,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(read_table(spark, sf_dir, "documents"))
 
@@ -46,8 +54,8 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op7_simhash, op9_language,
-        op10_sequence_packing,
+        op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op7_simhash, op8_substring_dedup,
+        op9_language, op10_sequence_packing,
     )}
 
 
