@@ -139,7 +139,8 @@ def graded_sample(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE
         .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_grade)
         .select("doc_id", "grade")
     )
-    return docs.select("doc_id", text_or_empty().alias("text")).join(chosen, "doc_id").select("text", "grade")
+    # broadcast: at most GRADES times per_grade pairs of numbers
+    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "grade")
 
 
 def telling_features(sample: DataFrame) -> np.ndarray:
