@@ -40,7 +40,7 @@ def exponential_key(seed: str, weight: Column) -> Column:
 
 
 def with_draws(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """The columns of ``docs``, with the ones this module adds: mix_size, mix_key, mix_source."""
+    """The columns of ``docs`` and the ones this module adds: mix_size, mix_key, mix_source."""
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
     return docs.withColumns({
         "mix_size": size,
@@ -131,9 +131,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.max(F.when(F.col("taken") > F.col("epochs") * F.col("size"), F.col("mix_key"))).alias("mix_edge"),
     )
     copies = F.col("mix_epochs") + F.coalesce(F.col("mix_key") <= F.col("mix_edge"), F.lit(False)).cast("long")
+    whole = docs.select(F.struct(*docs.columns).alias("mix_row"), "doc_id", "text", "source")
     return (
-        with_draws(docs, options.get("seed", "mix")).join(edges, "mix_source")
+        with_draws(whole, options.get("seed", "mix")).join(edges, "mix_source")
         .withColumn("mix_copies", copies).where("mix_copies > 0")
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-        .select(*docs.columns)
+        .select("mix_row.*")
     )

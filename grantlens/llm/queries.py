@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import language, mixing, packing, pii, simhash, substring, suffix, topk, toxicity
+import corpus_pipeline
+from grantlens.llm import language, minhash, mixing, packing, pii, simhash, substring, suffix, topk, toxicity
 from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
@@ -36,6 +37,10 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonym_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.with_components(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -54,9 +59,9 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op7_simhash, op8_substring_dedup,
-        op9_language, op10_sequence_packing,
-    )}
+        op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op6_minhash, op7_simhash,
+        op8_substring_dedup, op9_language, op10_sequence_packing,
+    )} | {"pipeline": corpus_pipeline.run}
 
 
 def all_sql() -> dict[str, str]:
