@@ -112,7 +112,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int =
     counted = rows.select("text").mapInPandas(frequencies, "gram int, n long")
     totals = {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
     docs = totals.pop(dims, 0)
-    idf = np.zeros(dims, dtype=np.float32)
+    # grams never seen weigh most: they count towards a text's length, so that strange texts lie far off
+    idf = np.full(dims, np.log(1 + docs) + 1, dtype=np.float32)
     for gram, n in totals.items():
         idf[gram] = np.log((1 + docs) / (1 + n)) + 1
 

@@ -47,7 +47,7 @@ def collapsed(core: np.ndarray, full: np.ndarray, tid: np.ndarray, a: np.ndarray
     order = np.lexsort((full, core))
     core, full, tid, a, b = (x[order] for x in (core, full, tid, a, b))
     same = (core[1:] == core[:-1]) & (full[1:] == full[:-1])
-    before, after = np.concatenate([[False], same]), np.concatenate([same, [False]])
+    before, after = (x[:len(core)] for x in (np.concatenate([[False], same]), np.concatenate([same, [False]])))
     one = np.flatnonzero(~before)
     again = before | after
     t, x, y = merged(tid[again], a[again], b[again])

@@ -41,9 +41,10 @@ def terms(text: Column) -> Column:
 
 def vote_sums(hashed: Column) -> list[Column]:
     """Sums v0 to v63 over the rows of a group: counters of bits k and k + 32 of two hashes."""
+    second = F.when(hashed.isNotNull(), F.xxhash64(hashed))
     return [
         F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_PAIRED))).alias(f"v{32 * j + k}")
-        for j, h in enumerate((hashed, F.xxhash64(hashed)))
+        for j, h in enumerate((hashed, second))
         for k in range(32)
     ]
 
