@@ -3,6 +3,8 @@
 patents = orders, inventors = supplier with its nation, companies = customer,
 links = distinct (order, supplier, customer) where orders of status P have no
 company, classifications = distinct (order, part type, brand, brand + size).
+
+The SQL views after these hold each (patent, entity, year) once: checking SQL counts them.
 """
 
 from __future__ import annotations
@@ -31,7 +33,21 @@ patent_relationships AS (
 patent_cpc AS (
   SELECT DISTINCT l_orderkey AS patent_id, p_type AS section, p_brand AS cpc_class,
          p_brand || CAST(p_size AS VARCHAR) AS cpc_subclass
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+filed AS (SELECT o_orderkey AS patent_id, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
+company_filings AS (
+  SELECT patent_id, o_custkey AS company_id, year FROM orders JOIN filed ON patent_id = o_orderkey
+  WHERE o_orderstatus <> 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+inventor_filings AS (
+  SELECT DISTINCT patent_id, l_suppkey AS inventor_id, year
+  FROM lineitem JOIN filed ON patent_id = l_orderkey),
+country_filings AS (
+  SELECT DISTINCT patent_id, n_name AS country, year FROM inventor_filings
+  JOIN supplier ON s_suppkey = inventor_id JOIN nation ON n_nationkey = s_nationkey),
+class_filings AS (
+  SELECT DISTINCT patent_id, p_type AS section, p_brand AS cpc_class, year
+  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN filed ON patent_id = l_orderkey),
+section_filings AS (SELECT DISTINCT patent_id, section, year FROM class_filings)"""
 
 # Documents as searchable patents: the whole text is the abstract, dates come from the orders.
 CORPUS_SQL = """
