@@ -1,21 +1,18 @@
-"""Reports, files that are written and read back, generated rows, file audits."""
+"""Reports, files that are written and read back, file audits."""
 
 from __future__ import annotations
 
 import uuid
-from datetime import date
 
 from pyspark.sql import functions as F
 
 from grantlens.catalogue.cleaning import RAW, _NAMES, raw_tables
 from grantlens.catalogue.questions import PERIODS
 from grantlens.catalogue.registry import query
-from grantlens.functions.draws import uniform
 from grantlens.plans import analysis, reports
 from grantlens.schemas import RAW as RAW_SCHEMAS
 from grantlens.session import shared_folder
-from grantlens.sources import delimited, integrity, synthetic, warehouse
-from grantlens.sources.paths import listing
+from grantlens.sources import delimited, integrity, warehouse
 
 
 def _fresh_folder(t, name: str) -> str:
@@ -170,138 +167,65 @@ def _(t):
     return t.spark.createDataFrame(list(counts.items()), "table_name string, rows long")
 
 
-# -- generated rows -----------------------------------------------------------------------
-
-
-def _uniform_sql(key: str, salt: str) -> str:
-    return f"(CAST('0x' || substr(md5({key} || ':{salt}'), 1, 8) AS BIGINT) / 4294967296.0)"
-
-
-def _pick_sql(u: str, weighted) -> str:
-    total, cases = 0.0, []
-    for value, weight in weighted[:-1]:
-        total = round(total + weight, 10)
-        quoted = f"'{value}'" if isinstance(value, str) else value
-        cases.append(f"WHEN {u} < {total} THEN {quoted}")
-    last = weighted[-1][0]
-    quoted = f"'{last}'" if isinstance(last, str) else last
-    return f"CASE {' '.join(cases)} ELSE {quoted} END"
-
-
-START, END = date(1995, 1, 1), date(2001, 12, 31)
-_DAYS = (END - START).days
-_MODE = _DAYS * synthetic.MODE_OF_DATES
-_U, _D = _uniform_sql("o_orderkey", "date"), _uniform_sql("o_orderkey", "dirt")
-
-
-@query(
-    "synthetic_patents",
-    f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS patent_id,
-       CASE WHEN {_D} < 0.005 THEN '' ELSE CAST(DATE '1995-01-01' + CAST(floor(
-         CASE WHEN {_U} < {_MODE / _DAYS} THEN 0.0 + sqrt({_U} * {_DAYS * _MODE})
-              ELSE {float(_DAYS)} - sqrt((1.0 - {_U}) * {_DAYS * (_DAYS - _MODE)}) END) AS INTEGER)
-         AS VARCHAR) END AS patent_date,
-       CASE WHEN {_D} >= 0.005 AND {_D} < 0.010 THEN '   Trimmed    method ' || o_orderkey || '   '
-            ELSE 'Method ' || o_orderkey END AS patent_title,
-       CASE WHEN {_D} >= 0.010 AND {_D} < 0.015 THEN ''
-            ELSE 'Apparatus for method ' || o_orderkey || '.' END AS patent_abstract
-FROM orders""",
-)
-def _(t):
-    return synthetic.patent_rows(t["orders"].select("o_orderkey"), START, END)
-
-
-_STEP = "o_orderkey || '/' || s"
-
-
-@query(
-    "synthetic_inventors",
-    f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS inventor_sequence,
-       CASE WHEN {_uniform_sql(_STEP, 'dirt')} < 0.002 THEN '' ELSE 'inv-' || person END AS inventor_id,
-       'First' || person AS disambig_inventor_name_first,
-       'Last' || person AS disambig_inventor_name_last, 'loc-' || place AS location_id
-FROM (SELECT o_orderkey, s, CAST(floor({_uniform_sql(_STEP, 'person')} * 6000) AS INTEGER) AS person,
-             CAST(floor({_uniform_sql(_STEP, 'place')} * 600) AS INTEGER) AS place
-      FROM orders CROSS JOIN generate_series(1, 5) AS g(s)
-      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'inventors'), synthetic.INVENTORS_PER_PATENT)})""",
-)
-def _(t):
-    return synthetic.inventor_rows(t["orders"].select("o_orderkey"), 6_000, 600)
-
-
-@query(
-    "synthetic_assignees",
-    f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS assignee_sequence,
-       'org-' || company AS assignee_id,
-       CAST(NULL AS VARCHAR) AS disambig_assignee_individual_name_first,
-       CAST(NULL AS VARCHAR) AS disambig_assignee_individual_name_last,
-       'Company ' || company AS disambig_assignee_organization
-FROM (SELECT o_orderkey, s, CAST(floor({_uniform_sql(_STEP, 'company')} * 60) AS INTEGER) AS company
-      FROM orders CROSS JOIN generate_series(1, 2) AS g(s)
-      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'assignees'), synthetic.ASSIGNEES_PER_PATENT)})""",
-)
-def _(t):
-    return synthetic.assignee_rows(t["orders"].select("o_orderkey"), 60)
-
+# -- file audits --------------------------------------------------------------------------
 
-@query(
-    "synthetic_classes",
-    f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS patent_id, CAST(s AS INTEGER) AS cpc_sequence,
-       section AS cpc_section, section || number AS cpc_class,
-       section || number || letter AS cpc_subclass
-FROM (SELECT o_orderkey, s,
-        substr('{synthetic.SECTIONS}',
-               CAST(floor({_uniform_sql(_STEP, 'section')} * 9) AS INTEGER) + 1, 1) AS section,
-        lpad(CAST(CAST(floor({_uniform_sql(_STEP, 'class')} * 20) AS INTEGER) + 1 AS VARCHAR), 2, '0')
-          AS number,
-        substr('{synthetic.SUBCLASSES}',
-               CAST(floor({_uniform_sql(_STEP, 'subclass')} * 6) AS INTEGER) + 1, 1) AS letter
-      FROM orders CROSS JOIN generate_series(1, 3) AS g(s)
-      WHERE s <= {_pick_sql(_uniform_sql('o_orderkey', 'classes'), synthetic.CLASSES_PER_PATENT)})""",
-)
-def _(t):
-    return synthetic.class_rows(t["orders"].select("o_orderkey"))
+# Documents as files: path, size and digest of the text. The record was taken before some changed:
+# ids divisible by 7 had another text, by 11 were empty; ids divisible by 5 are gone, by 13 are new.
+_RECORD = """
+recorded AS (
+  SELECT 'csv/' || doc_id AS path,
+         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE octet_length(encode(text)) END AS bytes,
+         CASE WHEN doc_id % 11 = 0 THEN sha256('') WHEN doc_id % 7 = 0 THEN sha256(upper(text) || '.')
+              ELSE sha256(text) END AS sha256
+  FROM documents WHERE doc_id % 13 <> 0),
+present AS (
+  SELECT 'csv/' || doc_id AS path, octet_length(encode(text)) AS bytes, sha256(text) AS sha256
+  FROM documents WHERE doc_id % 5 <> 0)"""
+
+
+def _files_of(t) -> tuple:
+    text = F.col("text")
+    docs = t["documents"].select("doc_id", "text", F.concat(F.lit("csv/"), "doc_id").alias("path"))
+    empty = F.col("doc_id") % 11 == 0
+    older = F.when(empty, F.lit("")).when(
+        F.col("doc_id") % 7 == 0, F.concat(F.upper(text), F.lit("."))
+    ).otherwise(text)
+    size = F.octet_length(text).cast("long")
+    recorded = docs.filter("doc_id % 13 <> 0").select(
+        "path", F.when(empty, 0).otherwise(size).alias("bytes"), F.sha2(older, 256).alias("sha256")
+    )
+    present = docs.filter("doc_id % 5 <> 0").select(
+        "path", size.alias("bytes"), F.sha2(text, 256).alias("sha256")
+    )
+    return recorded, present
 
 
 @query(
-    "synthetic_locations",
-    f"""
-SELECT 'loc-' || c_custkey AS location_id,
-       {_pick_sql(_uniform_sql('c_custkey', 'country'), synthetic.COUNTRY_WEIGHTS)} AS disambig_country
-FROM customer""",
+    "file_integrity_audit",
+    """
+SELECT r.path, CASE WHEN p.path IS NULL THEN 'missing' WHEN p.sha256 = r.sha256 AND p.bytes = r.bytes THEN 'ok'
+                    ELSE 'mismatch' END AS status
+FROM recorded r LEFT JOIN present p ON p.path = r.path""",
+    _RECORD,
 )
 def _(t):
-    return synthetic.location_rows(t["customer"].select("c_custkey"))
-
-
-@query("uniform_draws", f"SELECT l_orderkey, l_linenumber, {_uniform_sql('l_orderkey', 'x')} AS u FROM lineitem")
-def _(t):
-    return t["lineitem"].select(
-        "l_orderkey", "l_linenumber", uniform(F.col("l_orderkey"), "x").alias("u")
-    )
-
-
-# -- file audits --------------------------------------------------------------------------
+    """A record is written as a manifest, read back, and held against the files that are there."""
+    recorded, present = _files_of(t)
+    record = _fresh_folder(t, "record")
+    integrity.record_loaded(recorded, record)
+    manifest = integrity.choose_format(integrity.read_load_record(t.spark, record), "both")
+    return integrity.audit(manifest, present)
 
 
-@query("file_integrity_audit")
+@query("pending_files", "SELECT p.* FROM present p WHERE (p.path, p.bytes) NOT IN (SELECT (path, bytes) FROM recorded)", _RECORD)
 def _(t):
-    """The data folder against a manifest of itself, written and read back as a record."""
-    found = integrity.checksums(listing(t.spark, t.sf_dir, "*.parquet"))
+    recorded, present = _files_of(t)
     record = _fresh_folder(t, "record")
-    integrity.record_loaded(found, record)
-    recorded = integrity.read_load_record(t.spark, record)
-    return integrity.audit(recorded, found)
+    integrity.record_loaded(recorded, record)
+    return integrity.pending(present, integrity.read_load_record(t.spark, record))
 
 
-@query("pending_files")
+@query("pending_files_forced", "SELECT * FROM present", _RECORD)
 def _(t):
-    """Files of the data folder that are not yet recorded: one table was loaded before."""
-    found = integrity.checksums(listing(t.spark, t.sf_dir, "*.parquet"))
-    record = _fresh_folder(t, "record")
-    integrity.record_loaded(found.filter(F.col("path").endswith("/lineitem.parquet")), record)
-    return integrity.pending(found, integrity.read_load_record(t.spark, record))
+    recorded, present = _files_of(t)
+    return integrity.pending(present, recorded, force=True)

@@ -9,7 +9,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from grantlens.session import shared_folder
 
 
-def number_within(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
+def number_within(
+    df: DataFrame, key: str, order: Sequence[str], name: str, huge_parents: bool = False
+) -> DataFrame:
+    """row_number per key in the given order; nothing runs before the result is asked for."""
+    if huge_parents:
+        return number_within_slices(df, key, order, name)
+    window = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order])
+    return df.withColumn(name, F.row_number().over(window))
+
+
+def number_within_slices(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
     """row_number per key in the given order, without gathering a key in one task.
 
     Rows are range-partitioned by (key, order), so a large key is cut into

@@ -29,10 +29,8 @@ def stratified_sample(
     task into the shuffle. The hash order is fixed by the key alone, so the
     sample does not depend on partitioning.
     """
-    hashed = df.withColumn("_hash", F.md5(F.col(key).cast("string")))
+    hashed = df.select(stratum, key, F.md5(F.col(key).cast("string")).alias("_hash"))
     kept = top_per_group(hashed, [stratum], [F.asc("_hash"), F.asc(key)], max_quota, "_position")
-    return (
-        kept.join(quota, stratum)
-        .filter(F.col("_position") <= F.col("quota"))
-        .drop("_hash", "_position", "quota")
-    )
+    chosen = kept.join(quota, stratum).filter(F.col("_position") <= F.col("quota"))
+    # only keys go through the ranking; the rows are fetched for the chosen ones
+    return df.join(chosen.select(stratum, key), [stratum, key], "left_semi")

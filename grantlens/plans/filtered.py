@@ -29,7 +29,7 @@ from grantlens.operators.growing import trend
 from grantlens.operators.ranking import page, ranked_within, sort_choice, top
 from grantlens.operators.reshaping import pivot_counts, unpivot
 from grantlens.operators.shares import concentration, with_share
-from grantlens.plans.summaries import Summaries
+from grantlens.plans.summaries import MATRIX_COMPANIES, Summaries
 from grantlens.star import Star, country_present
 
 # Named year ranges. A negative start counts back from the last year.
@@ -283,7 +283,7 @@ def route_companies(star: Star, summaries: Summaries, f: Filters) -> DataFrame:
 def ranked_inventors(star: Star, f: Filters, rank: int = 3) -> DataFrame:
     """(country, inventor, patents, rnk) with rnk up to ``rank``; ties may give more rows."""
     where = country_present()
-    if f.by_class and f.countries:
+    if f.countries:
         where = where & F.col("country").isin(*f.countries)
     people = star.inventors.filter(where).select(
         "inventor_id", F.col("name").alias("inventor"), "country"
@@ -458,7 +458,12 @@ def section_growth_long(summaries: Summaries) -> DataFrame:
 
 
 def heatmap(summaries: Summaries, sections: Sequence[str], companies: int = 15) -> DataFrame:
-    """Wide company x section table of the leading companies."""
+    """Wide company x section table of the leading companies.
+
+    The summary holds so many companies and no more: asking for others is an error.
+    """
+    if companies > MATRIX_COMPANIES:
+        raise ValueError(f"the stored matrix holds {MATRIX_COMPANIES} companies")
     order = [F.desc("total_patents"), F.asc_nulls_last("company"), F.asc("company_id")]
     leaders = top(summaries["mv_company_total"], order, companies).select(
         F.col("company").alias("company_name")
@@ -524,7 +529,7 @@ def printed_report(star: Star, summaries: Summaries, f: Filters) -> dict[str, Da
     )
     places = countries(star, f) if f.by_class else countries_rollup(summaries, f)
     leaders = volumes_page(
-        company_volumes_rollup(summaries, replace(f, min_patents=0)), "company", replace(f, top_n=15)
+        route_companies(star, summaries, replace(f, min_patents=0)), "company", replace(f, top_n=15)
     )
     return {
         "yearly": yearly(star, f),

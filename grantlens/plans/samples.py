@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from grantlens.functions.text import after_first_word, first_word
 from grantlens.operators.numbering import number_within
 from grantlens.operators.sampling import proportional_quota, stratified_sample
+from grantlens.operators.shares import everything
 from grantlens.star import Star
 
 PEAK_PER_YEAR = 200
@@ -32,23 +33,27 @@ def sample_patents(
     peak: int = PEAK_PER_YEAR,
     floor: int = MIN_PER_YEAR,
 ) -> DataFrame:
-    """Patents chosen by the hash of their id, per year as many as the quota says."""
-    chosen = quota if quota is not None else quota_from_data(star, peak, floor)
+    """Patents chosen by the hash of their id, per year as many as the quota says.
+
+    A given quota bounds itself: its largest entry is looked up, one row per year.
+    """
+    if quota is None:
+        chosen, most = quota_from_data(star, peak, floor), max(peak, floor)
+    else:
+        chosen, most = quota, quota.agg(F.max("quota")).first()[0] or 0
     dated = star.patents.filter(F.col("year").isNotNull())
-    return stratified_sample(dated, chosen, "year", "patent_id", max(peak, floor))
+    return stratified_sample(dated, chosen, "year", "patent_id", most)
 
 
 def sample_audit(sample: DataFrame) -> DataFrame:
     """Rows per year, next to the sample's size and range of years."""
-    def measure(e):
-        return sample.agg(e).scalar()
-
+    whole = everything()  # one row per year
     return (
         sample.groupBy("year")
         .agg(F.count(F.lit(1)).alias("patents"))
-        .withColumn("sample_size", measure(F.count(F.lit(1))))
-        .withColumn("first_year", measure(F.min("year")))
-        .withColumn("last_year", measure(F.max("year")))
+        .withColumn("sample_size", F.sum("patents").over(whole))
+        .withColumn("first_year", F.min("year").over(whole))
+        .withColumn("last_year", F.max("year").over(whole))
         .orderBy("year")
     )
 

@@ -21,6 +21,9 @@ from grantlens.plans.analysis import (
 from grantlens.sources.warehouse import write_counted
 from grantlens.star import Star
 
+# Companies of the stored company x section matrix.
+MATRIX_COMPANIES = 50
+
 
 def yearly(star: Star) -> DataFrame:
     return star.yearly
@@ -71,7 +74,7 @@ def inventor_yearly(star: Star) -> DataFrame:
     return counted.withColumn("country", F.coalesce("country", F.lit("?")))
 
 
-def company_section(star: Star, companies: int = 50) -> DataFrame:
+def company_section(star: Star, companies: int = MATRIX_COMPANIES) -> DataFrame:
     order = [F.desc("total_patents"), F.asc_nulls_last("company"), F.asc("company_id")]
     leaders = top(company_total(star), order, companies).select(
         "company_id", F.col("company").alias("company_name")

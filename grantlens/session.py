@@ -39,13 +39,16 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local folder is chosen only when the session names none (single-machine tests).
+    A local folder is chosen only when the session names none and runs on one machine;
+    on a cluster every executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

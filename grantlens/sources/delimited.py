@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from grantlens.schemas import RAW, RAW_FILES
-from grantlens.sources.paths import exists
+from grantlens.sources.paths import data_files, exists
 
 # Texts that stand for a missing value in raw files.
 NULL_TOKENS = ("", "NULL", "null")
@@ -16,7 +18,7 @@ _QUOTING = {"quote": '"', "escape": '"'}
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def _without_null_tokens(c: str) -> Column:
+def without_null_tokens(c: str) -> Column:
     column = F.col(c)
     return F.when(~column.isin(*NULL_TOKENS), column).alias(c)
 
@@ -35,12 +37,29 @@ def scan(
 ) -> DataFrame:
     """All-text scan with a header. A malformed row stops the job.
 
-    The file's own header decides which of the schema's columns are present and in
-    which order; columns it lacks come back as NULL. Ids keep leading zeros
+    Each file's own header decides which of the schema's columns are present and in
+    which order; columns it lacks come back as NULL. Files of a folder are read in groups
+    of one header. Ids keep leading zeros
     because no type is inferred. ``multiline`` is for files with line breaks inside
     quotes; such files cannot be split between tasks, so it is off by default.
     """
-    names = header_of(spark, path, separator)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in data_files(spark, path):
+        groups.setdefault(tuple(header_of(spark, file, separator)), []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no data files at {path}")
+    parts = [
+        _scan_alike(spark, files, list(names), schema, separator, multiline)
+        for names, files in groups.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _scan_alike(
+    spark: SparkSession, files: list[str], names: list[str], schema: StructType,
+    separator: str, multiline: bool,
+) -> DataFrame:
+    """Files that share one header."""
     present = StructType.fromDDL(", ".join(f"`{n}` string" for n in names))
     raw = (
         spark.read.schema(present)
@@ -51,11 +70,13 @@ def scan(
         # With pruning, a row of the wrong length would pass whenever few columns are read.
         .option("columnPruning", "false")
         .option("mode", "FAILFAST")
-        .csv(path)
+        # The header is compared with the names: a file of another order stops the job.
+        .option("enforceSchema", "false")
+        .csv(files)
     )
     return raw.select(
         [
-            _without_null_tokens(f.name)
+            without_null_tokens(f.name)
             if f.name in names
             else F.lit(None).cast("string").alias(f.name)
             for f in schema

@@ -115,7 +115,7 @@ def read_star(spark: SparkSession, folder: str) -> Star:
         if "year" in tables[name].columns:
             tables[f"dated_{name}"] = tables[name]
             tables[name] = tables[name].select(CLEAN[name].names)
-    return Star(**tables)
+    return Star(**tables).as_opened()
 
 
 def save_table(df: DataFrame, name: str) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,6 +22,8 @@ class Star:
     With them the distinct pairs are a filter, and patents per inventor, company or
     country are plain counts that Spark combines map-side; without them the pairs
     are made distinct. Stored classifications have such a flag per (patent, section).
+    ``opened`` holds the tables as a warehouse gave them; flags are read only while they
+    are still in place.
 
     All of these hold each combination once. Counts of distinct ids do not need that,
     so they read ``link_rows``, ``class_rows``, ``activity`` and ``classified``, in
@@ -35,6 +38,29 @@ class Star:
     cpc: DataFrame
     dated_links: DataFrame | None = None
     dated_cpc: DataFrame | None = None
+    opened: Mapping[str, DataFrame] | None = None
+
+    def as_opened(self) -> Star:
+        """The same star, its tables vouched for: they come from one build."""
+        tables = {f.name: getattr(self, f.name) for f in fields(Star) if f.name != "opened"}
+        return Star(**tables, opened=tables)
+
+    def _as_opened(self, *names: str) -> bool:
+        """Whether these tables are still the ones the star was opened with.
+
+        What is stored beside a table speaks of that table only: a caller who replaces a
+        table gets answers from the new one, without the shortcuts of the old.
+        """
+        return self.opened is not None and all(
+            getattr(self, name) is self.opened.get(name) for name in names
+        )
+
+    def _dated(self, table: str) -> DataFrame | None:
+        """The stored fact with its year, unless the fact itself was replaced beside it."""
+        dated = f"dated_{table}"
+        if self.opened is None or self._as_opened(table, dated) or not self._as_opened(dated):
+            return getattr(self, dated)
+        return None
 
     @property
     def link_rows(self) -> DataFrame:
@@ -47,15 +73,17 @@ class Star:
     @property
     def dated_link_rows(self) -> DataFrame:
         """(patent_id, inventor_id, company_id, year)."""
-        if self.dated_links is not None:
-            return self.dated_links
+        stored = self._dated("links")
+        if stored is not None:
+            return stored
         return self.link_rows.join(self._years(), "patent_id", "left")
 
     @property
     def dated_class_rows(self) -> DataFrame:
         """(patent_id, section, cpc_class, cpc_subclass, year)."""
-        if self.dated_cpc is not None:
-            return self.dated_cpc
+        stored = self._dated("cpc")
+        if stored is not None:
+            return stored
         return self.class_rows.join(self._years(), "patent_id", "left")
 
     @property
@@ -71,16 +99,18 @@ class Star:
         )
 
     def _chosen_rows(self, flag: str, columns: list[str], dated: bool) -> DataFrame | None:
-        """Rows a stored flag selects, or nothing when the flag is not stored."""
-        if self.dated_links is None or flag not in self.dated_links.columns:
+        """Rows a stored flag selects, or nothing when the flag is not stored or out of date."""
+        told = ["links", "dated_links"] + ["inventors"] * (flag == "one_per_country")
+        if not self._as_opened(*told) or flag not in self.dated_links.columns:
             return None
         rows = self.dated_links.filter(F.col(flag))
         return _known_year(rows, dated).select(*columns, *_year(dated))
 
     @property
     def complete(self) -> bool:
-        """Stored with flags: then every link has its patent and its inventor, by construction."""
-        return self.dated_links is not None and "one_per_inventor" in self.dated_links.columns
+        """Opened from a build and untouched: every link has its patent and its inventor."""
+        told = ("links", "dated_links", "patents", "inventors")
+        return self._as_opened(*told) and "one_per_inventor" in self.dated_links.columns
 
     def patents_of(self, key: str, dated: bool = False) -> DataFrame:
         """Distinct (patent_id, key[, year]); ``key`` is inventor_id or company_id."""
@@ -104,7 +134,7 @@ class Star:
 
     def patents_in_sections(self, dated: bool = False) -> DataFrame:
         """Distinct (patent_id, section[, year]) over a patent's known sections."""
-        if self.dated_cpc is not None and "one_per_section" in self.dated_cpc.columns:
+        if self._as_opened("cpc", "dated_cpc") and "one_per_section" in self.dated_cpc.columns:
             rows = _known_year(self.dated_cpc.filter(F.col("one_per_section")), dated)
             return rows.select("patent_id", "section", *_year(dated))
         rows = _known_year(self.dated_class_rows if dated else self.class_rows, dated)

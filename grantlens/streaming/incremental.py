@@ -7,10 +7,10 @@ a retried batch from being written twice.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from grantlens.sources.delimited import NULL_TOKENS
+from grantlens.sources.delimited import without_null_tokens
 
 
 def load_new_files(
@@ -29,12 +29,13 @@ def load_new_files(
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        # A file whose header differs from the schema stops the load; no value lands in another's column.
+        .option("enforceSchema", "false")
+        .option("columnPruning", "false")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(source)
     )
-    cleaned = raw.select(
-        [F.when(~F.col(f.name).isin(*NULL_TOKENS), F.col(f.name)).alias(f.name) for f in schema]
-    )
+    cleaned = raw.select([without_null_tokens(f.name) for f in schema])
     query = (
         cleaned.writeStream.format("parquet")
         .option("path", target)

@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from grantlens.plans import analysis, checks
@@ -22,7 +23,7 @@ from grantlens.sources.warehouse import read_star
 FILES = {
     "g_patent.tsv": (
         "patent_id\tpatent_type\tpatent_date\tpatent_title\tpatent_abstract\twipo_kind\tnum_claims\twithdrawn\tfilename\n"
-        "0123\tutility\t2010-05-01\t   Trimmed    title with inner   spacing   \tAn   abstract\tB2\t1\t0\tf\n"
+        "0123\tutility\t2010-05-01\t  Folding   ladder \tAn   abstract\tB2\t1\t0\tf\n"
         "200\tutility\t\tNo date\t\tB2\t1\t0\tf\n"
         "300\tutility\t2020\tPartial date\tNULL\tB2\t1\t0\tf\n"
         "301\tutility\t2020-13-01\tBad date\tnull\tB2\t1\t0\tf\n"
@@ -89,7 +90,7 @@ def star(spark, folder):
 
 def test_patents(star):
     assert rows(star.patents) == sorted([
-        ("0123", "Trimmed title with inner spacing", "An abstract", date(2010, 5, 1), 2010),
+        ("0123", "Folding ladder", "An abstract", date(2010, 5, 1), 2010),
         ("200", "No date", None, None, None),
         ("300", "Partial date", None, None, None),
         ("301", "Bad date", None, None, None),
@@ -170,7 +171,7 @@ def test_flags_give_the_distinct_pairs(spark):
     marked = mark_links(star.dated_links, star.inventors).cache()
     classes = mark_cpc(star.dated_cpc).cache()
     assert classes.count() == star.cpc.count()
-    stored = replace(star, dated_links=marked, dated_cpc=classes)
+    stored = replace(star, dated_links=marked, dated_cpc=classes).as_opened()
     assert marked.count() == star.links.count()
     for dated in (False, True):
         for key in ("inventor_id", "company_id"):
@@ -182,6 +183,16 @@ def test_flags_give_the_distinct_pairs(spark):
         assert [tuple(r) for r in analysis.wide_join(stored, limit).collect()] == want
     plan = stored.patents_of("inventor_id")._jdf.queryExecution().executedPlan().toString()
     assert "one_per_inventor" in plan
+    # a replaced table is believed, not what was stored beside the old one
+    some = star.inventors.filter(F.pmod(F.xxhash64("inventor_id"), F.lit(3)) == 0)
+    few = star.links.filter(F.pmod(F.xxhash64("patent_id"), F.lit(2)) == 0)
+    for table, kept in (("inventors", some), ("links", few)):
+        changed = replace(stored, **{table: kept})
+        plain = replace(star, dated_links=None, **{table: kept})
+        want = [tuple(r) for r in analysis.wide_join(plain, 50).collect()]
+        assert [tuple(r) for r in analysis.wide_join(changed, 50).collect()] == want and len(want) == 50
+        assert rows(changed.patents_in_countries(True)) == rows(plain.patents_in_countries(True))
+        assert rows(changed.patents_of("company_id")) == rows(plain.patents_of("company_id"))
 
 
 def test_clean_star_passes_its_checks(star):

@@ -1,6 +1,7 @@
 """Answers on a small star, checked by hand or by plain Python."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,34 @@ def test_console_lines(small_star):
         "Top Inventors": "1. Bob - 3 2. Ann - 2", "Top Companies": "1. Acme - 3 2. Bolt - 2",
         "Top Countries": "1. US 2. DE",
     }
+
+
+def test_a_given_quota_is_met(spark, small_star):
+    patents = spark.range(1000).selectExpr("CAST(id AS STRING) AS patent_id", "2001 AS year", "'t' AS title")
+    quota = spark.createDataFrame([(2001, 500)], "year int, quota int")
+    assert samples.sample_patents(replace(small_star, patents=patents), quota).count() == 500
+
+
+def test_more_companies_than_stored_is_an_error(small_star):
+    with pytest.raises(ValueError):
+        filtered.heatmap(Summaries(small_star), ["A"], companies=51)
+
+
+def test_an_unlisted_category_stops_the_job(spark):
+    from grantlens.operators.reshaping import pivot_counts
+
+    cells = spark.createDataFrame([("a", "X", 1), ("a", "Y", 2), ("b", None, 3)], "row string, section string, n int")
+    assert rows(pivot_counts(cells, "row", "section", "n", ["X", "Y"])) == [("a", 1, 2), ("b", 0, 0)]
+    with pytest.raises(Exception, match="unlisted"):
+        pivot_counts(cells, "row", "section", "n", ["X"]).collect()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from grantlens.session import shared_folder
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: None), sparkContext=context)
+    with pytest.raises(ValueError):
+        shared_folder(session)

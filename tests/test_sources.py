@@ -151,3 +151,20 @@ def test_synthetic_tables_clean_up(spark):
     assert star.links.filter("company_id IS NULL").count() > 0
     top = star.inventors.groupBy("country").count().orderBy(F.desc("count")).first()
     assert top["country"] == "US"
+
+
+def test_files_of_different_column_order(spark, tmp_path):
+    """Each file is read by its own header, whatever the other files of the folder say."""
+    (tmp_path / "a.tsv").write_text("location_id\tdisambig_country\nL1\tUS\n", encoding="utf-8")
+    (tmp_path / "b.tsv").write_text("disambig_country\tlocation_id\nDE\tL2\n", encoding="utf-8")
+    (tmp_path / "c.tsv").write_text("location_id\nL3\n", encoding="utf-8")
+    found = delimited.scan(spark, str(tmp_path), RAW["locations"])
+    assert rows(found.select("location_id", "disambig_country")) == sorted(
+        [("L1", "US"), ("L2", "DE"), ("L3", None)], key=repr)
+
+
+def test_empty_files_are_listed(spark, tmp_path):
+    (tmp_path / "none.txt").write_text("", encoding="utf-8")
+    (tmp_path / "some.txt").write_text("abc", encoding="utf-8")
+    found = {r["path"].rsplit("/", 1)[-1]: r["bytes"] for r in listing(spark, str(tmp_path), "*.txt").collect()}
+    assert found == {"none.txt": 0, "some.txt": 3}
