@@ -3,18 +3,22 @@
 A document's set holds the hashes of its different runs of five words, A to Z lowered. Two
 permutations make all coordinates of a signature: one scatters the set, the other, shifted circularly by k,
 gives coordinate k as its least value. ``BANDS`` bands of ``ROWS`` coordinates are bucket keys; a pair at the
-threshold of 0.75 shares no bucket with a probability below 1e-8.
+threshold of 0.75 shares no bucket with a probability below 3e-7, one at 0.8 below 1e-9.
 
 Components of the documents that are linked (equal parts at least 0.75 of all parts) are found
 without comparing all pairs of a bucket:
 
 * copies of a text are one row throughout;
 * every row is compared with one member of its buckets, the least that it meets most often, and rows
-  that are linked become one group; a second turn does so with other members where buckets still hold
-  several groups;
-* in buckets that then still hold several groups, all pairs of different groups are looked at, by size and by a
-  sketch of 192 bits that no linked pair fails by chance in practice (five standard deviations), and
-  those that pass are compared. Large buckets are cut in blocks, and each pair of blocks is a task of its own.
+  that are linked become one group;
+* in buckets that still hold several groups, every row is compared with the likeliest member of another
+  group, by signature, a few times over, as groups grow together from their nearest members;
+* what then still lies in several groups is looked at in full: all pairs of different groups, each in
+  the first bucket it shares, are compared if size and signature allow a link. A signature differs from the true
+  likeness by five standard deviations before a linked pair is passed over.
+
+Buckets are looked at by tasks of bounded size: large ones are cut in blocks, and each pair of blocks is a
+task of its own. Buckets in which no pair is likely enough are not looked at again.
 
 Every link is confirmed on the full sets before it counts. Nothing is capped and no group is collected.
 
@@ -32,29 +36,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from grantlens.llm.common import stored, text_or_empty
+from grantlens.llm.common import stored, text_key, text_or_empty
 from grantlens.llm.components import components
-from grantlens.llm.hashing import mixed, windows, word_tokens
+from grantlens.llm.hashing import LOWER, mixed, windows, word_tokens
 
 WORDS = 5
 PARTS_OF_100 = 75
-BANDS = 50
+BANDS = 40
 ROWS = 4
 SKETCH = 192
-SKETCH_LEAST = 145  # equal bits of a sketch that a pair must have to be compared
+# Expected values at the threshold less five standard deviations: equal bits, equal coordinates.
+SKETCH_LEAST = 143
+EQUAL_LEAST = 92
+NEAREST_TURNS = 3
 BLOCK = 4096  # members of a bucket that meet in one task
 BROADCAST_IDS = 500_000  # ids that may be sent to every task
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def lowered(column: str = "text") -> Column:
-    return F.translate(text_or_empty(column), _UPPER, _LOWER)
-
-
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """The different hashes of runs of ``words`` words of a lowered text, ascending."""
-    hashes, _, _ = word_tokens(text.encode("utf-8", "replace"))
+    """The different hashes of runs of ``words`` words of a text, A to Z lowered, ascending."""
+    hashes, _, _ = word_tokens(text.encode("utf-8", "replace").translate(LOWER))
     n = min(len(hashes), words)
     if not n:
         return np.zeros(0, np.uint64)
@@ -98,37 +98,49 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return keys.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> bytes:
+    """The lowest bit of each coordinate, and the next one of the first few, up to SKETCH bits."""
+    bits = np.concatenate([sig & np.uint32(1), sig >> np.uint32(1) & np.uint32(1)])[:SKETCH]
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sizes, bits, keys = [], [], []
+        sizes, bits, signatures, keys = [], [], [], []
         for text in batch["text"]:
             values = shingles(text)
             sizes.append(len(values))
             sig = signature(values)
-            bits.append(np.packbits((sig[:SKETCH] & np.uint32(1)).astype(np.uint8)).tobytes())
+            bits.append(sketch(sig))
+            signatures.append(sig.tobytes())
             keys.append(band_keys(sig).tolist() if len(values) else [])
-        yield pd.DataFrame({"tid": batch["tid"], "n": sizes, "sketch": bits, "buckets": keys})
+        yield pd.DataFrame({"tid": batch["tid"], "n": sizes, "sketch": bits, "signature": signatures, "buckets": keys})
 
 
 def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs whose sets have 75 of 100 parts in common."""
-    known, values = None, None
+    known, values = None, None  # rows come ordered by b
     for batch in batches:
         keep = []
-        for a, first, second in zip(batch["a"], batch["text_a"], batch["text_b"], strict=True):
-            if a != known:
-                known, values = a, shingles(first)
-            other = shingles(second)
+        for b, first, second in zip(batch["b"], batch["text_a"], batch["text_b"], strict=True):
+            if b != known:
+                known, values = b, shingles(second)
+            other = shingles(first)
             both = len(np.intersect1d(values, other, assume_unique=True))
             keep.append(100 * both >= PARTS_OF_100 * (len(values) + len(other) - both))
         yield batch.loc[keep, ["a", "b"]]
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose tid is in ``ids``; they are not shuffled if the ids are few."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "tid", "left_semi")
+
+
 def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs a, b that are linked. Only texts that occur in pairs are shuffled, if their ids are few."""
     pairs = stored(pairs, "pairs")
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct(), "ids")
-    wanted = texts.select("tid", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "tid", "left_semi")
+    wanted = _among(texts.select("tid", "text"), ids)
     first = wanted.select(F.col("tid").alias("a"), F.col("text").alias("text_a"))
     second = wanted.select(F.col("tid").alias("b"), F.col("text").alias("text_b"))
     return stored(pairs.join(first, "a").join(second, "b").mapInPandas(_confirmed, "a long, b long"), "links")
@@ -143,6 +155,8 @@ def _best(candidates: DataFrame) -> DataFrame:
 
 def _grouped(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (tid, label) after the groups that links (of tids) join have become one."""
+    if links.isEmpty():
+        return labels
     ends = links.join(labels.select(F.col("tid").alias("a"), F.col("label").alias("x")), "a").join(
         labels.select(F.col("tid").alias("b"), F.col("label").alias("y")), "b"
     ).select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -157,68 +171,105 @@ def _divided(members: DataFrame, labels: DataFrame) -> DataFrame:
     """bucket, tid, label, size of the buckets that hold several groups."""
     named = members.select("bucket", "tid").join(labels, "tid")
     several = named.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.xxhash64("tid"), "tid", "label")).alias("pivot"),
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
     ).where("low <> high")
-    return named.join(several.select("bucket", "size", F.col("pivot.tid").alias("pivot"),
-                                     F.col("pivot.label").alias("pivot_label")), "bucket")
+    return named.join(several.select("bucket", "size"), "bucket")
 
 
-def _pairs_of(bucket: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different groups that size and sketch allow; across two blocks, or within one."""
+def _likely_pairs(bucket: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of a bucket (two blocks of it) that may be linked across groups: a, b, equal coordinates, first bucket shared."""
     left_block, right_block = int(bucket["i"].iloc[0]), int(bucket["j"].iloc[0])
     sketches = np.frombuffer(b"".join(bucket["sketch"]), dtype=np.uint64).reshape(len(bucket), -1)
-    tid, label, n = (bucket[c].to_numpy() for c in ("tid", "label", "n"))
-    rows = np.flatnonzero(bucket["part"] == left_block)
-    cols = np.flatnonzero(bucket["part"] == right_block)
-    out = []
-    for row in rows.tolist():
-        other = cols[cols > row] if left_block == right_block else cols
-        other = other[label[other] != label[row]]
-        small, large = np.minimum(n[other], n[row]), np.maximum(n[other], n[row])
-        other = other[100 * small >= PARTS_OF_100 * large]
-        equal = SKETCH - np.bitwise_count(sketches[other] ^ sketches[row]).sum(axis=1)
-        other = other[equal >= SKETCH_LEAST]
-        out.append((np.full(len(other), tid[row]), tid[other]))
-    a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (tid[:0], tid[:0])
+    signatures = np.frombuffer(b"".join(bucket["signature"]), dtype=np.uint32).reshape(len(bucket), -1)
+    label, n, part = (bucket[c].to_numpy() for c in ("label", "n", "part"))
+    rows, cols = np.flatnonzero(part == left_block), np.flatnonzero(part == right_block)
+    own = np.array([band_keys(sig).tolist().index(key) for sig, key in zip(signatures[:1], bucket["bucket"][:1], strict=True)])[0]
+    step = max(1, 2_000_000 // max(1, len(cols)))
+    for at in range(0, len(rows), step):
+        r = rows[at:at + step]
+        unlike = sum(np.bitwise_count(sketches[r, None, w] ^ sketches[None, cols, w]).astype(np.uint8)
+                     for w in range(sketches.shape[1]))
+        good = (unlike <= SKETCH - SKETCH_LEAST) & (label[r, None] != label[None, cols])
+        low, high = np.minimum(n[r, None], n[None, cols]), np.maximum(n[r, None], n[None, cols])
+        good &= 100 * low >= PARTS_OF_100 * high
+        if left_block == right_block:
+            good &= r[:, None] < cols[None, :]
+        x, y = np.nonzero(good)
+        for part_at in range(0, len(x), 50_000):
+            a, b = r[x[part_at:part_at + 50_000]], cols[y[part_at:part_at + 50_000]]
+            same = signatures[a] == signatures[b]
+            equal = same.sum(axis=1)
+            likely = equal >= EQUAL_LEAST
+            shared = same[likely].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            yield a[likely], b[likely], equal[likely], shared == own
+
+
+def _nearest(bucket: pd.DataFrame) -> pd.DataFrame:
+    """Each row that may be linked with another group, and the likeliest row there."""
+    tid = bucket["tid"].to_numpy()
+    best = np.full(len(bucket), -1, dtype=np.int64)
+    for a, b, equal, _ in _likely_pairs(bucket):
+        for x, y in ((a, b), (b, a)):
+            np.maximum.at(best, x, equal * len(bucket) + y)
+    found = np.flatnonzero(best >= 0)
+    return pd.DataFrame({"bucket": bucket["bucket"].to_numpy()[found], "tid": tid[found],
+                         "other": tid[best[found] % len(bucket)], "equal": best[found] // len(bucket)})
+
+
+def _every(bucket: pd.DataFrame) -> pd.DataFrame:
+    """All pairs of different groups that may be linked, in the first bucket they share."""
+    tid = bucket["tid"].to_numpy()
+    pairs = [(tid[a[first]], tid[b[first]]) for a, b, _, first in _likely_pairs(bucket)]
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (tid[:0], tid[:0])
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _all_pairs(divided: DataFrame, sketches: DataFrame) -> DataFrame:
+def _in_blocks(divided: DataFrame, sketches: DataFrame):
+    """The rows of each bucket, grouped by pairs of blocks."""
+    divided = stored(divided.select("bucket", "tid", "label", "size"), "divided")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = (
-        divided.select("bucket", "tid", "label", "size").join(sketches.select("tid", "n", "sketch"), "tid")
+    ids = stored(divided.select("tid").distinct(), "ids")
+    return (
+        divided.join(_among(sketches.select("tid", "n", "sketch", "signature"), ids), "tid")
         .withColumn("part", F.pmod(F.xxhash64("tid"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")})
+        .groupBy("bucket", "i", "j")
     )
-    return rows.groupBy("bucket", "i", "j").applyInPandas(_pairs_of, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """key, n_shingles, component, component_id for each different lowered text of ``docs``.
+    """key, n_shingles, component, component_id for each different text of ``docs``.
 
     ``component`` names the group, ``component_id`` is the smallest id of its documents.
     """
     texts = stored(
-        docs.select(F.unhex(F.md5(lowered())).alias("key"), lowered().alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+        docs.select(text_key().alias("key"), text_or_empty().alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
         .groupBy("key").agg(F.first("text").alias("text"), F.min("doc_id").alias("least"))
         .withColumn("tid", F.monotonically_increasing_id()), "texts",
     )
-    sketches = stored(
-        texts.select("tid", "text").mapInPandas(_sketches, "tid long, n long, sketch binary, buckets array<long>"), "sketches"
-    )
+    sketches = stored(texts.select("tid", "text").mapInPandas(
+        _sketches, "tid long, n long, sketch binary, signature binary, buckets array<long>"), "sketches")
     rows = sketches.select(F.explode("buckets").alias("bucket"), "tid")
     pivots = rows.groupBy("bucket").agg(F.min("tid").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(rows.join(pivots.drop("size"), "bucket"), "members")
 
     links = linked(_best(members.where("tid <> pivot")), texts)
     labels = _grouped(stored(sketches.select("tid", F.col("tid").alias("label")), "labels"), links)
-    divided = _divided(members, labels)
-    links = linked(_best(divided.where("label <> pivot_label")), texts)
-    labels = _grouped(labels, links)
-    links = linked(_all_pairs(_divided(members, labels), sketches), texts)
-    labels = _grouped(labels, links)
+    for _ in range(NEAREST_TURNS):
+        near = stored(_in_blocks(_divided(members, labels), sketches).applyInPandas(
+            _nearest, "bucket long, tid long, other long, equal long"), "nearest")
+        if near.isEmpty():
+            break
+        # a row that may be linked with no other group of a bucket is done with that bucket
+        members = stored(near.select("bucket", "tid").distinct(), "members")
+        nearest = near.groupBy("tid").agg(F.max(F.struct("equal", "other"))["other"].alias("other"))
+        pairs = nearest.select(F.least("tid", "other").alias("a"), F.greatest("tid", "other").alias("b")).distinct()
+        links = linked(pairs, texts)
+        labels = _grouped(labels, links)
+    else:
+        rest = _in_blocks(_divided(members, labels), sketches).applyInPandas(_every, "a long, b long").distinct()
+        labels = _grouped(labels, linked(rest, texts))
 
     named = texts.select("key", "tid", "least").join(labels, "tid").join(sketches.select("tid", "n"), "tid")
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
@@ -229,7 +280,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def with_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     found = near_duplicates(docs.select("doc_id", "text"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(lowered())).alias("key"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(found, "key").select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
@@ -245,13 +296,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     source = docs.select("doc_id", "text")
     found = near_duplicates(source)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = source.select(name.alias("id"), F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(lowered())).alias("key"))
+    rows = source.select(name.alias("id"), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"))
     named = rows.join(found, "key").groupBy("id", "doc_id", "key").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("component").alias("component"))
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "key", "id")
     first = named.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("place"))
     stay = first.select("place.id", "place.key").unionByName(named.where("n_shingles = 0").select("id", "key"))
-    whole = docs.select(F.struct(*docs.columns).alias("row"), name.alias("id"), F.unhex(F.md5(lowered())).alias("key"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), name.alias("id"), text_key().alias("key"))
     order = Window.partitionBy("id", "key").orderBy("key")
     return whole.join(stay, ["id", "key"]).withColumn("turn", F.row_number().over(order)).where(
         "turn = 1"

@@ -45,17 +45,25 @@ def test_blocks_of_a_bucket_meet_each_other(spark, frame, monkeypatch):
     assert [r["component_id"] for r in got] == least_reachable(texts)[0]
 
 
-def test_all_pairs_of_a_bucket(spark):
+def test_all_pairs_of_a_bucket(spark, monkeypatch):
     draw = np.random.default_rng(1)
-    base = draw.integers(0, 256, 24).astype(np.uint8)
-    rows = [(1, k, k // 2, 100, 30, bytes(base)) for k in range(30)] + [(1, 99, 99, 100, 31, bytes(255 - base))]
-    divided = spark.createDataFrame([r[:3] + (r[4],) for r in rows], "bucket long, tid long, label long, size long")
-    sketches = spark.createDataFrame([(r[1], r[3], r[5]) for r in rows], "tid long, n long, sketch binary")
+    sig = draw.integers(0, 2**32, minhash.BANDS * minhash.ROWS).astype(np.uint32)
+    apart = np.concatenate([sig[:8], ~sig[8:]])
+    first, second = minhash.band_keys(sig)[:2].tolist()
+    rows = [(k, k // 2, 100, sig) for k in range(30)] + [(98, 98, 60, sig), (99, 99, 100, apart)]
+    sketches = spark.createDataFrame(
+        [(tid, n, minhash.sketch(s), s.tobytes()) for tid, _, n, s in rows], "tid long, n long, sketch binary, signature binary")
+    want = {(a, b) for a in range(30) for b in range(a + 1, 30) if a // 2 != b // 2}
     for block in (4096, 4):
-        minhash.BLOCK, kept = block, minhash.BLOCK
-        got = {tuple(r) for r in minhash._all_pairs(divided, sketches).collect()}
-        minhash.BLOCK = kept
-        assert got == {(a, b) for a in range(30) for b in range(a + 1, 30) if a // 2 != b // 2}
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        for bucket, pairs in ((first, want), (second, set())):  # pairs belong to the first bucket they share
+            divided = spark.createDataFrame(
+                [(bucket, tid, label, len(rows)) for tid, label, _, _ in rows], "bucket long, tid long, label long, size long")
+            grouped = minhash._in_blocks(divided, sketches)
+            got = [tuple(r) for r in grouped.applyInPandas(minhash._every, "a long, b long").collect()]
+            assert len(got) == len(pairs) and set(got) == pairs
+        near = grouped.applyInPandas(minhash._nearest, "bucket long, tid long, other long, equal long").collect()
+        assert {r["tid"] for r in near} == set(range(30)) and all(r["tid"] // 2 != r["other"] // 2 for r in near)
 
 
 def test_signatures_estimate_likeness():
