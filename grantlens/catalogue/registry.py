@@ -14,7 +14,7 @@ _SQL: dict[str, str] = {}
 
 # Modules that register queries.
 _MODULES = ("questions", "summary_tables", "filtered_views", "variant_views", "cleaning",
-            "sampling", "reporting")
+            "sampling", "reporting", "stored")
 
 
 def _text(sql: str, ctes: str) -> str:
