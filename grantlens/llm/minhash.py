@@ -49,6 +49,8 @@ SKETCH = 192
 SKETCH_LEAST = 143
 EQUAL_LEAST = 92
 NEAREST_TURNS = 3
+SMALL = 32  # members of a bucket that is looked at together with others
+PAIRS_AT_ONCE = 1_000_000
 BLOCK = 4096  # members of a bucket that meet in one task
 BROADCAST_IDS = 500_000  # ids that may be sent to every task
 
@@ -168,65 +170,116 @@ def _grouped(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _divided(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """bucket, tid, label, size of the buckets that hold several groups."""
-    named = members.select("bucket", "tid").join(labels, "tid")
+    """bucket, band, tid, label, size of the buckets that hold several groups."""
+    named = members.select("bucket", "band", "tid").join(labels, "tid")
     several = named.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
     ).where("low <> high")
     return named.join(several.select("bucket", "size"), "bucket")
 
 
-def _likely_pairs(bucket: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of a bucket (two blocks of it) that may be linked across groups: a, b, equal coordinates, first bucket shared."""
-    left_block, right_block = int(bucket["i"].iloc[0]), int(bucket["j"].iloc[0])
-    sketches = np.frombuffer(b"".join(bucket["sketch"]), dtype=np.uint64).reshape(len(bucket), -1)
-    signatures = np.frombuffer(b"".join(bucket["signature"]), dtype=np.uint32).reshape(len(bucket), -1)
-    label, n, part = (bucket[c].to_numpy() for c in ("label", "n", "part"))
-    rows, cols = np.flatnonzero(part == left_block), np.flatnonzero(part == right_block)
-    own = np.array([band_keys(sig).tolist().index(key) for sig, key in zip(signatures[:1], bucket["bucket"][:1], strict=True)])[0]
-    step = max(1, 2_000_000 // max(1, len(cols)))
-    for at in range(0, len(rows), step):
-        r = rows[at:at + step]
-        unlike = sum(np.bitwise_count(sketches[r, None, w] ^ sketches[None, cols, w]).astype(np.uint8)
-                     for w in range(sketches.shape[1]))
-        good = (unlike <= SKETCH - SKETCH_LEAST) & (label[r, None] != label[None, cols])
-        low, high = np.minimum(n[r, None], n[None, cols]), np.maximum(n[r, None], n[None, cols])
-        good &= 100 * low >= PARTS_OF_100 * high
-        if left_block == right_block:
-            good &= r[:, None] < cols[None, :]
-        x, y = np.nonzero(good)
-        for part_at in range(0, len(x), 50_000):
-            a, b = r[x[part_at:part_at + 50_000]], cols[y[part_at:part_at + 50_000]]
-            same = signatures[a] == signatures[b]
-            equal = same.sum(axis=1)
-            likely = equal >= EQUAL_LEAST
-            shared = same[likely].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-            yield a[likely], b[likely], equal[likely], shared == own
-
-
-def _nearest(bucket: pd.DataFrame) -> pd.DataFrame:
+class Rows:
+    """Members of several buckets, one bucket (or pair of its blocks) after the other."""
+
+    def __init__(self, table: pd.DataFrame):
+        self.bucket, self.band, self.tid, self.label, self.n, self.part, self.i, self.j = (
+            table[c].to_numpy() for c in ("bucket", "band", "tid", "label", "n", "part", "i", "j"))
+        self.sketch = np.frombuffer(b"".join(table["sketch"]), dtype=np.uint64).reshape(len(table), -1)
+        self.signature = np.frombuffer(b"".join(table["signature"]), dtype=np.uint32).reshape(len(table), -1)
+
+    def bounds(self) -> np.ndarray:
+        """Where a bucket (or pair of blocks) begins, and the end."""
+        keys = np.stack([self.bucket, self.i, self.j])
+        return np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [len(self.bucket)]])
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that meet: small buckets many at a time, others row by row against all."""
+        edges = self.bounds()
+        starts, sizes = edges[:-1], np.diff(edges)
+        small = (sizes <= SMALL) & (self.i[starts] == self.j[starts])
+        for size in np.unique(sizes[small]).tolist():
+            x, y = np.triu_indices(size, 1)
+            own = starts[small & (sizes == size)]
+            step = max(1, PAIRS_AT_ONCE // max(1, len(x)))
+            for at in range(0, len(own), step):
+                yield (own[at:at + step, None] + x).ravel(), (own[at:at + step, None] + y).ravel()
+        for start, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
+            part = self.part[start:start + size]
+            rows = start + np.flatnonzero(part == self.i[start])
+            cols = start + np.flatnonzero(part == self.j[start])
+            step = max(1, PAIRS_AT_ONCE // max(1, len(cols)))
+            for at in range(0, len(rows), step):
+                r = rows[at:at + step]
+                good = self.label[r, None] != self.label[None, cols]
+                if self.i[start] == self.j[start]:
+                    good &= r[:, None] < cols[None, :]
+                x, y = np.nonzero(good)
+                yield r[x], cols[y]
+
+    def likely(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of different groups that may be linked: rows a, b, equal coordinates, and if this is their first bucket."""
+        for a, b in self.candidates():
+            low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+            good = (self.label[a] != self.label[b]) & (100 * low >= PARTS_OF_100 * high)
+            a, b = a[good], b[good]
+            unlike = np.bitwise_count(self.sketch[a] ^ self.sketch[b]).sum(axis=1)
+            good = unlike <= SKETCH - SKETCH_LEAST
+            a, b = a[good], b[good]
+            for at in range(0, len(a), 50_000):
+                x, y = a[at:at + 50_000], b[at:at + 50_000]
+                same = self.signature[x] == self.signature[y]
+                equal = same.sum(axis=1)
+                good = equal >= EQUAL_LEAST
+                shared = same[good].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+                yield x[good], y[good], equal[good], shared == self.band[x[good]]
+
+
+def _nearest(rows: Rows) -> pd.DataFrame:
     """Each row that may be linked with another group, and the likeliest row there."""
-    tid = bucket["tid"].to_numpy()
-    best = np.full(len(bucket), -1, dtype=np.int64)
-    for a, b, equal, _ in _likely_pairs(bucket):
+    best = np.full(len(rows.tid), -1, dtype=np.int64)
+    for a, b, equal, _ in rows.likely():
         for x, y in ((a, b), (b, a)):
-            np.maximum.at(best, x, equal * len(bucket) + y)
+            np.maximum.at(best, x, equal * len(best) + y)
     found = np.flatnonzero(best >= 0)
-    return pd.DataFrame({"bucket": bucket["bucket"].to_numpy()[found], "tid": tid[found],
-                         "other": tid[best[found] % len(bucket)], "equal": best[found] // len(bucket)})
+    other = best[found] % len(best)
+    return pd.DataFrame({"bucket": rows.bucket[found], "band": rows.band[found], "tid": rows.tid[found],
+                         "other": rows.tid[other], "equal": best[found] // len(best)})
 
 
-def _every(bucket: pd.DataFrame) -> pd.DataFrame:
+def _every(rows: Rows) -> pd.DataFrame:
     """All pairs of different groups that may be linked, in the first bucket they share."""
-    tid = bucket["tid"].to_numpy()
-    pairs = [(tid[a[first]], tid[b[first]]) for a, b, _, first in _likely_pairs(bucket)]
-    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (tid[:0], tid[:0])
+    pairs = [(rows.tid[a[first]], rows.tid[b[first]]) for a, b, _, first in rows.likely()]
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (rows.tid[:0], rows.tid[:0])
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _in_blocks(divided: DataFrame, sketches: DataFrame):
-    """The rows of each bucket, grouped by pairs of blocks."""
-    divided = stored(divided.select("bucket", "tid", "label", "size"), "divided")
+def _whole_buckets(look):
+    """``look`` over batches that end where a bucket ends; what is held back is one bucket at most."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch[["bucket", "i", "j"]].to_numpy()
+            last = int(np.flatnonzero((keys != keys[-1]).any(axis=1)).max(initial=-1)) + 1
+            if last or (held and (held[-1][["bucket", "i", "j"]].to_numpy()[-1] != keys[0]).any()):
+                yield look(Rows(pd.concat([*held, batch.iloc[:last]], ignore_index=True)))
+                held = []
+            held.append(batch.iloc[last:])
+        if held:
+            yield look(Rows(pd.concat(held, ignore_index=True)))
+
+    return run
+
+
+_PAIRS = "a long, b long"
+_NEAR = "bucket long, band int, tid long, other long, equal long"
+
+
+def _looked_at(divided: DataFrame, sketches: DataFrame, look, schema: str) -> DataFrame:
+    """``look`` over the rows of each bucket, large ones by pairs of blocks."""
+    divided = stored(divided.select("bucket", "band", "tid", "label", "size"), "divided")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     ids = stored(divided.select("tid").distinct(), "ids")
     return (
@@ -234,7 +287,9 @@ def _in_blocks(divided: DataFrame, sketches: DataFrame):
         .withColumn("part", F.pmod(F.xxhash64("tid"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")})
-        .groupBy("bucket", "i", "j")
+        .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        .select("bucket", "band", "tid", "label", "n", "part", "i", "j", "sketch", "signature")
+        .mapInPandas(_whole_buckets(look), schema)
     )
 
 
@@ -250,25 +305,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     sketches = stored(texts.select("tid", "text").mapInPandas(
         _sketches, "tid long, n long, sketch binary, signature binary, buckets array<long>"), "sketches")
-    rows = sketches.select(F.explode("buckets").alias("bucket"), "tid")
+    rows = sketches.select(F.posexplode("buckets").alias("band", "bucket"), "tid")
     pivots = rows.groupBy("bucket").agg(F.min("tid").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(rows.join(pivots.drop("size"), "bucket"), "members")
 
     links = linked(_best(members.where("tid <> pivot")), texts)
     labels = _grouped(stored(sketches.select("tid", F.col("tid").alias("label")), "labels"), links)
     for _ in range(NEAREST_TURNS):
-        near = stored(_in_blocks(_divided(members, labels), sketches).applyInPandas(
-            _nearest, "bucket long, tid long, other long, equal long"), "nearest")
+        near = stored(_looked_at(_divided(members, labels), sketches, _nearest, _NEAR), "nearest")
         if near.isEmpty():
             break
         # a row that may be linked with no other group of a bucket is done with that bucket
-        members = stored(near.select("bucket", "tid").distinct(), "members")
+        members = stored(near.select("bucket", "band", "tid").distinct(), "members")
         nearest = near.groupBy("tid").agg(F.max(F.struct("equal", "other"))["other"].alias("other"))
         pairs = nearest.select(F.least("tid", "other").alias("a"), F.greatest("tid", "other").alias("b")).distinct()
         links = linked(pairs, texts)
         labels = _grouped(labels, links)
     else:
-        rest = _in_blocks(_divided(members, labels), sketches).applyInPandas(_every, "a long, b long").distinct()
+        rest = _looked_at(_divided(members, labels), sketches, _every, _PAIRS).distinct()
         labels = _grouped(labels, linked(rest, texts))
 
     named = texts.select("key", "tid", "least").join(labels, "tid").join(sketches.select("tid", "n"), "tid")

@@ -54,15 +54,15 @@ def test_all_pairs_of_a_bucket(spark, monkeypatch):
     sketches = spark.createDataFrame(
         [(tid, n, minhash.sketch(s), s.tobytes()) for tid, _, n, s in rows], "tid long, n long, sketch binary, signature binary")
     want = {(a, b) for a in range(30) for b in range(a + 1, 30) if a // 2 != b // 2}
-    for block in (4096, 4):
+    for block, small in ((4096, 64), (4096, 2), (4, 2)):
         monkeypatch.setattr(minhash, "BLOCK", block)
-        for bucket, pairs in ((first, want), (second, set())):  # pairs belong to the first bucket they share
-            divided = spark.createDataFrame(
-                [(bucket, tid, label, len(rows)) for tid, label, _, _ in rows], "bucket long, tid long, label long, size long")
-            grouped = minhash._in_blocks(divided, sketches)
-            got = [tuple(r) for r in grouped.applyInPandas(minhash._every, "a long, b long").collect()]
-            assert len(got) == len(pairs) and set(got) == pairs
-        near = grouped.applyInPandas(minhash._nearest, "bucket long, tid long, other long, equal long").collect()
+        monkeypatch.setattr(minhash, "SMALL", small)
+        members = [(bucket, band, tid, label, len(rows)) for band, bucket in enumerate((first, second)) for tid, label, _, _ in rows]
+        divided = spark.createDataFrame(members, "bucket long, band int, tid long, label long, size long")
+        # pairs belong to the first bucket they share
+        got = [tuple(r) for r in minhash._looked_at(divided, sketches, minhash._every, minhash._PAIRS).collect()]
+        assert len(got) == len(want) and set(got) == want
+        near = minhash._looked_at(divided, sketches, minhash._nearest, minhash._NEAR).collect()
         assert {r["tid"] for r in near} == set(range(30)) and all(r["tid"] // 2 != r["other"] // 2 for r in near)
 
 
