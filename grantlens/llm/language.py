@@ -96,8 +96,8 @@ def clustered(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS,
         dims: int = DIMS) -> Model:
-    """A model of the columns text and lang. Document frequencies cover every row."""
-    rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    """A model of the columns doc_id, text and lang. Document frequencies cover every row."""
+    rows = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, n = np.zeros(dims, dtype=np.int64), 0
@@ -117,8 +117,15 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int =
     for gram, n in totals.items():
         idf[gram] = np.log((1 + docs) / (1 + n)) + 1
 
-    by_language = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = rows.withColumn("turn", F.row_number().over(by_language)).where(F.col("turn") <= per_language)
+    # A draw by hash leaves some three times the sample of each language, however large it is; these
+    # are ranked. There are as many counts as languages, like the centroids that come back below.
+    drawn = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / float(1 << 53))
+    shares = [F.lit(x) for r in rows.groupBy("lang").count().collect()
+              for x in (r["lang"], min(1.0, 3.0 * per_language / r["count"]))]
+    if shares:
+        drawn = drawn.where(F.col("draw") < F.element_at(F.create_map(*shares), F.col("lang")))
+    by_language = Window.partitionBy("lang").orderBy("draw", "text")
+    sample = drawn.withColumn("turn", F.row_number().over(by_language)).where(F.col("turn") <= per_language).select("text", "lang")
 
     def centre(group: pd.DataFrame) -> pd.DataFrame:
         texts = [t for t in group["text"] if has_letter(t)]
