@@ -49,6 +49,7 @@ SKETCH = 192
 SKETCH_LEAST = 143
 EQUAL_LEAST = 92
 NEAREST_TURNS = 3
+PAIRS_A_ROW = 4
 SMALL = 32  # members of a bucket that is looked at together with others
 PAIRS_AT_ONCE = 1_000_000
 BLOCK = 4096  # members of a bucket that meet in one task
@@ -235,15 +236,16 @@ class Rows:
 
 
 def _nearest(rows: Rows) -> pd.DataFrame:
-    """Each row that may be linked with another group, and the likeliest row there."""
-    best = np.full(len(rows.tid), -1, dtype=np.int64)
-    for a, b, equal, _ in rows.likely():
+    """Each row that may be linked with another group, the likeliest row there, and its pairs new in this bucket."""
+    best, pairs = np.full(len(rows.tid), -1, dtype=np.int64), np.zeros(len(rows.tid), dtype=np.int64)
+    for a, b, equal, first in rows.likely():
+        np.add.at(pairs, a, first)
         for x, y in ((a, b), (b, a)):
             np.maximum.at(best, x, equal * len(best) + y)
     found = np.flatnonzero(best >= 0)
     other = best[found] % len(best)
     return pd.DataFrame({"bucket": rows.bucket[found], "band": rows.band[found], "tid": rows.tid[found],
-                         "other": rows.tid[other], "equal": best[found] // len(best)})
+                         "other": rows.tid[other], "equal": best[found] // len(best), "pairs": pairs[found]})
 
 
 def _every(rows: Rows) -> pd.DataFrame:
@@ -274,7 +276,7 @@ def _whole_buckets(look):
 
 
 _PAIRS = "a long, b long"
-_NEAR = "bucket long, band int, tid long, other long, equal long"
+_NEAR = "bucket long, band int, tid long, other long, equal long, pairs long"
 
 
 def _looked_at(divided: DataFrame, sketches: DataFrame, look, schema: str) -> DataFrame:
@@ -293,6 +295,10 @@ def _looked_at(divided: DataFrame, sketches: DataFrame, look, schema: str) -> Da
     )
 
 
+def _every_pair(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    return _looked_at(_divided(members, labels), sketches, _every, _PAIRS).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """key, n_shingles, component, component_id for each different text of ``docs``.
 
@@ -313,17 +319,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = _grouped(stored(sketches.select("tid", F.col("tid").alias("label")), "labels"), links)
     for _ in range(NEAREST_TURNS):
         near = stored(_looked_at(_divided(members, labels), sketches, _nearest, _NEAR), "nearest")
-        if near.isEmpty():
+        pairs, rows_left = near.agg(F.sum("pairs"), F.count_distinct("tid")).first()
+        if not rows_left:
             break
         # a row that may be linked with no other group of a bucket is done with that bucket
         members = stored(near.select("bucket", "band", "tid").distinct(), "members")
+        if pairs <= PAIRS_A_ROW * rows_left:  # all pairs are hardly more than the nearest ones
+            labels = _grouped(labels, linked(_every_pair(members, labels, sketches), texts))
+            break
         nearest = near.groupBy("tid").agg(F.max(F.struct("equal", "other"))["other"].alias("other"))
         pairs = nearest.select(F.least("tid", "other").alias("a"), F.greatest("tid", "other").alias("b")).distinct()
         links = linked(pairs, texts)
         labels = _grouped(labels, links)
     else:
-        rest = _looked_at(_divided(members, labels), sketches, _every, _PAIRS).distinct()
-        labels = _grouped(labels, linked(rest, texts))
+        labels = _grouped(labels, linked(_every_pair(members, labels, sketches), texts))
 
     named = texts.select("key", "tid", "least").join(labels, "tid").join(sketches.select("tid", "n"), "tid")
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
