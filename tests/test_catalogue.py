@@ -10,7 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = all_queries(), all_sql()
 
 # Queries whose result SQL over the tables cannot express.
-ROWS_ONLY = {"json_report", "file_integrity_audit", "pending_files"}
+ROWS_ONLY = {"json_report"}
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +39,6 @@ def _plan(spark, name):
 WRITING = {
     "summary_audit", "csv_report_roundtrip", "json_report_rows", "tsv_scan_roundtrip",
     "warehouse_roundtrip", "written_row_counts", "file_integrity_audit", "pending_files",
-    "rebuild_raw_links", "rebuild_raw_assignees", "rebuild_raw_cpc",
 }
 
 
@@ -65,3 +64,10 @@ def test_windows_without_a_key_only_see_aggregated_rows(spark):
         plan = _plan(spark, name)
         below = plan[plan.index("Window ["):]
         assert below.index("HashAggregate") < below.index("FileScan")
+
+
+def test_stored_questions_read_flags_and_prune_years(spark):
+    assert "one_per_company" in _plan(spark, "stored_top_companies")
+    assert "one_per_inventor" in _plan(spark, "stored_top_inventors")
+    plan = _plan(spark, "stored_activity_of_1998")
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
