@@ -43,6 +43,23 @@ def test_far_texts_are_rejected(spark):
     assert kept == set(range(300))
 
 
+ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "".join(map(chr, range(0x430, 0x450))),
+             "arabic": "".join(map(chr, range(0x627, 0x64A))), "cjk": "".join(map(chr, range(0x4E00, 0x5E00)))}
+
+
+def test_strange_texts_of_every_length_are_rejected(spark):
+    draw = random.Random(8)
+    strange = [" ".join("".join(draw.choices(alphabet, k=draw.randint(2, 9))) for _ in range(words))
+               for alphabet in ALPHABETS.values() for words in (5, 20, 100, 400, 1000, 5000)]
+    usual = [(2000 + k, text(lang, words, draw), None, "s", 0)
+             for k, (lang, words) in enumerate((x, n) for x in SYLLABLES for n in (5, 20, 400, 5000))]
+    data = rows(600)
+    docs = spark.createDataFrame(data + usual + [(1000 + k, t, None, "s", 0) for k, t in enumerate(strange)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in language.accepted(docs).collect()}
+    assert kept == {r[0] for r in data + usual}
+
+
 def test_grams_do_not_depend_on_chunks(monkeypatch):
     whole = language.gram_counts("Some words, and OTHERS — äöü. " * 50)
     monkeypatch.setattr(language, "CHUNK", 37)
