@@ -34,7 +34,7 @@ CENTROIDS = 3
 BANDS = 25  # of texts by the logarithm of their number of different grams
 SELDOM = 0.01  # share of learned texts below whose score only seldom ones lie
 NEAR = 0.5  # a text is rejected below this share of that score
-STRAYS = 0.05  # share of a language's sample that a centroid must be nearest to
+STRAYS = 0.01  # share of a language's sample that a centroid must be nearest to
 UNKNOWN = "und"
 
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -123,21 +123,55 @@ def least_scores(scores: list[tuple[int, float]]) -> np.ndarray:
     return out
 
 
-def clustered(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
-    """Spherical k-means; the first centre is nearest to all, each further one farthest from those before."""
-    centres = [points[np.argmax(points @ points.sum(axis=0))]]
+def _seeds(points: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k-means++: the first centre is any point, each further one is drawn by its distance to those before."""
+    centres = [points[draw.integers(len(points))]]
+    near = points @ centres[0]
     while len(centres) < min(k, len(points)):
-        centres.append(points[np.argmin(np.max(points @ np.array(centres).T, axis=1))])
-    centres = np.array(centres)
+        far = np.maximum(1.0 - near.astype(np.float64), 0.0)
+        if far.sum() < 1e-6 * len(points):  # nothing but copies of the centres
+            break
+        centres.append(points[draw.choice(len(points), p=far / far.sum())])
+        near = np.maximum(near, points @ centres[-1])
+    return np.array(centres)
+
+
+def _moved(points: np.ndarray, centres: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The centres after ``rounds`` of k-means, and the centre each point is then nearest to."""
     for _ in range(rounds):
         nearest = np.argmax(points @ centres.T, axis=1)
         for c in range(len(centres)):
             if (nearest == c).any():
                 mean = points[nearest == c].sum(axis=0)
                 centres[c] = mean / max(np.linalg.norm(mean), 1e-12)
-    # a centre that hardly anything is near to describes strays, such as texts with a wrong label
-    near = np.bincount(np.argmax(points @ centres.T, axis=1), minlength=len(centres))
-    return centres[near >= STRAYS * len(points)]
+    return centres, np.argmax(points @ centres.T, axis=1)
+
+
+def clustered(points: np.ndarray, k: int, rounds: int = 8, restarts: int = 5) -> np.ndarray:
+    """Spherical k-means from several draws of seeds; of these, the centres with most points near them.
+
+    A centre that hardly anything is near to describes strays, such as texts with a wrong label: it
+    starts again inside the largest cluster, and is left out only if it ends up with strays each time.
+    """
+    draw = np.random.default_rng(0)
+    least = max(2.0, STRAYS * len(points)) if len(points) > k else 1.0
+    best, most = points[:0], (-1, -1.0)
+    for _ in range(restarts):
+        centres = _seeds(points, k, draw)
+        for _ in range(2 * k):
+            centres, nearest = _moved(points, centres, rounds)
+            sizes = np.bincount(nearest, minlength=len(centres))
+            stray = np.flatnonzero(sizes < least)
+            inside = np.flatnonzero(nearest == sizes.argmax())
+            if not len(stray) or len(inside) < 2 * least:
+                break
+            centres[stray] = points[draw.choice(inside, len(stray), replace=False)]
+        # strays do not say which centres are good: every point counts by the nearest centre that stays
+        centres = centres[(sizes >= least) | (sizes == sizes.max())]
+        found = (len(centres), float(np.max(points @ centres.T, axis=1).sum()))
+        if found > most:
+            best, most = centres, found
+    return best
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Model:

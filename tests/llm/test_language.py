@@ -75,6 +75,36 @@ def test_clusters():
     assert len(language.clustered(points[:1], 3)) == 1
 
 
+def spread(centres, sizes, odd, dims=60):
+    """Points around each centre, and ``odd`` single ones that are near to nothing."""
+    draw = np.random.default_rng(2)
+    points = np.vstack([np.eye(dims)[[c]] + draw.normal(0, 0.05, (n, dims)) for c, n in zip(centres, sizes, strict=True)]
+                       + [np.eye(dims)[dims - odd:]])
+    return (points / np.linalg.norm(points, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_odd_texts_leave_every_variety_its_centre():
+    for sizes in ((200, 190), (300, 90), (380, 12)):
+        points = spread((0, 3), sizes, 6)
+        found = language.clustered(points, 3)
+        assert (found @ np.eye(60)[[0, 3]].T).max(axis=0).min() > 0.9 and len(found) <= 3
+    one = language.clustered(spread((0,), (300,), 3), 3)
+    assert len(one) == 3 and (one @ np.eye(60)[0]).min() > 0.5  # several centres of one cloud, none of them a stray
+
+
+def test_a_language_of_two_varieties_keeps_two_centroids(spark):
+    draw = random.Random(9)
+    data = [(k, text("de" if k % 2 else "fr", 40, draw), "xx", "s", 0) for k in range(200)]
+    data += [(1000 + k, odd, "xx", "s", 0) for k, odd in enumerate(["A.", "+1 (132) 555 und.34@mail7.example.com", "Qx", "zzz"])]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    model = language.fit(docs)
+    near = np.array([language.predict([text(v, 60, draw)], model)["score"][0] for v in ("de", "fr")])
+    assert len(model.owner) >= 2 and near.min() > 0.7
+    place = [language.gram_counts(text(v, 60, draw))[0] for v in ("de", "fr")]
+    best = [model.centroids[np.isin(model.grams, p)].sum(axis=0).argmax() for p in place]
+    assert best[0] != best[1]
+
+
 def test_edges(edge_docs):
     found = language.identified(edge_docs).collect()
     assert len(found) == edge_docs.count()
