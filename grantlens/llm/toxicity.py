@@ -3,8 +3,8 @@
 P(grade <= k) is a logistic function of threshold k less one score that all thresholds share; the
 score adds the weights of the hashed features a text holds: its words, and the runs of five bytes in
 and around them. The expected severity is the sum of P(grade > k). The model is fitted to a sample of
-labelled rows, at most ``per_grade`` of each grade; features enter it if they tell grades apart by
-more than chance would.
+labelled rows, at most ``per_grade`` of each grade, each weighing as many labelled rows of its grade as it
+stands for; features enter it if they tell grades apart by more than chance would.
 
 A null or empty text holds no features. A row without label is only predicted. Where no grade above 0
 is labelled, every severity is 0. Repeated rows and ties are scored alike. Texts are read whole, in
@@ -85,8 +85,12 @@ def exceedances(scores: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return _sigmoid(scores[:, None] - thresholds[None, :])
 
 
-def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ridge: float = 1e-5) -> Model:
-    """Adam steps on the penalised likelihood of the held features; gaps of thresholds stay positive."""
+def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ridge: float = 1e-5,
+               stands_for: np.ndarray | None = None) -> Model:
+    """Adam steps on the penalised likelihood of the held features; gaps of thresholds stay positive.
+
+    A text counts as the number of texts it stands for (1 if not given).
+    """
     levels = int(grades.max()) if len(grades) else 0
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if not levels:
@@ -97,6 +101,7 @@ def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ri
     col = np.searchsorted(words, np.concatenate(held))
     n, k = len(held), len(words)
     w, first, gaps = np.zeros(k), 1.0, np.zeros(levels - 1)  # gaps are logarithms
+    share = np.full(n, 1 / n) if stands_for is None else stands_for / stands_for.sum()
     state = np.zeros((2, k + levels))
     every = np.arange(n)
     for turn in range(1, rounds + 1):
@@ -105,15 +110,15 @@ def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ri
         edges = np.column_stack([np.ones(n), above, np.zeros(n)])
         p = np.maximum(edges[every, grades] - edges[every, grades + 1], 1e-12)
         slopes = np.column_stack([np.zeros(n), above * (1 - above), np.zeros(n)])
-        by_score = (slopes[every, grades] - slopes[every, grades + 1]) / p
+        by_score = (slopes[every, grades] - slopes[every, grades + 1]) / p * share
         # threshold t is the upper edge of grade t and the lower one of grade t + 1
         by_threshold = np.array([
-            ((np.where(grades == t, 1, 0) - np.where(grades == t + 1, 1, 0)) * slopes[:, t + 1] / p).sum() / n
+            ((np.where(grades == t, 1, 0) - np.where(grades == t + 1, 1, 0)) * slopes[:, t + 1] / p * share).sum()
             for t in range(levels)
         ])
         tail = np.cumsum(by_threshold[::-1])[::-1]
         grad = np.concatenate([
-            np.bincount(col, weights=by_score[row], minlength=k) / n - ridge * w,
+            np.bincount(col, weights=by_score[row], minlength=k) - ridge * w,
             tail[:1], tail[1:] * np.exp(gaps),
         ])
         state[0] = 0.9 * state[0] + 0.1 * grad
@@ -127,48 +132,61 @@ def fit_arrays(held: list[np.ndarray], grades: np.ndarray, rounds: int = 500, ri
 
 
 def graded_sample(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> DataFrame:
-    """text and grade of labelled rows: 0 not toxic, 1 toxic, 2 toxic and of low quality.
+    """text, grade, stands_for of labelled rows: 0 not toxic, 1 toxic, 2 toxic and of low quality.
 
-    Rows are chosen by a hash of the id. Several labels of one document count as their maximum.
+    A row stands for the labelled rows of its grade over those chosen. Rows are chosen by a hash of the id. Several labels of one document count as their maximum.
     """
     grade = F.when(F.col("toxic") == 0, 0).when(F.coalesce(F.col("quality"), F.lit(1)) == 0, 2).otherwise(1)
     order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
+    graded = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(grade).alias("grade"))
+    shares = [F.lit(x) for r in graded.groupBy("grade").count().collect()  # a row per grade
+              for x in (r["grade"], max(1.0, r["count"] / per_grade))]
     chosen = (
-        labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("doc_id").agg(F.max(grade).alias("grade"))
-        .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_grade)
-        .select("doc_id", "grade")
+        graded.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_grade)
+        .withColumn("stands_for", F.element_at(F.create_map(*shares), F.col("grade")) if shares else F.lit(1.0))
+        .select("doc_id", "grade", "stands_for")
     )
     # broadcast: at most GRADES times per_grade pairs of numbers
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select(
+        "text", "grade", "stands_for"
+    )
 
 
 def telling_features(sample: DataFrame) -> np.ndarray:
     """Features found in graded texts more often than chance would have it, by over TELLING deviations.
 
-    Of the texts that hold one, the share without a grade is at most CLEAN times the overall share:
+    Shares are those of all labelled rows: a text of the sample counts as those it stands for. Of the texts
+    that hold a feature, the share without a grade is at most CLEAN times the overall share:
     features that merely go with long texts are left out. Counted by Spark over the sample; what comes back is bounded by the number of features.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             held = held_features(batch["text"].tolist())
-            seen, n = np.unique(np.concatenate(held), return_counts=True)
-            toxic = [h for h, g in zip(held, batch["grade"], strict=True) if g > 0]
-            graded = np.zeros(1 << BITS, dtype=np.int32)
-            for h in toxic:
-                graded[h] += 1
-            yield pd.DataFrame({"feature": seen, "n": n, "graded": graded[seen]})
-
-    texts, graded = sample.agg(F.count(F.lit(1)), F.count(F.when(F.col("grade") > 0, 1))).first()
-    share = graded / texts if texts else 0.0
+            for grade in sorted(set(batch["grade"])):
+                own = [h for h, g in zip(held, batch["grade"], strict=True) if g == grade]
+                seen, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pd.DataFrame({"feature": seen, "grade": grade, "texts": n})
+
+    grades = sample.groupBy("grade").agg(F.count(F.lit(1)).alias("texts"), F.max("stands_for").alias("stands_for")).collect()
+    total = sum(r["texts"] * r["stands_for"] for r in grades)
+    if not total:
+        return np.zeros(0, dtype=np.int64)
+    share = sum(r["texts"] * r["stands_for"] for r in grades if r["grade"] > 0) / total
+    # variance of graded - n * share for a feature that all texts hold alike often, per holding labelled text
+    variance = sum(r["texts"] * r["stands_for"] ** 2 * ((r["grade"] > 0) - share) ** 2 for r in grades) / total
+    each = F.element_at(F.create_map(*(F.lit(x) for r in grades for x in (r["grade"], r["stands_for"]))), F.col("grade"))
     counts = (
-        sample.mapInPandas(count, "feature int, n long, graded long")
-        .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("graded").alias("graded"))
+        sample.select("text", "grade").mapInPandas(count, "feature int, grade int, texts long")
+        .withColumn("n", F.col("texts") * each)
+        .groupBy("feature").agg(
+            F.sum("texts").alias("texts"), F.sum("n").alias("n"),
+            F.sum(F.when(F.col("grade") > 0, F.col("n")).otherwise(0.0)).alias("graded"),
+        )
     )
-    apart = F.col("graded") - F.col("n") * share > TELLING * F.sqrt(F.col("n") * share * (1 - share))
+    apart = F.col("graded") - F.col("n") * share > TELLING * F.sqrt(F.col("n") * variance)
     seldom_clean = F.col("n") - F.col("graded") <= CLEAN * (1 - share) * F.col("n")
-    rows = counts.where((F.col("n") >= LEAST) & apart & seldom_clean).select("feature").collect()
+    rows = counts.where((F.col("texts") >= LEAST) & apart & seldom_clean).select("feature").collect()
     return np.array(sorted(r["feature"] for r in rows), dtype=np.int64)
 
 
@@ -184,9 +202,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> Model
         only[chosen] = True
         return pd.Series([h.tolist() for h in held_features(text.tolist(), only)])
 
-    rows = sample.select(features("text").alias("held"), "grade").collect()  # per_grade of each grade
+    rows = sample.select(features("text").alias("held"), "grade", "stands_for").collect()  # per_grade of each grade
     held = [np.array(r["held"], dtype=np.int64) for r in rows]
-    return fit_arrays(held, np.array([r["grade"] for r in rows], dtype=np.int64))
+    return fit_arrays(held, np.array([r["grade"] for r in rows], dtype=np.int64),
+                      stands_for=np.array([r["stands_for"] for r in rows], dtype=np.float64))
 
 
 def severities(texts: list[str | None], model: Model) -> pd.DataFrame:

@@ -56,6 +56,38 @@ def test_gradient_is_that_of_the_likelihood():
     assert model.weights[1] > 2 and model.weights[2] > 2 and model.weights[[0, 3, 4, 5]].max() < 1
 
 
+def test_a_row_that_stands_for_others_counts_as_they_do():
+    draw = np.random.default_rng(4)
+    held = [np.flatnonzero(draw.random(6) < 0.4) for _ in range(200)]
+    grades = np.array([min(2, int(1 in h) + int(draw.random() < 0.3)) for h in held])
+    times = np.where(grades == 0, 4, 1)
+    repeated = toxicity.fit_arrays([h for h, n in zip(held, times, strict=True) for _ in range(n)], np.repeat(grades, times))
+    weighted = toxicity.fit_arrays(held, grades, stands_for=times.astype(float))
+    assert np.allclose(repeated.weights, weighted.weights, atol=1e-3)
+    assert np.allclose(repeated.thresholds, weighted.thresholds, atol=1e-3)
+
+
+def test_predictions_hold_when_clean_rows_are_cut(spark):
+    draw = random.Random(10)
+    docs, labels = [], []
+    for k in range(3000):
+        toxic = k % 10 == 0
+        words = draw.choices(WORDS, k=30)
+        if toxic and k % 20 == 0:
+            words[3] = INSULTS[0]
+        if draw.random() < (0.4 if toxic else 0.03):  # a weak sign: of its texts, 60% are toxic
+            words[7] = "wobaluk"
+        docs.append((k, " ".join(words), "en", "s", 0))
+        labels.append((k, 1, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    texts = [" ".join(WORDS[:20]), f"tal mer {INSULTS[0]} sin"]
+    whole, cut = (toxicity.severities(texts, toxicity.fit(docs, labels, n))["p_toxic"] for n in (4000, 300))
+    assert abs(whole[0] - cut[0]) < 0.03 and whole[1] > 0.9 and cut[1] > 0.9
+    sample = toxicity.graded_sample(docs, labels, 300)
+    assert {(r[0], r[1]) for r in sample.groupBy("grade").sum("stands_for").collect()} == {(0, 2700.0), (1, 300.0)}
+
+
 def test_features_stay_within_their_text():
     own = [set(h.tolist()) for h in toxicity.held_features(["idiot x", "y idiot", "", None, "idiot"])]
     assert own[2] == own[3] == set() and own[4] <= own[0] & own[1]
