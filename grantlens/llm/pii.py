@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 KEY = b"corpus pseudonyms"
 ROUNDS = 8
+BLOCK = 128  # characters permuted as one number
 
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
@@ -39,7 +40,10 @@ class Permutation:
 
     def _round(self, kind: str, n: int, turn: int, half: int) -> int:
         text = f"{kind}|{n}|{turn}|{half}".encode()
-        return int.from_bytes(hashlib.blake2b(text, key=self.key, digest_size=32).digest(), "big")
+        digests = [hashlib.blake2b(text, key=self.key, digest_size=32).digest()]
+        for k in range(256, self._halves(n)[0].bit_length() - 1, 256):  # wider halves take as many more
+            digests.append(hashlib.blake2b(text + f"|{k}".encode(), key=self.key, digest_size=32).digest())
+        return int.from_bytes(b"".join(digests), "big")
 
     def _halves(self, n: int) -> tuple[int, int]:
         a = 1 << ((n - 1).bit_length() + 1) // 2
@@ -152,7 +156,22 @@ _HEX = ("0123456789abcdef",)
 
 
 def _characters(p: Permutation, kind: str, value: str, back: bool, alphabets=_ALPHABETS) -> str:
-    """Every character of an alphabet becomes one of the same; all of them are permuted as one number."""
+    """Every character of an alphabet becomes one of the same; up to BLOCK of them are permuted as one number.
+
+    Of a longer value each block is permuted in a way of its own, which all the blocks before decide (without regard to case).
+    """
+    out, plain = [], ""
+    for at in range(0, max(1, len(value)), BLOCK):
+        block = value[at:at + BLOCK]
+        if at:
+            plain = hashlib.blake2b(plain.lower().encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        new = _block(p, f"{kind}|{plain}" if at else kind, block, back, alphabets)
+        plain += new if back else block
+        out.append(new)
+    return "".join(out)
+
+
+def _block(p: Permutation, kind: str, value: str, back: bool, alphabets) -> str:
     sets = [next((a for a in alphabets if c in a), None) for c in value]
     n, x = 1, 0
     for c, a in zip(value, sets, strict=True):
@@ -176,9 +195,19 @@ def _mail(p: Permutation, value: str, back: bool) -> str:
     return changed + "." * bool(inner) + ".".join(labels[-2:])
 
 
+def _hexadecimal(value: str) -> bool:
+    return bool(re.fullmatch("[0-9]*[a-f][0-9a-f]*", value))
+
+
 def _secret(p: Permutation, value: str, back: bool) -> str:
-    hexadecimal = re.fullmatch("[0-9a-f]+", value)
-    return _characters(p, "secret", value, back, _HEX if hexadecimal else _ALPHABETS)
+    """Hexadecimal values stay so; a copy in capitals becomes the capitals of what the value becomes."""
+    if _hexadecimal(value.lower()) and value == value.upper():
+        return _secret(p, value.lower(), back).upper()
+    kind = _hexadecimal(value)
+    while True:  # walks, until the value is of the same kind again
+        value = _characters(p, "secret", value, back, _HEX if kind else _ALPHABETS)
+        if _hexadecimal(value.lower() if value == value.upper() else value) == kind:
+            return value
 
 
 # Forms of numbers, tried in this order where a run of digits and separators begins.
@@ -195,8 +224,8 @@ _START = re.compile(r"[+(]?\d")
 _NAME = re.compile(r"[\w.%+-]{1,64}$")
 _HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")
-_SECRETS = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?:passw(?:or)?d|secret|token|api[_-]?key)\"?\s{0,9}[=:]\s{0,9}[\"']?([0-9A-Za-z_/+-]{8,128})")
-_SECRET_HINTS = ("AKIA", "passw", "secret", "token", "api")
+_SECRETS = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?:passw(?:or)?d|secret|token|api[_-]?key)\"?\s{0,9}[=:]\s{0,9}[\"']?([0-9A-Za-z_/+-]{8,})", re.IGNORECASE)
+_SECRET_HINTS = ("akia", "passw", "secret", "token", "api")
 
 
 def found(text: str) -> list[tuple[int, int, str, Callable]]:
@@ -209,7 +238,8 @@ def found(text: str) -> list[tuple[int, int, str, Callable]]:
         if name and host and not host.group().split(".")[-1].isdigit():
             spans.append((name.start(), host.end(), "mail", _mail))
         at = text.find("@", at + 1)
-    if any(hint in text for hint in _SECRET_HINTS):
+    lowered = text.lower()
+    if any(hint in lowered for hint in _SECRET_HINTS):
         for m in _SECRETS.finditer(text):
             start, end = m.span(1) if m.group(1) else (m.start() + 4, m.end())
             spans.append((start, end, "secret", _secret))
