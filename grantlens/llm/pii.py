@@ -101,6 +101,16 @@ def _phone(p: Permutation, value: str, back: bool) -> str | None:
     return _spread(digits[:-10] + national, value)
 
 
+def _phone_abroad(p: Permutation, value: str, back: bool) -> str | None:
+    """All digits after the country code."""
+    code = len(re.match(r"\+(\d+)", value).group(1))
+    digits = _only_digits(value)
+    n = len(digits) - code
+    if not 7 <= n <= 15 - code:
+        return None
+    return _spread(f"{digits[:code]}{p.walk('phone', 10**n, int(digits[code:]), back=back):0{n}d}", value)
+
+
 def _address(p: Permutation, value: str, back: bool) -> str | None:
     parts = [int(x) for x in value.split(".")]
     if max(parts) > 255:
@@ -121,20 +131,38 @@ def _security(p: Permutation, value: str, back: bool) -> str | None:
     return _spread(f"{p.walk('security', 10**9, n, _valid_security, back):09d}", value)
 
 
-def _date(p: Permutation, value: str, back: bool) -> str | None:
-    """Year first, or day first; years 1900 to 2099."""
-    numbers = [int(x) for x in re.split(r"\D", value)]
-    year_first = numbers[0] > 31
-    year, month, day = numbers if year_first else numbers[::-1]
+def _day(numbers: list[int], order: tuple[int, int, int]) -> int | None:
+    """The day's number, if year, month and day lie at these places; years 1900 to 2099."""
     try:
-        n = datetime.date(year, month, day).toordinal() - _FIRST_DAY
+        n = datetime.date(*(numbers[k] for k in order)).toordinal() - _FIRST_DAY
     except ValueError:
         return None
-    if not 0 <= n < _DAYS:
+    return n if 0 <= n < _DAYS else None
+
+
+def _date(p: Permutation, value: str, back: bool) -> str | None:
+    """Year first; or day first; or month first, where day first is no date. Parts of one digit stay so."""
+    parts = re.split(r"\D", value)
+    numbers = [int(x) for x in parts]
+    orders = [(0, 1, 2)] if numbers[0] > 31 else [(2, 1, 0), (2, 0, 1)]
+    order = next((o for o in orders if _day(numbers, o) is not None), None)
+    if order is None:
         return None
-    new = datetime.date.fromordinal(_FIRST_DAY + p.walk("date", _DAYS, n, back=back))
-    digits = new.strftime("%Y%m%d") if year_first else new.strftime("%d%m%Y")
-    return _spread(digits, value)
+
+    def shown(n: int) -> list[int]:
+        day = datetime.date.fromordinal(_FIRST_DAY + n)
+        out = [0, 0, 0]
+        for k, x in zip(order, (day.year, day.month, day.day), strict=True):
+            out[k] = x
+        return out
+
+    def same_form(n: int) -> bool:
+        new = shown(n)
+        fits = all(len(str(x)) <= len(part) for x, part in zip(new, parts, strict=True))
+        return fits and (order != (2, 0, 1) or _day(new, (2, 1, 0)) is None)
+
+    new = shown(p.walk("date", _DAYS, _day(numbers, order), same_form, back))
+    return _spread("".join(f"{x:0{len(part)}d}" for x, part in zip(new, parts, strict=True)), value)
 
 
 def _iban_rest(value: str) -> int:
@@ -142,12 +170,26 @@ def _iban_rest(value: str) -> int:
 
 
 def _iban(p: Permutation, value: str, back: bool) -> str | None:
-    """The digits of the account; its letters stay, the check digits follow."""
-    if not 15 <= len(value) <= 34 or _iban_rest(value) != 1:
+    """The digits of the account; its letters and blanks stay, the check digits follow."""
+    packed = value.replace(" ", "")
+    if not 15 <= len(packed) <= 34 or _iban_rest(packed) != 1:
         return None
-    body = _characters(p, "iban", value[4:], back)
-    check = 98 - _iban_rest(f"{value[:2]}00{body}")
-    return f"{value[:2]}{check:02d}{body}"
+    body = _characters(p, "iban", packed[4:], back)
+    check = 98 - _iban_rest(f"{packed[:2]}00{body}")
+    left = iter(f"{packed[:2]}{check:02d}{body}")
+    return "".join(c if c == " " else next(left) for c in value)
+
+
+def _spaced_accounts(text: str) -> list[tuple[int, int]]:
+    """Account numbers printed in groups of four; groups that follow and do not belong to one are left out."""
+    out = []
+    for m in _SPACED_IBAN.finditer(text):
+        value = m.group()
+        while len(value) > 14 and _iban(_PLAIN, value, False) is None:
+            value = value.rpartition(" ")[0]
+        if len(value) > 14:
+            out.append((m.start(), m.start() + len(value)))
+    return out
 
 
 # The alphabets whose letters are exchanged among themselves.
@@ -212,11 +254,13 @@ def _secret(p: Permutation, value: str, back: bool) -> str:
 
 # Forms of numbers, tried in this order where a run of digits and separators begins.
 _NUMBERS: tuple[tuple[str, re.Pattern, Callable], ...] = tuple((kind, re.compile(form), rule) for kind, form, rule in (
-    ("date", r"(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})", _date),
+    ("date", r"(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})", _date),
     ("security", r"\d{3}-\d{2}-\d{4}", _security),
     ("address", r"\d{1,3}(?:\.\d{1,3}){3}", _address),
     ("card", r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})", _card),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}", _phone),
+    ("phone", r"\+\d{1,3}[ .-]\(?\d{1,4}\)?(?:[ .-]\d{2}){3,4}", _phone_abroad),
+    ("phone", r"\+\d{1,3}(?:[ .-]\(?\d{1,5}\)?){1,3}[ .-]\d{3,4}", _phone_abroad),
     ("phone", r"\(\d{3}\)[ ]?\d{3}[ .-]\d{4}", _phone),
     ("phone", r"\d{3}[.-]\d{3}[.-]\d{4}", _phone),
 ))
@@ -224,6 +268,7 @@ _START = re.compile(r"[+(]?\d")
 _NAME = re.compile(r"[\w.%+-]{1,64}$")
 _HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")
+_SPACED_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?\b")
 _SECRETS = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?:passw(?:or)?d|secret|token|api[_-]?key)\"?\s{0,9}[=:]\s{0,9}[\"']?([0-9A-Za-z_/+-]{8,})", re.IGNORECASE)
 _SECRET_HINTS = ("akia", "passw", "secret", "token", "api")
 
@@ -246,6 +291,7 @@ def found(text: str) -> list[tuple[int, int, str, Callable]]:
     start = _START.search(text)
     if start:
         spans.extend((*m.span(), "iban", _iban) for m in _IBAN.finditer(text))
+        spans.extend((*span, "iban", _iban) for span in _spaced_accounts(text))
     while start:
         at, stop = start.start(), start.end()
         if at and (text[at - 1].isalnum() or text[at - 1] == "_"):  # inside a word: past its digits

@@ -26,6 +26,18 @@ def test_values_are_replaced_within_their_format_and_restored(value):
     assert pii.pseudonymized(text, key=b"other")[0] != new
 
 
+LAYOUTS = ["12/31/1999", "3/7/2001", "2001-3-7", "3/17/2001", "17.3.2001", "+44 20 7946 0958", "+33 1 23 45 67 89",
+           "+49 30 123456".replace("123456", "1234 567"), "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]
+
+
+@pytest.mark.parametrize("value", LAYOUTS)
+def test_other_layouts_are_replaced_and_restored(value):
+    for text in (f"On {value}, and", f"{value} 12 ABCD"):
+        new, n = pii.pseudonymized(text)
+        assert n == 1 and value not in new and len(new) == len(text)
+        assert pii.pseudonymized(new, back=True) == (text, 1)
+
+
 KEYWORDS = ["TOKEN = \"{}\"", "Password={}", "Api_Key: {}", "SECRET='{}'"]
 SECRETS = ["9233A8EC4D11F0B7", "9233a8ec4d11f0b7", "Zq3" * 100, "0641917ea4e9feb9cda83477b57ac2" * 10, "12345678", "g2345678", "A" * 5000, "q" * 128]
 
