@@ -26,10 +26,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
 @pytest.fixture(scope="session")
 def small_star(spark):
     """Seven patents, four inventors (one without a country), three companies, two homonyms."""

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from star_rows import rows
 from grantlens.plans import analysis, checks
 from grantlens.plans.clean import (
     build_warehouse,

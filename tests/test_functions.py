@@ -2,7 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from star_rows import rows
 from grantlens.functions import draws, labels, numbers, periods, text
 from grantlens.functions.dates import safe_date
 

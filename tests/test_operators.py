@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from conftest import rows
+from star_rows import rows
 from grantlens.operators import (
     counting,
     growing,

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from star_rows import rows
 from grantlens.plans import analysis, filtered, reports, samples, summaries, variants
 from grantlens.plans.filtered import Filters
 from grantlens.plans.summaries import Summaries

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from star_rows import rows
 from grantlens.plans.clean import clean_star
 from grantlens.schemas import CLEAN, RAW
 from grantlens.sources import delimited, integrity, synthetic, warehouse
