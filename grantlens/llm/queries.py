@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from grantlens.llm import language, minhash, mixing, packing, pii, simhash, substring, suffix, topk, toxicity
+from grantlens.llm import (
+    divergence,
+    language,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    simhash,
+    substring,
+    suffix,
+    topk,
+    toxicity,
+)
 from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
@@ -57,12 +69,16 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op6_minhash, op7_simhash,
-        op8_substring_dedup, op9_language, op10_sequence_packing,
+        op8_substring_dedup, op9_language, op10_sequence_packing, op11_divergence,
     )} | {"pipeline": corpus_pipeline.run}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": checking.TOP_K, "op4_source_mixing": checking.MIXING}
+    return {"op3_exact_top_k": checking.TOP_K, "op4_source_mixing": checking.MIXING, "op11_divergence": checking.DIVERGENCE}

@@ -55,3 +55,47 @@ WITH good AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), used AS (
+    SELECT doc, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM used GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), langs AS (
+    SELECT lang, count(*) AS terms, sum(n) + 2 * count(*) AS total FROM kept GROUP BY lang
+), own AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM used SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n) AS n FROM own GROUP BY lang, source
+), sides AS (
+    SELECT d.lang, d.source, coalesce(t.n, 0) + 2 * l.terms AS total, l.total AS lang_total
+    FROM (SELECT DISTINCT lang, source FROM docs) d
+    LEFT JOIN totals t USING (lang, source) LEFT JOIN langs l ON l.lang = d.lang
+), shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(o.n, 0) AS n,
+           1 + (1000000000 * (coalesce(o.n, 0) + 2)) // s.total AS p, 1 + (1000000000 * (k.n + 2)) // s.lang_total AS q
+    FROM sides s JOIN kept k USING (lang) LEFT JOIN own o USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item,
+           coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+    FROM sides a JOIN sides b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    WHERE x.term IS NULL OR y.term IS NOT NULL
+    GROUP BY a.lang, a.source, b.source
+), terms AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT lang, source, part, item, value, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM ranked
+) WHERE part = 'pair' OR rank <= 10
+"""
