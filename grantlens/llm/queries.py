@@ -15,6 +15,7 @@ from grantlens.llm import (
     mixing,
     packing,
     pii,
+    quality,
     simhash,
     substring,
     suffix,
@@ -73,10 +74,15 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.with_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op6_minhash, op7_simhash,
         op8_substring_dedup, op9_language, op10_sequence_packing, op11_divergence,
+        op13_quality,
     )} | {"pipeline": corpus_pipeline.run}
 
 
