@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from grantlens.llm import (
+    alignment,
     divergence,
     language,
     minhash,
@@ -26,6 +27,7 @@ from grantlens.llm import sql as checking
 from grantlens.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +76,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in (BYTE_TOKENIZER, PIECE_TOKENIZER))
+    return alignment.alignment_digests(read_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -82,7 +89,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_exact_top_k, op4_source_mixing, op5_pseudonyms, op6_minhash, op7_simhash,
         op8_substring_dedup, op9_language, op10_sequence_packing, op11_divergence,
-        op13_quality,
+        op12_alignment, op13_quality,
     )} | {"pipeline": corpus_pipeline.run}
 
 

@@ -1,11 +1,17 @@
-"""Near copies by comparing all pairs that share a part."""
+"""Invented texts, and near copies by comparing all pairs that share a part."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def prose(words, seed, alphabet="abcdefgh"):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice(alphabet) for _ in range(draw.randint(2, 7))) for _ in range(words))
+
+
 def parts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}

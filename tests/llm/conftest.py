@@ -1,19 +1,14 @@
 """Rows that every operator has to cope with."""
 
-import random
-
 import pytest
 
+from brute_force import prose
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns of a caller that operators use as names of their own.
 CLASHING = ["key", "tid", "size", "row", "mix_size", "mix_source", "slice", "turn", "id", "found", "core", "row_number"]
 
 
-def prose(words, seed, alphabet="abcdefgh"):
-    draw = random.Random(seed)
-    return " ".join("".join(draw.choice(alphabet) for _ in range(draw.randint(2, 7))) for _ in range(words))
-
-
 def edge_rows():
     twice, long_text = prose(80, 1), prose(60_000, 2)
     return [

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import prose
+from brute_force import prose
 from grantlens.llm import quality
 from grantlens.llm.hashing import tokens_of
 

@@ -28,6 +28,7 @@ COLUMNS = {
     "op8_substring_dedup": {"doc_id", "n_words", "n_removed", "kept_sha256"},
     "op9_language": {"doc_id", "held_out", "lang_pred", "score"},
     "op10_sequence_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+    "op12_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
     "op13_quality": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op11_divergence": {"lang", "source", "part", "item", "value", "rank"},
 }
