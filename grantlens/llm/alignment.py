@@ -116,6 +116,10 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
+        for i, decoded in self.a_bytes.items():
+            self.a_sizes[i] = len(decoded)
+        self.b_sizes = np.array([len(decoded) for decoded in self.b_bytes], dtype=np.int64)
         self.width = len(pieces)
         self.divisible = not any(re.search("[^▁]▁", p) for p in pieces)
         self._forget()
@@ -126,6 +130,22 @@ class Aligner:
         self.numbers = np.zeros((0, 3), dtype=np.int64)  # tokens of A, of B, groups; -1 without tokens
         self.bounds = np.zeros(1, dtype=np.int64)
         self.keys = np.zeros(0, dtype=np.int64)  # of the linked pairs of all chunks
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def _make_room(self) -> None:
+        """Forget the chunks that were met once, or all if that is not enough."""
+        kept = np.flatnonzero(self.uses > 1)
+        if len(kept) > CACHED // 2:
+            self._forget()
+            return
+        new = np.full(len(self.uses), -1)
+        new[kept] = np.arange(len(kept))
+        self.known = {c: int(new[k]) for c, k in self.known.items() if new[k] >= 0}
+        self.written = [self.written[k] for k in kept.tolist()]
+        links = np.diff(self.bounds)
+        self.keys = self.keys[np.repeat(new >= 0, links)]
+        self.bounds = np.concatenate([[0], np.cumsum(links[kept])])
+        self.numbers, self.uses = self.numbers[kept], np.zeros(len(kept), dtype=np.int64)
 
     def chunks(self, text: str) -> list[str]:
         """Parts of the blank and ``text`` that can be encoded apart."""
@@ -135,13 +155,6 @@ class Aligner:
             return text.split(" ")  # nowhere two kinds of white space side by side
         return [c[1:] for c in _CUT.split(" " + text)]
 
-    def _side(self, ids: list[list[int]], parts) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray]:
-        """All ids, the lengths of their tokens, the bytes they join to, and how many tokens each chunk has."""
-        flat = list(chain.from_iterable(ids))
-        decoded = [parts[i] for i in flat]
-        return (np.array(flat, dtype=np.int64), np.fromiter(map(len, decoded), np.int64, len(decoded)), b"".join(decoded),
-                np.fromiter(map(len, ids), np.int64, len(ids)))
-
     def aligned(self, chunks: list[str]) -> tuple[Aligned, np.ndarray, np.ndarray, np.ndarray]:
         """The alignment of the chunks one after the other, tokens of A and of B in each, and which have tokens."""
         text = " " + " ".join(chunks) if chunks else ""
@@ -150,8 +163,13 @@ class Aligner:
         pieces = [x.pieces for x in self.b.encode(chunks, return_type="proto", num_threads=1)]
         fields = [(p.id, p.end) for x in pieces for p in x]
         in_b = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        a, a_sizes, a_raw, in_a = self._side([e.ids for e in encoded], self.a_bytes)
-        b, b_sizes, b_raw, _ = self._side([[i for i, _ in fields]], self.b_bytes)
+        ids = [e.ids for e in encoded]
+        in_a = np.fromiter(map(len, ids), np.int64, len(ids))
+        a = list(chain.from_iterable(ids))
+        b = [i for i, _ in fields]
+        a_raw, b_raw = b"".join(map(self.a_bytes.__getitem__, a)), b"".join(map(self.b_bytes.__getitem__, b))
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        a_sizes, b_sizes = self.a_sizes[a], self.b_sizes[b]
         lengths = np.array([len(c) + 1 for c in chunks], dtype=np.int64)
         sizes = np.array([len(c.encode()) + 1 for c in chunks], dtype=np.int64)
         whole = np.ones(len(chunks), dtype=bool)
@@ -216,7 +234,7 @@ class Aligner:
         """One for each text; an empty text and one whose bytes differ have no tokens."""
         parts = [self.chunks(t) if t else [] for t in texts]
         if len(self.known) > CACHED:
-            self._forget()
+            self._make_room()
         new = list(dict.fromkeys(c for p in parts for c in p if c not in self.known))
         if new:
             # many small objects without cycles: counting references is enough
@@ -228,6 +246,7 @@ class Aligner:
         places = [list(map(self.known.__getitem__, p)) for p in parts]
         lengths = np.array([len(p) for p in places], dtype=np.int64)
         at = np.fromiter(chain.from_iterable(places), np.int64, int(lengths.sum()))
+        self.uses = np.bincount(at, minlength=len(self.written)) + np.pad(self.uses, (0, len(self.written) - len(self.uses)))
         owner = np.repeat(np.arange(len(texts)), lengths)
         lost = np.bincount(owner, weights=self.numbers[at, 0] < 0, minlength=len(texts)) > 0
         numbers = np.column_stack([_split_sums(self.numbers[at, k], np.cumsum([0, *lengths])) for k in range(3)])
