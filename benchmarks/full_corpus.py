@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from grantlens.functions.draws import uniform  # noqa: E402
 from grantlens.plans import analysis, summaries  # noqa: E402
-from grantlens.plans.clean import build_warehouse  # noqa: E402
+from grantlens.plans.refresh import build_warehouse  # noqa: E402
 from grantlens.session import build_session  # noqa: E402
 from grantlens.sources import synthetic, warehouse  # noqa: E402
 

@@ -1,4 +1,4 @@
-"""The stored path: dirty raw rows are cleaned into a warehouse with flags, summaries are written,
+"""The stored path: dirty raw rows are loaded in two parts, the second one refreshes the snapshot the first one made,
 and questions are asked of what is read back."""
 
 from __future__ import annotations
@@ -8,34 +8,42 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from grantlens.catalogue.cleaning import MAX_YEAR, MIN_YEAR, _views, raw_tables
+from grantlens.catalogue.cleaning import MAX_YEAR, MIN_YEAR, RAW, _views, raw_tables
 from grantlens.catalogue.registry import query
 from grantlens.catalogue.roles import Tables
-from grantlens.plans import analysis, clean, filtered, summaries
+from grantlens.plans import analysis, filtered, refresh, summaries
 from grantlens.session import shared_folder
-from grantlens.sources.warehouse import read_star
+from grantlens.sources.snapshots import Snapshot
+from grantlens.sources.warehouse import snapshot_star
 from grantlens.star import Star
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str], Snapshot] = {}
 
 
-def _folder(t: Tables) -> str:
-    """The warehouse of these tables, built once per application."""
+def _loads(t: Tables) -> list[dict]:
+    """The raw rows in two loads: copies of an id, an inventor's rows and a company's names fall into both."""
+    raw = raw_tables(t)
+    first = {name: F.pmod(F.xxhash64(*raw[name].columns), F.lit(2)) == 0 for name in RAW}
+    return [{name: raw[name].filter(chosen if k == 0 else ~chosen) for name, chosen in first.items()} for k in range(2)]
+
+
+def _snapshot(t: Tables) -> Snapshot:
+    """The second snapshot of these tables: half of the raw rows, then the rest. Built once per application."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _BUILT:
         folder = f"{shared_folder(t.spark)}/stored-{uuid.uuid4().hex}"
-        clean.build_warehouse(raw_tables(t), folder, MIN_YEAR, MAX_YEAR)
-        summaries.write_summaries(read_star(t.spark, folder), f"{folder}/summaries")
-        _BUILT[key] = folder
+        first, rest = _loads(t)
+        refresh.load(first, folder, MIN_YEAR, MAX_YEAR)
+        _BUILT[key] = refresh.load(rest, folder, MIN_YEAR, MAX_YEAR)
     return _BUILT[key]
 
 
 def _star(t: Tables) -> Star:
-    return read_star(t.spark, _folder(t))
+    return snapshot_star(t.spark, _snapshot(t))
 
 
 def _summaries(t: Tables) -> summaries.Summaries:
-    return summaries.Summaries(_star(t), f"{_folder(t)}/summaries")
+    return summaries.Summaries(_star(t), snapshot=_snapshot(t))
 
 
 def _wide(people: str) -> str:
@@ -145,3 +153,54 @@ GROUP BY year ORDER BY year""",
 )
 def _(t):
     return filtered.yearly_rollup(_summaries(t), filtered.Filters(1996, 1999))
+
+
+@query("refreshed_patents", "SELECT patent_id, title, abstract, filing_date, year FROM clean_patents", _views())
+def _(t):
+    return _star(t).patents
+
+
+@query("refreshed_links", "SELECT patent_id, inventor_id, company_id FROM clean_links", _views())
+def _(t):
+    return _star(t).links
+
+
+@query("refreshed_cpc", "SELECT patent_id, section, cpc_class, cpc_subclass FROM clean_cpc", _views())
+def _(t):
+    return _star(t).cpc
+
+
+@query(
+    "refreshed_entities",
+    """
+SELECT inventor_id AS id, name, country FROM clean_inventors
+UNION ALL SELECT company_id, name, NULL FROM clean_companies""",
+    _views(),
+)
+def _(t):
+    star = _star(t)
+    people = star.inventors.select(F.col("inventor_id").alias("id"), "name", "country")
+    return people.unionByName(star.companies.select(F.col("company_id").alias("id"), "name", F.lit(None).cast("string").alias("country")))
+
+
+@query(
+    "refreshed_inventor_yearly",
+    """
+SELECT name AS inventor, COALESCE(country, '?') AS country, year, COUNT(DISTINCT patent_id) AS patents
+FROM clean_links JOIN clean_inventors USING (inventor_id) JOIN clean_patents USING (patent_id)
+WHERE year IS NOT NULL GROUP BY name, COALESCE(country, '?'), year""",
+    _views(),
+)
+def _(t):
+    return _summaries(t)["mv_inventor_yearly"].select("inventor", "country", "year", "patents")
+
+
+@query(
+    "refreshed_section_yearly",
+    """
+SELECT section, cpc_class, year, COUNT(DISTINCT patent_id) AS patents
+FROM clean_cpc JOIN clean_patents USING (patent_id) WHERE year IS NOT NULL AND section IS NOT NULL GROUP BY ALL""",
+    _views(),
+)
+def _(t):
+    return _summaries(t)["mv_section_yearly"].select("section", "cpc_class", "year", "patents")

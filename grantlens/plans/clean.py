@@ -18,7 +18,6 @@ from grantlens.functions.text import (
 )
 from grantlens.operators.counting import most_frequent, smallest_text
 from grantlens.operators.ranking import first_per_key
-from grantlens.sources.warehouse import read_clean_table, write_clean_table, write_counted
 from grantlens.star import Star
 
 
@@ -240,39 +239,3 @@ def _assemble(patents, inventors, companies, dated_links, dated_cpc) -> Star:
         dated_links=dated_links,
         dated_cpc=dated_cpc,
     )
-
-
-def build_warehouse(
-    raw: Mapping[str, DataFrame],
-    folder: str,
-    min_year: int = 1976,
-    max_year: int = 2025,
-    prefer_named: bool = False,
-) -> dict[str, int]:
-    """Clean the raw tables into ``folder``; returns the rows written per table.
-
-    The entity tables are written first and read back for the two facts, so the
-    patents are cleaned once, and a lost executor costs a re-read, not a re-clean.
-    """
-    spark = raw["patents"].sparkSession
-    counts = {
-        "patents": write_clean_table(
-            clean_patents(raw["patents"], min_year, max_year), folder, "patents"
-        ),
-        "inventors": write_clean_table(
-            clean_inventors(raw["inventors"], raw["locations"], prefer_named), folder, "inventors"
-        ),
-        "companies": write_clean_table(clean_companies(raw["assignees"]), folder, "companies"),
-    }
-    patents = read_clean_table(spark, folder, "patents")
-    companies = read_clean_table(spark, folder, "companies")
-    inventors = read_clean_table(spark, folder, "inventors")
-    links = clean_links(raw["inventors"], raw["assignees"], patents, companies)
-    # Marking reads the links three times: from a written stage, not from the joins.
-    write_counted(links, f"{folder}/stage_links")
-    links = spark.read.parquet(f"{folder}/stage_links")
-    counts["links"] = write_clean_table(mark_links(links, inventors), folder, "links")
-    write_counted(clean_cpc(raw["cpc"], patents), f"{folder}/stage_cpc")
-    classes = spark.read.parquet(f"{folder}/stage_cpc")
-    counts["cpc"] = write_clean_table(mark_cpc(classes), folder, "cpc")
-    return counts

@@ -18,6 +18,7 @@ from grantlens.plans.analysis import (
     period_comparison,
     section_halves,
 )
+from grantlens.sources.snapshots import Snapshot
 from grantlens.sources.warehouse import write_counted
 from grantlens.star import Star
 
@@ -121,16 +122,20 @@ BY_YEAR = {"mv_company_yearly", "mv_inventor_yearly"}
 
 
 class Summaries:
-    """Summary tables by name: stored ones when a folder is given, else derived on demand."""
+    """Summary tables by name: those of a snapshot or a folder when one is given, else derived on demand."""
 
-    def __init__(self, star: Star, folder: str | None = None):
+    def __init__(self, star: Star, folder: str | None = None, snapshot: Snapshot | None = None):
         self._star = star
         self._folder = folder
+        self._snapshot = snapshot
 
     def __getitem__(self, name: str) -> DataFrame:
-        if self._folder is None:
+        if self._folder is None and self._snapshot is None:
             return SUMMARIES[name](self._star)
-        return self._star.patents.sparkSession.read.parquet(f"{self._folder}/{name}")
+        spark = self._star.patents.sparkSession
+        if self._snapshot is not None:
+            return self._snapshot.read(spark, name)
+        return spark.read.parquet(f"{self._folder}/{name}")
 
 
 def write_summaries(star: Star, folder: str) -> dict[str, int]:

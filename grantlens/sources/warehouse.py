@@ -13,6 +13,7 @@ from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField,
 
 from grantlens.schemas import CLEAN, conform
 from grantlens.sources.paths import exists
+from grantlens.sources.snapshots import ROWS_PER_FILE, Snapshot, snapshot
 from grantlens.star import Star
 
 CLEAN_TABLES = ("patents", "inventors", "companies", "links", "cpc")
@@ -29,8 +30,6 @@ CSV_NAMES = {
 # Tables that carry the patent's year and are stored by it.
 FACTS = ("links", "cpc")
 
-ROWS_PER_FILE = 20_000_000
-
 
 def write_counted(df: DataFrame, path: str, by_year: bool = False) -> int:
     """Write Parquet and return the row count, observed in the same pass."""
@@ -105,8 +104,23 @@ def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame |
     return None
 
 
-def read_star(spark: SparkSession, folder: str) -> Star:
-    """Open the clean tables; a missing one is empty."""
+def snapshot_star(spark: SparkSession, opened: Snapshot) -> Star:
+    """The clean tables of one snapshot."""
+    tables = {name: opened.read(spark, name) for name in CLEAN_TABLES}
+    for name in FACTS:
+        tables[f"dated_{name}"] = tables[name]
+    return Star(**{name: df if name.startswith("dated") else df.select(CLEAN[name].names) for name, df in tables.items()}).as_opened()
+
+
+def read_star(spark: SparkSession, folder: str, number: int | None = None) -> Star:
+    """Open the newest snapshot of a folder, or the one of a number.
+
+    The star stays on that snapshot, whatever is committed later. A folder without snapshots holds plain tables, and
+    a missing one is empty.
+    """
+    found = snapshot(spark, folder, number)
+    if found is not None:
+        return snapshot_star(spark, found)
     tables = {}
     for name in CLEAN_TABLES:
         table = read_clean_table(spark, folder, name)

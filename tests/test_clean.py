@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from star_rows import rows
 from grantlens.plans import analysis, checks
 from grantlens.plans.clean import (
-    build_warehouse,
     clean_inventors,
     clean_links,
     clean_star,
@@ -18,6 +17,7 @@ from grantlens.plans.clean import (
 )
 from grantlens.sources import synthetic
 from grantlens.sources.delimited import read_raw
+from grantlens.plans.refresh import build_warehouse
 from grantlens.sources.warehouse import read_star
 
 FILES = {
