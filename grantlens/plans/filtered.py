@@ -29,6 +29,7 @@ from grantlens.operators.growing import trend
 from grantlens.operators.ranking import page, ranked_within, sort_choice, top
 from grantlens.operators.reshaping import pivot_counts, unpivot
 from grantlens.operators.shares import concentration, with_share
+from grantlens.plans.search import TextIndex
 from grantlens.plans.summaries import MATRIX_COMPANIES, Summaries
 from grantlens.star import Star, country_present
 
@@ -477,20 +478,26 @@ def heatmap(summaries: Summaries, sections: Sequence[str], companies: int = 15)
 # -- search -------------------------------------------------------------------------------
 
 
-def _hits(patents: DataFrame, needle: str, f: Filters, literal: bool) -> DataFrame:
+def _hits(patents: DataFrame, needle: str, f: Filters, literal: bool, index: TextIndex | None) -> DataFrame:
+    if index is not None:
+        return index.hits(needle, f.in_window(), literal)
     found = matches(F.col("title"), needle, literal) | matches(F.col("abstract"), needle, literal)
     return patents.filter(f.in_window() & found)
 
 
-def search_count(star: Star, needle: str, f: Filters, literal: bool = False) -> DataFrame:
-    return _hits(star.patents, needle, f, literal).agg(F.count(F.lit(1)).alias("n"))
+def search_count(
+    star: Star, needle: str, f: Filters, literal: bool = False, index: TextIndex | None = None
+) -> DataFrame:
+    """How many patents hold the needle; ``index`` is one of the star's patents."""
+    return _hits(star.patents, needle, f, literal, index).agg(F.count(F.lit(1)).alias("n"))
 
 
 def search_page(
-    star: Star, needle: str, f: Filters, size: int = 50, offset: int = 0, literal: bool = False
+    star: Star, needle: str, f: Filters, size: int = 50, offset: int = 0, literal: bool = False,
+    index: TextIndex | None = None,
 ) -> DataFrame:
     """Newest hits first, with the start of the abstract."""
-    rows = _hits(star.patents, needle, f, literal).select(
+    rows = _hits(star.patents, needle, f, literal, index).select(
         "patent_id", "title", "year", "filing_date", preview(F.col("abstract")).alias("abstract_preview")
     )
     return page(rows, [F.desc_nulls_last("filing_date"), F.asc("patent_id")], size, offset)
