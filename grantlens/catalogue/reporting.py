@@ -13,6 +13,7 @@ from grantlens.plans import analysis, reports
 from grantlens.schemas import RAW as RAW_SCHEMAS
 from grantlens.session import shared_folder
 from grantlens.sources import delimited, integrity, warehouse
+from grantlens.sources.paths import create_empty, listing
 
 
 def _fresh_folder(t, name: str) -> str:
@@ -169,35 +170,47 @@ def _(t):
 
 # -- file audits --------------------------------------------------------------------------
 
-# Documents as files: path, size and digest of the text. The record was taken before some changed:
-# ids divisible by 7 had another text, by 11 were empty; ids divisible by 5 are gone, by 13 are new.
-_RECORD = """
+# Documents as files, one for each source and language: lines in the order of their ids. The record was taken
+# of an earlier version: one source came later, one had other texts, one has gone since. Both have an empty file.
+_LATER, _CHANGED, _GONE = "src1", "src2", "src3"
+
+_RECORD = f"""
+files AS (
+  SELECT 'csv/source=' || source || '/lang=' || lang AS path, source,
+         string_agg(text || chr(10), '' ORDER BY doc_id) AS now,
+         string_agg(CASE WHEN source = '{_CHANGED}' THEN text || '.' ELSE text END || chr(10), '' ORDER BY doc_id) AS before
+  FROM documents GROUP BY source, lang
+  UNION ALL SELECT 'csv/source=none/lang=none', '', '', ''),
 recorded AS (
-  SELECT 'csv/' || doc_id AS path,
-         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE octet_length(encode(text)) END AS bytes,
-         CASE WHEN doc_id % 11 = 0 THEN sha256('') WHEN doc_id % 7 = 0 THEN sha256(upper(text) || '.')
-              ELSE sha256(text) END AS sha256
-  FROM documents WHERE doc_id % 13 <> 0),
+  SELECT path, octet_length(encode(before)) AS bytes, sha256(before) AS sha256 FROM files WHERE source <> '{_LATER}'),
 present AS (
-  SELECT 'csv/' || doc_id AS path, octet_length(encode(text)) AS bytes, sha256(text) AS sha256
-  FROM documents WHERE doc_id % 5 <> 0)"""
+  SELECT path, octet_length(encode(now)) AS bytes, sha256(now) AS sha256 FROM files WHERE source <> '{_GONE}')"""
+
+
+def _write_version(docs, folder: str) -> None:
+    """A text file for each source and language, and an empty one."""
+    rows = docs.select("doc_id", "source", "lang", "text").repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id")
+    # one task writes a folder, in the order of its rows
+    rows.drop("doc_id").write.partitionBy("source", "lang").text(f"{folder}/csv")
+    create_empty(docs.sparkSession, f"{folder}/csv/source=none/lang=none/part-0.txt")
+
+
+def _hashed(t, folder: str):
+    """(path, bytes, sha256) of the files below a folder, named by the folders they lie in."""
+    found = integrity.checksums(listing(t.spark, folder, "part-*"))
+    name = F.regexp_extract("path", "(csv/.*)/[^/]*$", 1)
+    return found.select(name.alias("path"), "bytes", "sha256")
 
 
 def _files_of(t) -> tuple:
-    text = F.col("text")
-    docs = t["documents"].select("doc_id", "text", F.concat(F.lit("csv/"), "doc_id").alias("path"))
-    empty = F.col("doc_id") % 11 == 0
-    older = F.when(empty, F.lit("")).when(
-        F.col("doc_id") % 7 == 0, F.concat(F.upper(text), F.lit("."))
-    ).otherwise(text)
-    size = F.octet_length(text).cast("long")
-    recorded = docs.filter("doc_id % 13 <> 0").select(
-        "path", F.when(empty, 0).otherwise(size).alias("bytes"), F.sha2(older, 256).alias("sha256")
-    )
-    present = docs.filter("doc_id % 5 <> 0").select(
-        "path", size.alias("bytes"), F.sha2(text, 256).alias("sha256")
-    )
-    return recorded, present
+    """What was recorded of the earlier version, and what is there now."""
+    docs, folder = t["documents"], _fresh_folder(t, "files")
+    text = F.when(F.col("source") == _CHANGED, F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    _write_version(docs.filter(F.col("source") != _LATER).withColumn("text", text), f"{folder}/v1")
+    _write_version(docs.filter(F.col("source") != _GONE), f"{folder}/v2")
+    record = f"{folder}/record"
+    integrity.record_loaded(_hashed(t, f"{folder}/v1"), record)
+    return integrity.read_load_record(t.spark, record), _hashed(t, f"{folder}/v2")
 
 
 @query(
@@ -209,20 +222,15 @@ FROM recorded r LEFT JOIN present p ON p.path = r.path""",
     _RECORD,
 )
 def _(t):
-    """A record is written as a manifest, read back, and held against the files that are there."""
+    """Files are written, listed and hashed in tasks, and held against the record of their earlier version."""
     recorded, present = _files_of(t)
-    record = _fresh_folder(t, "record")
-    integrity.record_loaded(recorded, record)
-    manifest = integrity.choose_format(integrity.read_load_record(t.spark, record), "both")
-    return integrity.audit(manifest, present)
+    return integrity.audit(integrity.choose_format(recorded, "both"), present)
 
 
 @query("pending_files", "SELECT p.* FROM present p WHERE (p.path, p.bytes) NOT IN (SELECT (path, bytes) FROM recorded)", _RECORD)
 def _(t):
     recorded, present = _files_of(t)
-    record = _fresh_folder(t, "record")
-    integrity.record_loaded(recorded, record)
-    return integrity.pending(present, integrity.read_load_record(t.spark, record))
+    return integrity.pending(present, recorded)
 
 
 @query("pending_files_forced", "SELECT * FROM present", _RECORD)

@@ -13,6 +13,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file; one that exists stays as it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(target)
+
+
 def _files(spark: SparkSession, folder: str) -> Iterator[tuple[str, int]]:
     """Path and length of every file below a folder (or of the file itself)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -168,3 +168,15 @@ def test_empty_files_are_listed(spark, tmp_path):
     (tmp_path / "some.txt").write_text("abc", encoding="utf-8")
     found = {r["path"].rsplit("/", 1)[-1]: r["bytes"] for r in listing(spark, str(tmp_path), "*.txt").collect()}
     assert found == {"none.txt": 0, "some.txt": 3}
+
+
+def test_digest_trees_of_blocks(spark, tmp_path):
+    sizes = {"a": 0, "b": 1, "c": 1000, "d": 1001, "e": 5432}
+    for name, size in sizes.items():
+        (tmp_path / name).write_bytes(bytes(k * 7 % 251 for k in range(size)))
+    files = listing(spark, str(tmp_path), "[a-e]")
+    found = {r["path"].rsplit("/", 1)[-1]: r["tree_sha256"] for r in integrity.tree_checksums(files, block_bytes=1000).collect()}
+    for name, size in sizes.items():
+        raw = (tmp_path / name).read_bytes()
+        blocks = [raw[k:k + 1000] for k in range(0, max(size, 1), 1000)]
+        assert found[name] == hashlib.sha256(b"".join(hashlib.sha256(b).digest() for b in blocks)).hexdigest(), name
