@@ -172,7 +172,8 @@ def fit_weights(rows: Rows, good: np.ndarray, shares: np.ndarray, ridge: float =
 
     Rows have length 1 and shares sum to 1, so the likelihood bends by at most a half with the intercept.
     """
-    places, at = np.unique(rows.places, return_inverse=True)
+    places = np.unique(rows.places)
+    at = np.searchsorted(places, rows.places).astype(np.int32)
     own = Rows(rows.bounds, at, rows.weights)
     lengths = np.diff(rows.bounds)
     step = 1 / (0.5 + ridge)
@@ -244,17 +245,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     if len(set(good)) < 2:
         p = float(good[0]) if len(good) else 1.0
         return Model(np.zeros(1 << BITS), 0.0, 0.0, 40.0 if p else -40.0)
-    places = [np.frombuffer(r["places"], "<i4") for r in found]
-    often = np.bincount(np.concatenate(places), minlength=1 << BITS) >= LEAST
-    weights = [np.frombuffer(r["weights"], "<f4")[often[p]].astype(np.float64) for p, r in zip(places, found, strict=True)]
-    places = [p[often[p]].astype(np.int64) for p in places]
+    lengths = np.array([len(r["places"]) // 4 for r in found], dtype=np.int64)
+    places = np.frombuffer(b"".join(bytes(r["places"]) for r in found), "<i4")
+    weights = np.frombuffer(b"".join(bytes(r["weights"]) for r in found), "<f4")
+    del found
+    often = (np.bincount(places, minlength=1 << BITS) >= LEAST)[places]
+    row = np.repeat(np.arange(len(good), dtype=np.int32), lengths)[often]
+    places, weights = places[often], weights[often]
+    bounds = np.searchsorted(row, np.arange(len(good) + 1))
+    del row, often
 
     def part(rows: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
-        lengths = [len(places[k]) for k in rows]
-        none = [np.zeros(0, np.int64)]
-        return (Rows(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
-                     np.concatenate([places[k] for k in rows] or none), np.concatenate([weights[k] for k in rows] or none)),
-                good[rows], shares[rows] / shares[rows].sum())
+        inside = np.concatenate([np.arange(bounds[k], bounds[k + 1], dtype=np.int32) for k in rows])
+        ends = np.cumsum([0, *(bounds[k + 1] - bounds[k] for k in rows)])
+        return Rows(ends, places[inside], weights[inside]), good[rows], shares[rows] / shares[rows].sum()
 
     # every third row of each class is held back, in the order of hashed ids; at least one stays on either side
     turn = np.zeros(len(good), dtype=np.int64)
