@@ -6,47 +6,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from grantlens.session import shared_folder
+#: Parents with more children than this are numbered in slices.
+HUGE = 1_000_000
+SLICES = 256
 
 
-def number_within(
-    df: DataFrame, key: str, order: Sequence[str], name: str, huge_parents: bool = False
-) -> DataFrame:
-    """row_number per key in the given order; nothing runs before the result is asked for."""
-    if huge_parents:
-        return number_within_slices(df, key, order, name)
-    window = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order])
-    return df.withColumn(name, F.row_number().over(window))
+def _ascending(order: Sequence[str]) -> Column:
+    """One value that compares like the columns one after the other, NULL last."""
+    return F.struct(*(field for k, c in enumerate(order)
+                      for field in (F.col(c).isNull().alias(f"_n{k}"), F.col(c).alias(f"_v{k}"))))
 
 
-def number_within_slices(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
-    """row_number per key in the given order, without gathering a key in one task.
+def number_within(
+    df: DataFrame, key: str, order: Sequence[str], name: str, huge: int = HUGE, slices: int = SLICES
+) -> DataFrame:
+    """row_number per key in the given order; nothing runs before the result is asked for.
 
-    Rows are range-partitioned by (key, order), so a large key is cut into
-    consecutive slices. Rows are numbered inside each slice; the slice's starting
-    point is the row count of the key's earlier slices, one small row per slice.
-    The slice numbers are fixed with a checkpoint, because both the numbering
-    and the starting points must see the same boundaries, also after a lost executor.
+    The children of a parent with more than ``huge`` of them fall into up to ``slices`` ranges of the order. The
+    bounds are the children with the smallest hashes, so they depend on values alone, and a task that runs again
+    finds the same ones. Children are numbered inside their range, after the sizes of the ranges before it.
+    ``order`` must tell children apart up to full copies.
     """
-    shared_folder(df.sparkSession)  # a checkpoint needs a folder
     columns = [F.asc_nulls_last(c) for c in order]
-    sliced = (
-        df.repartitionByRange(F.col(key), *columns)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > huge).select(F.col(key).alias("_large"))
+    drawn = Window.partitionBy("_large").orderBy(F.xxhash64(*order), *columns)
+    sample = (
+        df.select(key, *(c for c in order if c != key)).join(large, F.col(key).eqNullSafe(F.col("_large")))
+        .withColumn("_turn", F.row_number().over(drawn)).filter(F.col("_turn") < slices)
     )
-    sizes = sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(key).alias("_key"),
-        F.col("_slice").alias("_start_slice"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+    bounds = sample.groupBy("_large").agg(F.array_sort(F.collect_list(_ascending(order))).alias("_bounds"))
+
+    placed = df.withColumn("_order", _ascending(order)).join(bounds, F.col(key).eqNullSafe(F.col("_large")), "left")
+    passed = F.size(F.filter("_bounds", lambda b: b <= F.col("_order")))
+    sliced = placed.withColumn("_cut", F.col("_bounds").isNotNull()).withColumn(
+        "_slice", F.when(F.col("_cut"), passed).otherwise(0)).drop("_order", "_bounds", "_large")
+    before = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # at most ``slices`` rows per large parent
+    starts = (
+        sliced.filter("_cut").groupBy(F.col(key).alias("_of"), F.col("_slice").alias("_at"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
     )
     local = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*columns))
-    numbered = sliced.withColumn("_local", local)
-    same: Column = (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_start_slice"))
+    same = F.col(key).eqNullSafe(F.col("_of")) & (F.col("_slice") == F.col("_at"))
     return (
-        numbered.join(starts, same)
-        .withColumn(name, (F.col("_local") + F.col("_start")).cast("int"))
-        .drop("_slice", "_local", "_key", "_start_slice", "_start")
+        sliced.withColumn("_local", local).join(starts, same, "left")
+        .withColumn(name, (F.col("_local") + F.coalesce("_start", F.lit(0))).cast("int"))
+        .select(*df.columns, name)
     )

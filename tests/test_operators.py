@@ -74,15 +74,21 @@ def test_most_frequent_breaks_ties_by_value(spark):
     assert rows(counting.most_frequent(df, "k", "v")) == [("a", "b"), ("b", "q")]
 
 
-def test_number_within_equals_row_number(skewed):
-    got = numbering.number_within(skewed, "key", ["value", "id"], "n")
-    window = Window.partitionBy("key").orderBy("value", "id")
-    want = skewed.withColumn("n", F.row_number().over(window))
-    assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == 30000
-    # the hot key is cut into slices that lie in several partitions
-    sliced = skewed.repartitionByRange(8, F.col("key"), F.col("value"))
-    parts = sliced.filter("key = 'hot'").select(F.spark_partition_id()).distinct().count()
-    assert parts > 1
+def test_number_within_equals_row_number(spark, skewed):
+    """A parent with a third of all rows, one without a key, ties up to full copies, nulls in the order."""
+    odd = spark.sql("SELECT CAST(NULL AS STRING) AS key, IF(id % 5 = 0, NULL, CAST(id % 9 AS STRING)) AS value, id % 40 AS id FROM range(400)")
+    df = skewed.unionByName(odd)
+    window = Window.partitionBy("key").orderBy(F.asc_nulls_last("value"), F.asc_nulls_last("id"))
+    want = df.withColumn("n", F.row_number().over(window))
+    for huge, slices in ((1_000_000, 256), (300, 7), (300, 200)):
+        got = numbering.number_within(df, "key", ["value", "id"], "n", huge, slices)
+        assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == df.count()
+
+
+def test_a_huge_parent_is_numbered_in_ranges(skewed):
+    plan = numbering.number_within(skewed, "key", ["id"], "n", 1000, 16)._jdf.queryExecution().optimizedPlan().toString()
+    spans = [r for r in plan.split("\n") if "row_number() windowspecdefinition(key#" in r]
+    assert spans and all("_slice#" in r.split("windowspecdefinition(", 1)[1].split("ASC")[0] for r in spans)
 
 
 def test_sample_is_fixed_by_the_key(skewed):
