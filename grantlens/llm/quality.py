@@ -163,8 +163,13 @@ class Rows(NamedTuple):
     weights: np.ndarray
 
     def scores(self, by_place: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(by_place[self.places] * self.weights)])
-        return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
+        out = np.zeros(len(self.bounds) - 1)
+        some = self.bounds[1:] > self.bounds[:-1]
+        if some.any():  # sums in doubles of products in the weights' own type, which take half the memory
+            products = by_place.astype(self.weights.dtype)[self.places]
+            products *= self.weights
+            out[some] = np.add.reduceat(products, self.bounds[:-1][some], dtype=np.float64)
+        return out
 
 
 def fit_weights(rows: Rows, good: np.ndarray, shares: np.ndarray, ridge: float = RIDGE, rounds: int = 200) -> tuple[np.ndarray, float]:
@@ -181,7 +186,10 @@ def fit_weights(rows: Rows, good: np.ndarray, shares: np.ndarray, ridge: float =
     w = ahead = np.zeros(len(places) + 1)  # the intercept last
     for _ in range(rounds):
         off = shares * (_sigmoid(own.scores(ahead[:-1]) + ahead[-1]) - good)
-        grad = np.append(np.bincount(at, weights=rows.weights * np.repeat(off, lengths), minlength=len(places)), off.sum())
+        pulls = np.repeat(off.astype(rows.weights.dtype), lengths)
+        pulls *= rows.weights
+        grad = np.append(np.bincount(at, weights=pulls, minlength=len(places)), off.sum())
+        del pulls
         grad[:-1] += ridge * ahead[:-1]
         new = ahead - step * grad
         ahead, w = new + momentum * (new - w), new
@@ -238,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
                 yield out
 
     columns = "doc_id long, good int, stands_for double, places binary, weights binary"
-    found = sample.withColumn("doc_id", F.xxhash64("doc_id")).mapInPandas(held, columns).collect()  # the bounded sample
+    # the bounded sample, a partition at a time
+    found = list(sample.withColumn("doc_id", F.xxhash64("doc_id")).mapInPandas(held, columns).toLocalIterator())
     found.sort(key=lambda r: (r["doc_id"], r["good"], bytes(r["places"])))
     good = np.array([r["good"] for r in found], dtype=np.float64)
     shares = np.array([r["stands_for"] for r in found])
