@@ -4,7 +4,7 @@ import shutil
 
 import pytest
 
-from grantlens.plans import refresh, summaries
+from grantlens.plans import checks, refresh, summaries
 from grantlens.schemas import RAW
 from grantlens.sources import snapshots
 from grantlens.sources.warehouse import read_star
@@ -148,3 +148,12 @@ def test_facts_of_a_snapshot_prune_years(spark, plain):
     plan = star.activity.filter("year >= 2003")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "Join" not in plan
     assert rows(star.activity.filter("year >= 2003").select("patent_id")) == [("p6",)]
+
+
+def test_quality_report_reads_tables_once(spark, plain):
+    star = read_star(spark, plain("checked"))
+    report = checks.quality_report(star, 1976, 2025)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 6  # five tables, inventors twice
+    found = {(r["table_name"], r["check_name"]): r["failures"] for r in report.collect()}
+    assert len(found) == 17 and {k for k, n in found.items() if n} == {("inventors", "country_fill"), ("inventors", "country_variety")}
