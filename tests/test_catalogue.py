@@ -39,6 +39,7 @@ def _plan(spark, name):
 WRITING = {
     "summary_audit", "csv_report_roundtrip", "json_report_rows", "tsv_scan_roundtrip",
     "warehouse_roundtrip", "written_row_counts", "file_integrity_audit", "pending_files",
+    "pending_files_forced",
 }
 
 
