@@ -15,7 +15,9 @@ without comparing all pairs of a bucket:
   group, by signature, a few times over, as groups grow together from their nearest members;
 * what then still lies in several groups is looked at in full: all pairs of different groups, each in
   the first bucket it shares, are compared if size and signature allow a link. A signature differs from the true
-  likeness by five standard deviations before a linked pair is passed over.
+  likeness by five standard deviations before a linked pair is passed over. Such pairs become rows only while they
+  are a few for each row; otherwise texts go to the buckets, full sets are compared there, and what comes
+  out is links that join groups, fewer than the rows that went in.
 
 Buckets are looked at by tasks of bounded size: large ones are cut in blocks, and each pair of blocks is a
 task of its own. Buckets in which no pair is likely enough are not looked at again.
@@ -53,6 +55,8 @@ PAIRS_A_ROW = 4
 SMALL = 32  # members of a bucket that is looked at together with others
 PAIRS_AT_ONCE = 1_000_000
 BLOCK = 4096  # members of a bucket that meet in one task
+SET_PARTS = 1000  # parts that count as one member where full sets meet
+PARTS_AT_ONCE = 2_000_000
 BROADCAST_IDS = 500_000  # ids that may be sent to every task
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -187,6 +191,7 @@ class Rows:
             table[c].to_numpy() for c in ("bucket", "band", "tid", "label", "n", "part", "i", "j"))
         self.sketch = np.frombuffer(b"".join(table["sketch"]), dtype=np.uint64).reshape(len(table), -1)
         self.signature = np.frombuffer(b"".join(table["signature"]), dtype=np.uint32).reshape(len(table), -1)
+        self.text = table["text"] if "text" in table else None
 
     def bounds(self) -> np.ndarray:
         """Where a bucket (or pair of blocks) begins, and the end."""
@@ -236,16 +241,21 @@ class Rows:
 
 
 def _nearest(rows: Rows) -> pd.DataFrame:
-    """Each row that may be linked with another group, the likeliest row there, and its pairs new in this bucket."""
+    """Each row that may be linked with another group, the likeliest row there, and its pairs new in this bucket.
+
+    ``first`` says whether the row has such a pair, from either side.
+    """
+    new = np.zeros(len(rows.tid), dtype=bool)
     best, pairs = np.full(len(rows.tid), -1, dtype=np.int64), np.zeros(len(rows.tid), dtype=np.int64)
     for a, b, equal, first in rows.likely():
         np.add.at(pairs, a, first)
+        new[a[first]] = new[b[first]] = True
         for x, y in ((a, b), (b, a)):
             np.maximum.at(best, x, equal * len(best) + y)
     found = np.flatnonzero(best >= 0)
     other = best[found] % len(best)
     return pd.DataFrame({"bucket": rows.bucket[found], "band": rows.band[found], "tid": rows.tid[found],
-                         "other": rows.tid[other], "equal": best[found] // len(best), "pairs": pairs[found]})
+                         "other": rows.tid[other], "equal": best[found] // len(best), "pairs": pairs[found], "first": new[found]})
 
 
 def _every(rows: Rows) -> pd.DataFrame:
@@ -255,6 +265,54 @@ def _every(rows: Rows) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+class Sets:
+    """The full sets of texts, their parts numbered, to be compared one with many."""
+
+    def __init__(self, texts: pd.Series):
+        sets = [shingles(t) for t in texts]
+        self.size = np.array([len(x) for x in sets], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        known, self.parts = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(known), dtype=bool)
+
+    def linked(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others have 75 of 100 parts in common with one; none is empty."""
+        own = self.parts[self.start[one]:self.start[one] + self.size[one]]
+        sizes = self.size[others]
+        first = np.cumsum(sizes) - sizes
+        at = np.repeat(self.start[others] - first, sizes) + np.arange(sizes.sum())
+        self.mark[own] = True
+        both = np.add.reduceat(self.mark[self.parts[at]], first, dtype=np.int64)
+        self.mark[own] = False
+        return 100 * both >= PARTS_OF_100 * (sizes + self.size[one] - both)
+
+
+def _forest(rows: Rows) -> pd.DataFrame:
+    """Links of full sets, each between groups that the ones before it leave apart: fewer than the rows."""
+    # a text that lies in several of these buckets is taken apart once
+    _, where, text_of = np.unique(rows.tid, return_index=True, return_inverse=True)
+    sets = Sets(rows.text.iloc[where])
+    _, group = np.unique(rows.label, return_inverse=True)
+    links = []
+    for a, b, _, first in rows.likely():
+        if not first.any():
+            continue
+        order = np.argsort(a[first], kind="stable")
+        a, b = a[first][order], b[first][order]
+        ones, starts = np.unique(a, return_index=True)
+        for one, others in zip(ones.tolist(), np.split(b, starts[1:]), strict=True):
+            others = others[group[others] != group[one]]
+            while len(others):
+                step = max(1, PARTS_AT_ONCE // int(sets.size[text_of[others]].max()))
+                looked, others = others[:step], others[step:]
+                for other in looked[sets.linked(text_of[one], text_of[looked])].tolist():
+                    if group[other] != group[one]:
+                        links.append((rows.tid[one], rows.tid[other]))
+                        group[group == group[other]] = group[one]
+                others = others[group[others] != group[one]]
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def _whole_buckets(look):
     """``look`` over batches that end where a bucket ends; what is held back is one bucket at most."""
 
@@ -276,21 +334,27 @@ def _whole_buckets(look):
 
 
 _PAIRS = "a long, b long"
-_NEAR = "bucket long, band int, tid long, other long, equal long, pairs long"
+_NEAR = "bucket long, band int, tid long, other long, equal long, pairs long, first boolean"
 
 
-def _looked_at(divided: DataFrame, sketches: DataFrame, look, schema: str) -> DataFrame:
-    """``look`` over the rows of each bucket, large ones by pairs of blocks."""
+def _looked_at(divided: DataFrame, sketches: DataFrame, look, schema: str, texts: DataFrame | None = None) -> DataFrame:
+    """``look`` over the rows of each bucket, large ones by pairs of blocks; with texts, where ``texts`` is given."""
     divided = stored(divided.select("bucket", "band", "tid", "label", "size"), "divided")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     ids = stored(divided.select("tid").distinct(), "ids")
+    wanted, columns = _among(sketches.select("tid", "n", "sketch", "signature"), ids), []
+    if texts is not None:
+        wanted, columns = wanted.join(_among(texts.select("tid", "text"), ids), "tid"), ["text"]
+        parts = divided.join(_among(sketches.select("tid", "n"), ids), "tid").groupBy("bucket").agg(F.sum("n").alias("parts"))
+        heavy = F.ceil(F.col("parts") / SET_PARTS)
+        divided = divided.join(parts, "bucket").withColumn("size", F.greatest("size", heavy)).drop("parts")
     return (
-        divided.join(_among(sketches.select("tid", "n", "sketch", "signature"), ids), "tid")
+        divided.join(wanted, "tid")
         .withColumn("part", F.pmod(F.xxhash64("tid"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumns({"i": F.least("part", "with"), "j": F.greatest("part", "with")})
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-        .select("bucket", "band", "tid", "label", "n", "part", "i", "j", "sketch", "signature")
+        .select("bucket", "band", "tid", "label", "n", "part", "i", "j", "sketch", "signature", *columns)
         .mapInPandas(_whole_buckets(look), schema)
     )
 
@@ -312,8 +376,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = stored(texts.select("tid", "text").mapInPandas(
         _sketches, "tid long, n long, sketch binary, signature binary, buckets array<long>"), "sketches")
     rows = sketches.select(F.posexplode("buckets").alias("band", "bucket"), "tid")
-    pivots = rows.groupBy("bucket").agg(F.min("tid").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(rows.join(pivots.drop("size"), "bucket"), "members")
+    # one shuffle: hardly any bucket has two members, so counting them first would shuffle as many rows again
+    inside = Window.partitionBy("bucket")
+    met = rows.withColumns({"pivot": F.min("tid").over(inside), "size": F.count(F.lit(1)).over(inside)})
+    members = stored(met.where("size > 1").drop("size"), "members")
 
     links = linked(_best(members.where("tid <> pivot")), texts)
     labels = _grouped(stored(sketches.select("tid", F.col("tid").alias("label")), "labels"), links)
@@ -322,8 +388,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs, rows_left = near.agg(F.sum("pairs"), F.count_distinct("tid")).first()
         if not rows_left:
             break
-        # a row that may be linked with no other group of a bucket is done with that bucket
-        members = stored(near.select("bucket", "band", "tid").distinct(), "members")
+        # a row is done with a bucket where it may be linked with no other group, or only with rows it met in one before
+        members = stored(near.where("first").select("bucket", "band", "tid").distinct(), "members")
         if pairs <= PAIRS_A_ROW * rows_left:  # all pairs are hardly more than the nearest ones
             labels = _grouped(labels, linked(_every_pair(members, labels, sketches), texts))
             break
@@ -332,7 +398,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = linked(pairs, texts)
         labels = _grouped(labels, links)
     else:
-        labels = _grouped(labels, linked(_every_pair(members, labels, sketches), texts))
+        forest = _looked_at(_divided(members, labels), sketches, _forest, _PAIRS, texts)
+        labels = _grouped(labels, stored(forest, "links"))
 
     named = texts.select("key", "tid", "least").join(labels, "tid").join(sketches.select("tid", "n"), "tid")
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -66,6 +66,36 @@ def test_all_pairs_of_a_bucket(spark, monkeypatch):
         assert {r["tid"] for r in near} == set(range(30)) and all(r["tid"] // 2 != r["other"] // 2 for r in near)
 
 
+def test_pairs_that_are_not_linked_make_no_rows(spark, frame, monkeypatch):
+    """A large group of texts that are alike, but for the most part not enough: pairs would grow with its square."""
+    draw = random.Random(4)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    base, texts = [word() for _ in range(100)], []
+    for _ in range(150):
+        copy = list(base)
+        for k in draw.sample(range(100), draw.choice([1, 2, 3])):
+            copy[k] = word()
+        texts.append(" ".join(copy))
+    made, compared, looked = [], minhash.linked, minhash._looked_at
+    monkeypatch.setattr(minhash, "NEAREST_TURNS", 1)
+    monkeypatch.setattr(minhash, "linked", lambda pairs, rows: made.append(pairs.count()) or compared(pairs, rows))
+
+    def counted(divided, sketches, look, *rest):
+        out = looked(divided, sketches, look, *rest)
+        if look is not minhash._nearest:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_looked_at", counted)
+    want = least_reachable(texts)[0]
+    for block, parts in ((4096, 1000), (20, 1000), (4096, 4)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "SET_PARTS", parts)
+        got = minhash.with_components(frame(texts)).orderBy("doc_id").collect()
+        assert [r["component_id"] for r in got] == want and len(set(want)) > 1
+    assert max(made) <= minhash.PAIRS_A_ROW * len(texts)
+
+
 def test_signatures_estimate_likeness():
     draw = np.random.default_rng(2)
     values = draw.integers(0, 2**63, 1400).astype(np.uint64)
