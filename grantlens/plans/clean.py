@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grantlens.functions.dates import safe_date
 from grantlens.functions.text import (
@@ -118,34 +119,70 @@ def clean_links(
     An assignee without a company row leaves a NULL company. The patent's year comes along
     as a fourth column.
     """
-    pairs = (
-        raw_inventors.filter(
-            F.col("patent_id").isNotNull() & key_present(F.col("inventor_id"))
-        )
-        .select(
-            trimmed(F.col("patent_id")).alias("patent_id"),
-            trimmed(F.col("inventor_id")).alias("inventor_id"),
-        )
-        .distinct()
-        .join(patents.select("patent_id", "year"), "patent_id")
-    )
+    pairs = _pairs(raw_inventors).repartition("patent_id").distinct()
     if inventors is not None:
         pairs = pairs.join(inventors.select("inventor_id"), "inventor_id", "left_semi")
-    owners = (
-        raw_assignees.filter(
-            F.col("patent_id").isNotNull() & key_present(F.col("assignee_id"))
-        )
-        .select(
-            trimmed(F.col("patent_id")).alias("patent_id"),
-            trimmed(F.col("assignee_id")).alias("assignee_id"),
-        )
-        .distinct()
+    owners = _owners(raw_assignees, companies).repartition("patent_id").distinct()
+    return pairs.join(patents.select("patent_id", "year"), "patent_id").join(owners, "patent_id", "left").select(
+        "patent_id", "inventor_id", "company_id", "year"
+    )
+
+
+def _pairs(raw_inventors: DataFrame) -> DataFrame:
+    """(patent_id, inventor_id); rows may repeat."""
+    return raw_inventors.filter(key_present(F.col("patent_id")) & key_present(F.col("inventor_id"))).select(
+        trimmed(F.col("patent_id")).alias("patent_id"),
+        trimmed(F.col("inventor_id")).alias("inventor_id"),
     )
+
+
+def _owners(raw_assignees: DataFrame, companies: DataFrame) -> DataFrame:
+    """(patent_id, company_id), NULL for an assignee without a company row; rows may repeat."""
     known = companies.select(F.col("company_id"), F.col("company_id").alias("assignee_id"))
-    # Two unknown assignees of one patent both become NULL, hence the second distinct.
-    owners = owners.join(known, "assignee_id", "left").select("patent_id", "company_id").distinct()
-    return pairs.join(owners, "patent_id", "left").select(
-        "patent_id", "inventor_id", "company_id", "year"
+    owners = raw_assignees.filter(key_present(F.col("patent_id")) & key_present(F.col("assignee_id"))).select(
+        trimmed(F.col("patent_id")).alias("patent_id"),
+        trimmed(F.col("assignee_id")).alias("assignee_id"),
+    )
+    return owners.join(known, "assignee_id", "left").select("patent_id", "company_id")
+
+
+def _numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Distinct rows by patent, with a flag on the first one of each group of ``keys`` (the patent and columns after it).
+
+    The keys and ``order`` are all columns. One shuffle by patent and one sort, which may spill, serve the copies, the flag
+    and joins by patent that follow; a hash table would hold every row of a task, twice.
+    """
+    group = Window.partitionBy(*keys).orderBy(*(F.asc_nulls_last(c) for c in order))
+    copy = reduce(Column.__and__, (F.col(c).eqNullSafe(F.lag(c).over(group)) for c in order))
+    seen = rows.repartition("patent_id").withColumn(name, F.row_number().over(group) == 1).withColumn("_copy", copy)
+    return seen.filter(F.col(name) | ~F.col("_copy")).drop("_copy")
+
+
+def marked_links(
+    raw_inventors: DataFrame, raw_assignees: DataFrame, patents: DataFrame, companies: DataFrame, inventors: DataFrame
+) -> DataFrame:
+    """What ``mark_links`` makes of ``clean_links``, from one shuffle of each raw table by patent.
+
+    A patent's links are all its inventors with all its companies, so inventors and companies are
+    chosen before the two meet: on fewer rows, and without joining the choices back.
+    """
+    located = _pairs(raw_inventors).join(inventors.select("inventor_id", "country"), "inventor_id", "left")
+    known = F.col("country").isNotNull() & (F.col("country") != "")
+    whole = Window.partitionBy("patent_id")
+    people = _numbered(located, ["patent_id", "country"], ["inventor_id"], "_local").withColumn(
+        "_inventor", F.col("inventor_id") == F.min("inventor_id").over(whole)
+    )
+    owners = _numbered(_owners(raw_assignees, companies), ["patent_id"], ["company_id"], "_company")
+    first_company = F.coalesce("_company", F.lit(True))  # a patent without an owner has one link per inventor
+    return people.join(patents.select("patent_id", "year"), "patent_id").join(owners, "patent_id", "left").select(
+        "patent_id",
+        "inventor_id",
+        "company_id",
+        "year",
+        "country",
+        first_company.alias("one_per_inventor"),
+        F.col("_inventor").alias("one_per_company"),
+        (first_company & F.col("_local") & known).alias("one_per_country"),
     )
 
 
@@ -187,32 +224,35 @@ def mark_links(links: DataFrame, inventors: DataFrame) -> DataFrame:
     )
 
 
-def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
-    """Distinct classifications of surviving patents, with their year; a blank section becomes NULL."""
-    rows = raw.filter(F.col("patent_id").isNotNull() & F.col("cpc_section").isNotNull()).select(
+def _codes(raw: DataFrame) -> DataFrame:
+    """Classifications; rows may repeat. A blank section becomes NULL."""
+    return raw.filter(key_present(F.col("patent_id")) & F.col("cpc_section").isNotNull()).select(
         trimmed(F.col("patent_id")).alias("patent_id"),
         blank_to_null(trimmed(F.col("cpc_section"))).alias("section"),
         blank_to_null(trimmed(F.col("cpc_class"))).alias("cpc_class"),
         blank_to_null(trimmed(F.col("cpc_subclass"))).alias("cpc_subclass"),
     )
-    return rows.distinct().join(patents.select("patent_id", "year"), "patent_id")
+
+
+def clean_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
+    """Distinct classifications of surviving patents, with their year; a blank section becomes NULL."""
+    # shuffled on the patent alone, which serves the join too
+    return _codes(raw).repartition("patent_id").distinct().join(patents.select("patent_id", "year"), "patent_id")
+
+
+def marked_cpc(raw: DataFrame, patents: DataFrame) -> DataFrame:
+    """Distinct classifications as ``clean_cpc`` makes them, with a flag on one row per (patent, section)."""
+    codes = _numbered(_codes(raw), ["patent_id", "section"], ["cpc_class", "cpc_subclass"], "_first")
+    return codes.join(patents.select("patent_id", "year"), "patent_id").withColumn(
+        "one_per_section", F.col("_first") & F.col("section").isNotNull()
+    ).drop("_first")
 
 
 def mark_cpc(classes: DataFrame) -> DataFrame:
     """Add a flag that is true on one row per (patent, section): the first class and subclass."""
-    nothing = F.lit("")
-    code = F.struct(F.coalesce("cpc_class", nothing), F.coalesce("cpc_subclass", nothing))
-    first = (
-        classes.filter(F.col("section").isNotNull())
-        .groupBy("patent_id", "section")
-        .agg(F.min(code).alias("_first"))
-    )
-    chosen = F.coalesce(code == F.col("_first"), F.lit(False))
-    return (
-        classes.join(first, ["patent_id", "section"], "left")
-        .withColumn("one_per_section", chosen)
-        .drop("_first")
-    )
+    per_section = Window.partitionBy("patent_id", "section").orderBy("cpc_class", "cpc_subclass")
+    first = F.row_number().over(per_section) == 1
+    return classes.withColumn("one_per_section", first & F.col("section").isNotNull())
 
 
 def clean_star(

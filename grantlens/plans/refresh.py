@@ -4,7 +4,8 @@ Raw rows are kept as they were loaded. A refresh finds what the new rows touch:
 location they describe, and patents that they name or that belong to an entity whose stored row changed. Only these are
 cleaned again, from all their raw rows. Facts and patents are stored by year, entities in buckets of their id's
 hash; a part is written anew if a touched row was or is in it, from its other rows and the new ones. Yearly
-summaries are written anew for those years. The result is the star a full build would make.
+summaries are written anew for those years. Where more than half as many patents are touched as are stored, all facts are
+written anew. The result is the star a full build would make.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from grantlens.sources.warehouse import snapshot_star
 from grantlens.star import Star
 
 BUCKETS = 32
+MANY = 0.5  # touched ids, as a part of the stored patents, above which all facts are written anew
 
 # Summaries with one row per something and year, which a refresh replaces by year.
 YEARLY = ("mv_yearly", "mv_country_yearly", "mv_section_yearly", "mv_company_yearly", "mv_inventor_yearly")
@@ -79,7 +81,7 @@ class _Refresh:
     def run(self) -> None:
         people = self._entities("inventors", "inventor_id", self._touched_people())
         firms = self._entities("companies", "company_id", self._touched_firms())
-        ids = None if self.first else self.draft.stage(self._touched_patents(people, firms), "patent_ids")
+        ids = None if self.first else self._few(self.draft.stage(self._touched_patents(people, firms), "patent_ids"))
         years = self._facts(ids)
         if self.summarised:
             self._summaries(years)
@@ -104,6 +106,10 @@ class _Refresh:
         ids = [df.filter(F.col("patent_id").isNotNull()).select(trimmed(F.col("patent_id")).alias("patent_id")) for df in rows]
         return _union(ids).distinct()
 
+    def _few(self, ids: DataFrame) -> DataFrame | None:
+        """``ids``, or nothing where they are so many that cleaning all patents again is less work than picking them out."""
+        return ids if ids.count() <= MANY * self.draft.read(self.spark, "patents").count() else None
+
     # -- tables ---------------------------------------------------------------------------
 
     def _cleaned(self, table: str, ids: DataFrame | None) -> DataFrame:
@@ -132,27 +138,24 @@ class _Refresh:
         self.draft.replace_parts(touched.join(inside, key, "left_anti").unionByName(inside), table, "bucket", buckets)
         return changed.select(key)
 
-    def _facts(self, ids: DataFrame | None) -> list:
-        """Bring patents, links and classes up to date; returns the years written."""
+    def _facts(self, ids: DataFrame | None) -> list | None:
+        """Bring patents, links and classes up to date; returns the years written, nothing where all were."""
         low, high = self.settings["years"]
         patents = clean.clean_patents(_of(self.raw["patents"], "patent_id", ids), low, high)
         patents = self.draft.stage(_stored_form(patents, "patents"), "patents_rows")
         inventors = self.draft.read(self.spark, "inventors").select(CLEAN["inventors"].names)
         companies = self.draft.read(self.spark, "companies").select(CLEAN["companies"].names)
-        # marking reads links and classes several times: from written rows, not from the joins
-        links = self.draft.stage(clean.clean_links(
-            _of(self.raw["inventors"], "patent_id", ids), _of(self.raw["assignees"], "patent_id", ids), patents, companies,
-        ), "links_rows")
-        classes = self.draft.stage(clean.clean_cpc(_of(self.raw["cpc"], "patent_id", ids), patents), "cpc_rows")
         rows = {
             "patents": patents,
-            "links": _stored_form(clean.mark_links(links, inventors), "links"),
-            "cpc": _stored_form(clean.mark_cpc(classes), "cpc"),
+            "links": _stored_form(clean.marked_links(
+                _of(self.raw["inventors"], "patent_id", ids), _of(self.raw["assignees"], "patent_id", ids), patents, companies, inventors,
+            ), "links"),
+            "cpc": _stored_form(clean.marked_cpc(_of(self.raw["cpc"], "patent_id", ids), patents), "cpc"),
         }
         if ids is None:
             for table in _FACTS:
                 self.draft.replace(rows[table], table, "year")
-            return []
+            return None
         seen = self.draft.read(self.spark, "patents").join(ids, "patent_id", "left_semi").select("year")
         years = [r[0] for r in seen.unionByName(patents.select("year")).distinct().collect()]  # a few dozen
         for table in _FACTS:
@@ -161,14 +164,14 @@ class _Refresh:
             self.draft.replace_parts(kept.unionByName(rows[table]), table, "year", years)
         return years
 
-    def _summaries(self, years: list) -> None:
+    def _summaries(self, years: list | None) -> None:
         star = snapshot_star(self.spark, self.draft)
-        known = [y for y in years if y is not None]
-        touched = star if self.first else _in_years(star, F.col("year").isin(known))
+        known = [y for y in years or [] if y is not None]
+        touched = star if years is None else _in_years(star, F.col("year").isin(known))
         for name, build in summaries.SUMMARIES.items():
             if name not in YEARLY:
                 self.draft.replace(build(star), name)
-            elif self.first:
+            elif years is None:
                 self.draft.replace(build(star), name, "year")
             else:
                 self.draft.replace_parts(build(touched), name, "year", known)

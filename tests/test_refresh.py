@@ -3,10 +3,11 @@
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
-from grantlens.plans import checks, refresh, summaries
+from grantlens.plans import checks, clean, refresh, summaries
 from grantlens.schemas import RAW
-from grantlens.sources import snapshots
+from grantlens.sources import snapshots, synthetic
 from grantlens.sources.warehouse import read_star
 from star_rows import rows
 
@@ -157,3 +158,33 @@ def test_quality_report_reads_tables_once(spark, plain):
     assert plan.count("FileScan parquet") == 6  # five tables, inventors twice
     found = {(r["table_name"], r["check_name"]): r["failures"] for r in report.collect()}
     assert len(found) == 17 and {k for k, n in found.items() if n} == {("inventors", "country_fill"), ("inventors", "country_variety")}
+
+
+def test_few_and_many_touched_patents_give_the_same_star(spark, plain, monkeypatch):
+    more = {name: [r for case in sorted(SECOND) for r in SECOND[case].get(name, [])] for name in RAW}
+    got = []
+    for many in (0, 1000):
+        monkeypatch.setattr(refresh, "MANY", many)
+        folder = plain(f"many-{many}")
+        refresh.load(frames(spark, more), folder, 1976, 2025)
+        got.append(content(spark, folder))
+    assert got[0] == got[1]
+
+
+def test_a_build_of_facts_shuffles_each_raw_table_once_by_patent(spark):
+    """Marked links equal the plain links marked afterwards, without joins of the choices back to the links."""
+    raw = synthetic.raw_tables(spark, 0.4)
+    star = clean.clean_star(raw)
+    args = (raw["inventors"], raw["assignees"], star.patents, star.companies)
+    got = clean.marked_links(*args, star.inventors)
+    assert rows(got) == rows(clean.mark_links(clean.clean_links(*args), star.inventors))
+    got = clean.marked_cpc(raw["cpc"], star.patents).groupBy("patent_id", "section").agg(
+        F.count("*"), F.sum(F.col("one_per_section").cast("int")))
+    want = clean.mark_cpc(clean.clean_cpc(raw["cpc"], star.patents)).groupBy("patent_id", "section").agg(
+        F.count("*"), F.sum(F.col("one_per_section").cast("int")))
+    assert rows(got) == rows(want)
+    stored = [df.localCheckpoint() for df in (raw["inventors"], raw["assignees"], star.patents, star.companies, star.inventors)]
+    plan = clean.marked_links(*stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Join") == 4 and "HashAggregate" not in plan
+    plan = clean.marked_cpc(raw["cpc"].localCheckpoint(), stored[2])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Join") == 1 and plan.count("Sort [") <= 2
