@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantlens.functions.periods import DECADE_PERIODS
-from grantlens.operators.counting import count_ids, count_rows
+from grantlens.operators.counting import count_patents, count_patents_by_label, count_rows
 from grantlens.operators.quality import report
 from grantlens.operators.ranking import top
 from grantlens.plans.analysis import (
@@ -35,7 +35,7 @@ def country_yearly(star: Star) -> DataFrame:
 
 
 def section_yearly(star: Star) -> DataFrame:
-    return count_ids(star.classified, ["section", "cpc_class", "year"], "patent_id", "patents")
+    return count_patents(star.classified, ["section", "cpc_class", "year"])
 
 
 def _lifetime(star: Star, key: str) -> DataFrame:
@@ -62,17 +62,16 @@ def inventor_total(star: Star) -> DataFrame:
 
 
 def company_yearly(star: Star) -> DataFrame:
-    named = star.patents_of("company_id", dated=True).join(
-        star.companies.select("company_id", F.col("name").alias("company")), "company_id"
+    named = star.companies.select("company_id", F.col("name").alias("company"))
+    return count_patents_by_label(star.pair_rows("company_id"), named, "company_id", ["company"]).select(
+        "company", "year", "patents"
     )
-    return count_ids(named, ["company", "year"], "patent_id", "patents")
 
 
 def inventor_yearly(star: Star) -> DataFrame:
     people = star.inventors.select("inventor_id", F.col("name").alias("inventor"), "country")
-    named = star.patents_of("inventor_id", dated=True).join(people, "inventor_id")
-    counted = count_ids(named, ["inventor", "country", "year"], "patent_id", "patents")
-    return counted.withColumn("country", F.coalesce("country", F.lit("?")))
+    counted = count_patents_by_label(star.pair_rows("inventor_id"), people, "inventor_id", ["inventor", "country"])
+    return counted.select("inventor", F.coalesce("country", F.lit("?")).alias("country"), "year", "patents")
 
 
 def company_section(star: Star, companies: int = MATRIX_COMPANIES) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, functions as F
 
+from grantlens.operators.copies import distinct_by
+
 
 @dataclass(frozen=True)
 class Star:
@@ -119,9 +121,16 @@ class Star:
         if pairs is None:
             rows = self.dated_link_rows if dated else self.link_rows
             rows = _known_year(rows, dated).filter(F.col(key).isNotNull())
-            return rows.select("patent_id", key, *_year(dated)).distinct()
+            return distinct_by(rows.select("patent_id", key, *_year(dated)), "patent_id")
         return pairs.filter(F.col(key).isNotNull())
 
+    def pair_rows(self, key: str) -> DataFrame:
+        """(patent_id, key, year) of patents with a known year; rows may repeat unless a flag tells them apart."""
+        flag = {"inventor_id": "one_per_inventor", "company_id": "one_per_company"}[key]
+        pairs = self._chosen_rows(flag, ["patent_id", key], True)
+        rows = _known_year(self.dated_link_rows, True) if pairs is None else pairs
+        return rows.filter(F.col(key).isNotNull()).select("patent_id", key, "year")
+
     def patents_in_countries(self, dated: bool = False) -> DataFrame:
         """Distinct (patent_id, country[, year]) over the known countries of a patent's inventors."""
         pairs = self._chosen_rows("one_per_country", ["patent_id", "country"], dated)
@@ -129,7 +138,7 @@ class Star:
             rows = _known_year(self.dated_link_rows if dated else self.link_rows, dated)
             rows = rows.select("patent_id", "inventor_id", *_year(dated))
             placed = rows.join(self.located, "inventor_id")
-            return placed.select("patent_id", "country", *_year(dated)).distinct()
+            return distinct_by(placed.select("patent_id", "country", *_year(dated)), "patent_id")
         return pairs
 
     def patents_in_sections(self, dated: bool = False) -> DataFrame:
@@ -139,7 +148,7 @@ class Star:
             return rows.select("patent_id", "section", *_year(dated))
         rows = _known_year(self.dated_class_rows if dated else self.class_rows, dated)
         rows = rows.filter(F.col("section").isNotNull())
-        return rows.select("patent_id", "section", *_year(dated)).distinct()
+        return distinct_by(rows.select("patent_id", "section", *_year(dated)), "patent_id")
 
     @property
     def located(self) -> DataFrame:
