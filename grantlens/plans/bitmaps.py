@@ -19,10 +19,14 @@ from grantlens.star import Star, country_present
 
 
 def bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, bucket, bits) of the numbers in ``rows``; repeated numbers set a bit once."""
+    """(keys, bucket, bits) of the numbers in ``rows``; repeated numbers set a bit once.
+
+    Numbers are shuffled, not bitmaps: every task would make one of four kilobytes for each key and bucket it meets, and
+    both tasks and buckets grow with the rows. A key's bucket has as many rows as numbers, times their repetitions.
+    """
     number = F.col("number")
-    return rows.groupBy(*keys, (F.bitmap_bucket_number(number + 1)).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number + 1)).alias("bits"))
+    placed = rows.select(*keys, F.bitmap_bucket_number(number + 1).alias("bucket"), F.bitmap_bit_position(number + 1).alias("place"))
+    return placed.repartition(*keys, "bucket").groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
 
 
 def write_bitmaps(star: Star, folder: str) -> None:
@@ -41,11 +45,15 @@ def write_bitmaps(star: Star, folder: str) -> None:
     classes = star.dated_class_rows.filter(F.col("year").isNotNull()).join(numbered, "patent_id")
     kept(bitmaps(classes, ["section", "cpc_class", "year"]), "patents_by_class")
 
-    active = star.activity.join(star.inventors.select("inventor_id", "country"), "inventor_id", "left")
     people = kept(dense_numbers(star.inventors.select("inventor_id"), "inventor_id"), "inventor_numbers")
     owners = kept(dense_numbers(star.companies.select("company_id"), "company_id"), "company_numbers")
-    kept(bitmaps(active.join(people, "inventor_id"), ["country", "year"]), "inventors")
-    kept(bitmaps(active.filter(F.col("company_id").isNotNull()).join(owners, "company_id"), ["country", "year"]), "companies")
+    places = star.inventors.select("inventor_id", "country")
+    # an entity is active in a year by many links: one row of them is kept before numbers are joined
+    active = star.activity.select("inventor_id", "year").distinct().join(places.join(people, "inventor_id"), "inventor_id")
+    kept(bitmaps(active, ["country", "year"]), "inventors")
+    owned = star.activity.filter(F.col("company_id").isNotNull()).join(places, "inventor_id", "left")
+    owned = owned.select("company_id", "country", "year").distinct().join(owners, "company_id")
+    kept(bitmaps(owned, ["country", "year"]), "companies")
 
 
 class Bitmaps:
