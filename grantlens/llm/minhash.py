@@ -177,10 +177,10 @@ def _grouped(labels: DataFrame, links: DataFrame) -> DataFrame:
 def _divided(members: DataFrame, labels: DataFrame) -> DataFrame:
     """bucket, band, tid, label, size of the buckets that hold several groups."""
     named = members.select("bucket", "band", "tid").join(labels, "tid")
-    several = named.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where("low <> high")
-    return named.join(several.select("bucket", "size"), "bucket")
+    inside = Window.partitionBy("bucket")
+    seen = named.withColumns({"low": F.min("label").over(inside), "high": F.max("label").over(inside),
+                              "size": F.count(F.lit(1)).over(inside)})
+    return seen.where("low <> high").drop("low", "high")
 
 
 class Rows:

@@ -131,3 +131,14 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_divided_buckets_are_found_without_a_join_of_buckets(spark):
+    """A row comes out once at most, however many rows its bucket has."""
+    members = spark.createDataFrame([(1, 0, t) for t in range(50)] + [(2, 1, 0), (2, 1, 1), (3, 2, 2), (3, 2, 3)], "bucket long, band int, tid long")
+    labels = spark.createDataFrame([(t, t // 2) for t in range(50)], "tid long, label long")
+    found = minhash._divided(members, labels)
+    assert sorted(r["tid"] for r in found.collect()) == list(range(50))
+    assert {(r["bucket"], r["size"]) for r in found.collect()} == {(1, 50)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join [tid" in plan and "Join [bucket" not in plan
