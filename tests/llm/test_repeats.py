@@ -135,3 +135,19 @@ def test_texts_are_returned(frame):
 def test_empty(empty_docs):
     assert substring.without_repeats(empty_docs).count() == 0
     assert suffix.without_repeats(empty_docs).count() == 0
+
+
+def test_anchors_are_handed_on_in_parts(monkeypatch):
+    """A batch of texts is not held as one table; the parts hold the same anchors."""
+    import pandas as pd
+
+    from grantlens.llm import hashing, substring
+
+    monkeypatch.setattr(hashing.grouped, "__defaults__", (2000,))
+    texts = pd.DataFrame({"tid": range(60), "text": [" ".join(f"w{k}x{j}" for j in range(100)) for k in range(60)]})
+    whole = pd.concat(substring._anchors(35)(iter([texts])))
+    monkeypatch.setattr(substring, "AT_ONCE", 200)
+    parts = list(substring._anchors(35)(iter([texts])))
+    assert len(parts) > 3 and max(map(len, parts)) < len(whole) / 3
+    columns = ["core", "full", "tid", "a", "b"]
+    assert sorted(map(tuple, pd.concat(parts)[columns].to_numpy())) == sorted(map(tuple, whole[columns].to_numpy()))
