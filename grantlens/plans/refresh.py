@@ -4,8 +4,9 @@ Raw rows are kept as they were loaded. A refresh finds what the new rows touch:
 location they describe, and patents that they name or that belong to an entity whose stored row changed. Only these are
 cleaned again, from all their raw rows. Facts and patents are stored by year, entities in buckets of their id's
 hash; a part is written anew if a touched row was or is in it, from its other rows and the new ones. Yearly
-summaries are written anew for those years. Where more than half as many patents are touched as are stored, all facts are
-written anew. The result is the star a full build would make.
+summaries are written anew for those years. A load of more than half as many rows of patents as were loaded before touches
+nearly everything: all tables are then made anew, and nothing is looked up first. Where fewer rows touch more than half as
+many patents as are stored, all facts are written anew. The result is the star a full build would make.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from grantlens.sources.warehouse import snapshot_star
 from grantlens.star import Star
 
 BUCKETS = 32
-MANY = 0.5  # touched ids, as a part of the stored patents, above which all facts are written anew
+MANY = 0.5  # new rows of patents, as a part of the earlier ones, and touched ids, as a part of the stored patents, above which all is written anew
 
 # Summaries with one row per something and year, which a refresh replaces by year.
 YEARLY = ("mv_yearly", "mv_country_yearly", "mv_section_yearly", "mv_company_yearly", "mv_inventor_yearly")
@@ -74,14 +75,17 @@ class _Refresh:
         self.spark, self.draft, self.settings = spark, draft, settings
         self.first = not draft.parts
         self.summarised = summarised if self.first else YEARLY[0] in draft.parts
+        loaded = [] if self.first else draft.parts["raw_patents"]
         new = {name: draft.append(_as_raw(fresh[name], name), f"raw_{name}") for name in RAW}
         self.new = {name: draft.read(spark, f"raw_{name}", parts) for name, parts in new.items()}
         self.raw = {name: draft.read(spark, f"raw_{name}") for name in RAW}
+        # rows are counted in the footers of files; a load of many is not compared with what is stored
+        self.anew = self.first or draft.written["raw_patents"] > MANY * draft.read(spark, "raw_patents", loaded).count()
 
     def run(self) -> None:
         people = self._entities("inventors", "inventor_id", self._touched_people())
         firms = self._entities("companies", "company_id", self._touched_firms())
-        ids = None if self.first else self._few(self.draft.stage(self._touched_patents(people, firms), "patent_ids"))
+        ids = None if self.anew else self._few(self.draft.stage(self._touched_patents(people, firms), "patent_ids"))
         years = self._facts(ids)
         if self.summarised:
             self._summaries(years)
@@ -89,7 +93,7 @@ class _Refresh:
     # -- what the new rows touch ----------------------------------------------------------
 
     def _touched_people(self) -> DataFrame | None:
-        if self.first:
+        if self.anew:
             return None
         named = _ids(self.new["inventors"], "inventor_id", "inventor_id")
         places = _ids(self.new["locations"], "location_id", "location_id")
@@ -97,7 +101,7 @@ class _Refresh:
         return named.unionByName(living).distinct()
 
     def _touched_firms(self) -> DataFrame | None:
-        return None if self.first else _ids(self.new["assignees"], "assignee_id", "company_id")
+        return None if self.anew else _ids(self.new["assignees"], "assignee_id", "company_id")
 
     def _touched_patents(self, people: DataFrame, firms: DataFrame) -> DataFrame:
         rows = [self.new[name] for name in ("patents", "inventors", "assignees", "cpc")]
@@ -141,8 +145,12 @@ class _Refresh:
     def _facts(self, ids: DataFrame | None) -> list | None:
         """Bring patents, links and classes up to date; returns the years written, nothing where all were."""
         low, high = self.settings["years"]
-        patents = clean.clean_patents(_of(self.raw["patents"], "patent_id", ids), low, high)
-        patents = self.draft.stage(_stored_form(patents, "patents"), "patents_rows")
+        patents = _stored_form(clean.clean_patents(_of(self.raw["patents"], "patent_id", ids), low, high), "patents")
+        if ids is None:
+            self.draft.replace(patents, "patents", "year")
+            patents = self.draft.read(self.spark, "patents")
+        else:
+            patents = self.draft.stage(patents, "patents_rows")
         inventors = self.draft.read(self.spark, "inventors").select(CLEAN["inventors"].names)
         companies = self.draft.read(self.spark, "companies").select(CLEAN["companies"].names)
         rows = {
@@ -153,7 +161,7 @@ class _Refresh:
             "cpc": _stored_form(clean.marked_cpc(_of(self.raw["cpc"], "patent_id", ids), patents), "cpc"),
         }
         if ids is None:
-            for table in _FACTS:
+            for table in _FACTS[1:]:
                 self.draft.replace(rows[table], table, "year")
             return None
         seen = self.draft.read(self.spark, "patents").join(ids, "patent_id", "left_semi").select("year")

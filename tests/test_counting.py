@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from grantlens.operators.copies import distinct_by
-from grantlens.operators.counting import count_ids, count_patents, count_patents_by_label
+from grantlens.operators.counting import count_ids, count_patents, count_patents_by_label, smallest_text
 from grantlens.plans.bitmaps import bitmaps
 from star_rows import rows
 
@@ -38,3 +38,11 @@ def test_numbers_are_shuffled_not_bitmaps(spark):
     plan = _plan(made)
     assert plan.index("SortAggregate") < plan.index("Exchange") and "SortAggregate" not in plan[plan.index("Exchange"):]
     assert made.agg(F.sum(F.bitmap_count("bits"))).first()[0] == 100_000
+
+
+def test_smallest_texts_are_found_among_different_rows(spark):
+    """Spark leaves a distinct step below a minimum out, and then sorts all rows."""
+    df = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "x"), ("a", None), ("b", None), ("b", None), ("c", "")], "id string, t string")
+    plan = _plan(smallest_text(df, "id", "t"))
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    assert sorted(map(tuple, smallest_text(df, "id", "t").collect())) == [("a", "x"), ("b", None), ("c", "")]

@@ -188,3 +188,27 @@ def test_a_build_of_facts_shuffles_each_raw_table_once_by_patent(spark):
     assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Join") == 4 and "HashAggregate" not in plan
     plan = clean.marked_cpc(raw["cpc"].localCheckpoint(), stored[2])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Join") == 1 and plan.count("Sort [") <= 2
+
+
+def test_a_load_of_very_many_rows_looks_nothing_up(spark, loaded, tmp_path, monkeypatch):
+    """Half of the raw rows after the other half: no touched ids are found, joined or put aside."""
+    asked, stage, some = [], snapshots.Draft.stage, refresh._of
+
+    def staged(self, df, name):
+        asked.append(name)
+        return stage(self, df, name)
+
+    def chosen(df, column, ids):
+        asked.extend([] if ids is None else [column])
+        return some(df, column, ids)
+
+    monkeypatch.setattr(snapshots.Draft, "stage", staged)
+    monkeypatch.setattr(refresh, "_of", chosen)
+    more = {name: FIRST[name] + [r for case in sorted(SECOND) for r in SECOND[case].get(name, [])] for name in RAW}
+    folder, whole = loaded("very-many"), str(tmp_path / "whole")
+    refresh.load(frames(spark, more), folder, 1976, 2025)
+    assert asked == []
+    refresh.build(frames(spark, {name: FIRST[name] + more[name] for name in RAW}), whole, 1976, 2025)
+    got, want = content(spark, folder), content(spark, whole)
+    for name in want:
+        assert got[name] == want[name], name
