@@ -10,8 +10,11 @@ needle without a literal piece of three characters has all slices as candidates.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -25,9 +28,13 @@ SLICE_BYTES = 8 << 20
 TEXTS = ["patent_id", "title", "abstract", "filing_date", "year", "slice"]
 RUNS = "run string, year int, slice int"
 
+_BITS = 21  # of a character
+_BREAK = np.array([0x110000], dtype="<u4")  # stands between texts; no character has this number
+_MANY_SIGNS = 1 << 20  # characters whose runs are told apart at a time
+
 
 def runs_of(text: Column) -> Column:
-    """The different runs of three characters of a text, lower-cased."""
+    """The different runs of three characters of a text, lower-cased; ``_slice_runs`` finds them for many texts at once."""
     # bound once as the element of an array; written out inside the inner function it would be split anew per character
     longer = F.transform(
         F.array(F.split(F.lower(text), "")),
@@ -37,6 +44,43 @@ def runs_of(text: Column) -> Column:
     return F.array_distinct(F.filter(F.get(longer, 0), lambda r: r.isNotNull()))
 
 
+def _different_runs(texts: list[np.ndarray]) -> list[str]:
+    """The different runs of texts given by the numbers of their characters."""
+    signs = np.concatenate([part for text in texts for part in (text, _BREAK)]).astype(np.int64)
+    inside = signs < _BREAK[0]
+    whole = inside[:-2] & inside[1:-1] & inside[2:]
+    packed = np.unique((signs[:-2] << 2 * _BITS | signs[1:-1] << _BITS | signs[2:])[whole])
+    mask = (1 << _BITS) - 1
+    parts = np.stack([packed >> 2 * _BITS, packed >> _BITS & mask, packed & mask], axis=1).astype("<u4")
+    text = parts.tobytes().decode("utf-32-le")
+    return [text[k:k + RUN] for k in range(0, len(text), RUN)]
+
+
+def _slice_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of (year, slice, lower-cased text); a slice repeats a run only after very many characters."""
+    place, texts, signs = None, [], 0
+
+    def found() -> pa.RecordBatch:
+        runs = _different_runs(texts)
+        kept = [pa.array([v] * len(runs), pa.int32()) for v in place]
+        return pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), *kept], names=["run", "year", "slice"])
+
+    for batch in batches:
+        for year, part, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if texts and ((year, part) != place or signs > _MANY_SIGNS):
+                yield found()
+                texts, signs = [], 0
+            place = (year, part)
+            for start in range(0, len(text) - RUN + 1, _MANY_SIGNS):  # pieces of a long text overlap
+                if signs > _MANY_SIGNS:
+                    yield found()
+                    texts, signs = [], 0
+                texts.append(np.frombuffer(text[start:start + _MANY_SIGNS + RUN - 1].encode("utf-32-le"), dtype="<u4"))
+                signs += len(texts[-1])
+    if texts:
+        yield found()
+
+
 def needle_runs(needle: str, literal: bool = False) -> list[str]:
     """Runs that every text with the needle holds.
 
@@ -93,8 +137,8 @@ def build_index(patents: DataFrame, folder: str, slice_bytes: int = SLICE_BYTES)
     )
     schema = placed.select(TEXTS).schema
     stored = spark.read.schema(schema).parquet(text)
-    held = F.concat_ws("\n", "title", "abstract")
-    runs = stored.select("year", "slice", F.explode(runs_of(held)).alias("run")).distinct()
+    held = F.lower(F.concat_ws("\n", "title", "abstract"))
+    runs = stored.select("year", "slice", held.alias("held")).mapInArrow(_slice_runs, RUNS).distinct()
     (
         runs.repartitionByRange("run").sortWithinPartitions("run", "year", "slice").select("run", "year", "slice")
         .write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/runs")

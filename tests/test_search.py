@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,20 @@ def test_folders_of_other_slices_are_not_read(texts, index):
 def test_no_texts(spark, texts, tmp_path):
     empty = search.build_index(texts.limit(0), str(tmp_path))
     assert empty.slices == 0 and empty.hits("needle", F.lit(True)).count() == 0
+
+
+def test_runs_of_many_texts_at_once_are_the_runs_of_each(spark, texts, tmp_path, monkeypatch):
+    """No expression walks through the characters of a text; runs neither cross texts nor get lost where a text is cut."""
+    built = search.build_index(texts, str(tmp_path), slice_bytes=1500)
+    held = F.concat_ws("\n", "title", "abstract")
+    want = built.texts.select(F.explode(search.runs_of(held)).alias("run"), "year", "slice").distinct()
+    assert rows(spark.read.schema(search.RUNS).parquet(f"{tmp_path}/runs")) == rows(want)
+    monkeypatch.setattr(search, "_MANY_SIGNS", 4)
+    batch = pa.RecordBatch.from_pydict({"year": [2000, 2000, None, None], "slice": [0, 0, 1, 1], "held": ["abcdefghijkl", "xy\U0001F600z", "ab", "klmno"]})
+    got = [tuple(r.values()) for b in search._slice_runs(iter([batch])) for r in b.to_pylist()]
+    assert set(got) == {(t[k:k + 3], y, p) for y, p, t in zip(*batch.to_pydict().values()) for k in range(len(t) - 2)}
+
+
+def test_building_explodes_no_characters(spark, texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "runs_of", lambda text: pytest.fail("a text is taken apart by an expression"))
+    search.build_index(texts.limit(20), str(tmp_path))
