@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 _TIME = r"[ T][0-9]{1,2}:[0-9]{1,2}.*"
 _OTHER_SEPARATOR = rf"^([0-9]{{4}})[/ \\]([0-9]{{1,2}})[/ \\]([0-9]{{1,2}})(?:{_TIME})?$"
 _NOT_A_FULL_DATE = rf"^(?![0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}(?:{_TIME})?$)[\s\S]*$"
-_EDGES = r"^\s+|\s+$"
+_EDGES = " \t\n\x0b\f\r"
 
 
 def safe_date(c: Column) -> Column:
@@ -19,5 +19,5 @@ def safe_date(c: Column) -> Column:
     The input occurs once in the expression: it may be a long one, and it is copied
     into every filter that is pushed below the parsed column.
     """
-    dashed = F.regexp_replace(F.regexp_replace(c.cast("string"), _EDGES, ""), _OTHER_SEPARATOR, "$1-$2-$3")
+    dashed = F.regexp_replace(F.trim(c.cast("string"), F.lit(_EDGES)), _OTHER_SEPARATOR, "$1-$2-$3")
     return F.regexp_replace(dashed, _NOT_A_FULL_DATE, "").try_cast("date")

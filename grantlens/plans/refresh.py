@@ -7,11 +7,14 @@ hash; a part is written anew if a touched row was or is in it, from its other ro
 summaries are written anew for those years. A load of more than half as many rows of patents as were loaded before touches
 nearly everything: all tables are then made anew, and nothing is looked up first. Where fewer rows touch more than half as
 many patents as are stored, all facts are written anew. The result is the star a full build would make.
+
+The first load may name the tables that are wanted. They, and what they are made from, are then all that this load and
+later ones keep and bring up to date: patents alone need no inventors, classes need no links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,7 +24,7 @@ from grantlens.plans import clean, summaries
 from grantlens.schemas import CLEAN, RAW, conform
 from grantlens.sources import snapshots
 from grantlens.sources.snapshots import Draft, Snapshot
-from grantlens.sources.warehouse import snapshot_star
+from grantlens.sources.warehouse import CLEAN_TABLES, snapshot_star
 from grantlens.star import Star
 
 BUCKETS = 32
@@ -32,6 +35,23 @@ YEARLY = ("mv_yearly", "mv_country_yearly", "mv_section_yearly", "mv_company_yea
 
 _FACTS = ("patents", "links", "cpc")
 
+# The raw tables each clean table is made from, and the clean ones it needs besides.
+_RAW_OF = {
+    "patents": ("patents",), "inventors": ("inventors", "locations"), "companies": ("assignees",),
+    "links": ("inventors", "assignees"), "cpc": ("cpc",),
+}
+_NEEDS = {"links": ("patents", "inventors", "companies"), "cpc": ("patents",)}
+
+
+def with_sources(tables: Iterable[str]) -> set[str]:
+    """These clean tables and summaries, and the clean tables they are made from."""
+    found = set(tables)
+    if unknown := found - {*CLEAN_TABLES, *summaries.SUMMARIES}:
+        raise ValueError(f"no such tables: {sorted(unknown)}")
+    for needs in (summaries.MADE_FROM, _NEEDS):
+        found |= {source for name in found for source in needs.get(name, ())}
+    return found
+
 
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
@@ -71,23 +91,32 @@ def _stored_form(df: DataFrame, name: str) -> DataFrame:
 
 
 class _Refresh:
-    def __init__(self, spark: SparkSession, draft: Draft, fresh: Mapping[str, DataFrame], settings: dict, summarised: bool):
+    def __init__(self, spark: SparkSession, draft: Draft, fresh: Mapping[str, DataFrame], settings: dict, wanted: set[str]):
         self.spark, self.draft, self.settings = spark, draft, settings
         self.first = not draft.parts
-        self.summarised = summarised if self.first else YEARLY[0] in draft.parts
-        loaded = [] if self.first else draft.parts["raw_patents"]
-        new = {name: draft.append(_as_raw(fresh[name], name), f"raw_{name}") for name in RAW}
+        wanted = wanted if self.first else set(draft.parts)
+        self.tables = [name for name in CLEAN_TABLES if name in wanted]
+        self.summaries = [name for name in summaries.SUMMARIES if name in wanted]
+        kept = [name for name in RAW if any(name in _RAW_OF[table] for table in self.tables)]
+        told = f"raw_{kept[0]}"  # patents, unless only entities are kept
+        loaded = [] if self.first else draft.parts[told]
+        new = {name: draft.append(_as_raw(fresh[name], name), f"raw_{name}") for name in kept}
         self.new = {name: draft.read(spark, f"raw_{name}", parts) for name, parts in new.items()}
-        self.raw = {name: draft.read(spark, f"raw_{name}") for name in RAW}
+        self.raw = {name: draft.read(spark, f"raw_{name}") for name in kept}
         # rows are counted in the footers of files; a load of many is not compared with what is stored
-        self.anew = self.first or draft.written["raw_patents"] > MANY * draft.read(spark, "raw_patents", loaded).count()
+        self.anew = self.first or draft.written[told] > MANY * draft.read(spark, told, loaded).count()
 
     def run(self) -> None:
-        people = self._entities("inventors", "inventor_id", self._touched_people())
-        firms = self._entities("companies", "company_id", self._touched_firms())
+        people = firms = None
+        if "inventors" in self.tables:
+            people = self._entities("inventors", "inventor_id", self._touched_people())
+        if "companies" in self.tables:
+            firms = self._entities("companies", "company_id", self._touched_firms())
+        if "patents" not in self.tables:
+            return
         ids = None if self.anew else self._few(self.draft.stage(self._touched_patents(people, firms), "patent_ids"))
         years = self._facts(ids)
-        if self.summarised:
+        if self.summaries:
             self._summaries(years)
 
     # -- what the new rows touch ----------------------------------------------------------
@@ -103,10 +132,11 @@ class _Refresh:
     def _touched_firms(self) -> DataFrame | None:
         return None if self.anew else _ids(self.new["assignees"], "assignee_id", "company_id")
 
-    def _touched_patents(self, people: DataFrame, firms: DataFrame) -> DataFrame:
-        rows = [self.new[name] for name in ("patents", "inventors", "assignees", "cpc")]
-        rows.append(_of(self.raw["inventors"], "inventor_id", people))
-        rows.append(_of(self.raw["assignees"], "assignee_id", firms))
+    def _touched_patents(self, people: DataFrame | None, firms: DataFrame | None) -> DataFrame:
+        rows = [self.new[name] for table in _FACTS if table in self.tables for name in _RAW_OF[table]]
+        if "links" in self.tables:
+            rows.append(_of(self.raw["inventors"], "inventor_id", people))
+            rows.append(_of(self.raw["assignees"], "assignee_id", firms))
         ids = [df.filter(F.col("patent_id").isNotNull()).select(trimmed(F.col("patent_id")).alias("patent_id")) for df in rows]
         return _union(ids).distinct()
 
@@ -151,22 +181,22 @@ class _Refresh:
             patents = self.draft.read(self.spark, "patents")
         else:
             patents = self.draft.stage(patents, "patents_rows")
-        inventors = self.draft.read(self.spark, "inventors").select(CLEAN["inventors"].names)
-        companies = self.draft.read(self.spark, "companies").select(CLEAN["companies"].names)
-        rows = {
-            "patents": patents,
-            "links": _stored_form(clean.marked_links(
+        rows = {"patents": patents}
+        if "links" in self.tables:
+            inventors = self.draft.read(self.spark, "inventors").select(CLEAN["inventors"].names)
+            companies = self.draft.read(self.spark, "companies").select(CLEAN["companies"].names)
+            rows["links"] = _stored_form(clean.marked_links(
                 _of(self.raw["inventors"], "patent_id", ids), _of(self.raw["assignees"], "patent_id", ids), patents, companies, inventors,
-            ), "links"),
-            "cpc": _stored_form(clean.marked_cpc(_of(self.raw["cpc"], "patent_id", ids), patents), "cpc"),
-        }
+            ), "links")
+        if "cpc" in self.tables:
+            rows["cpc"] = _stored_form(clean.marked_cpc(_of(self.raw["cpc"], "patent_id", ids), patents), "cpc")
         if ids is None:
-            for table in _FACTS[1:]:
+            for table in rows.keys() - {"patents"}:
                 self.draft.replace(rows[table], table, "year")
             return None
         seen = self.draft.read(self.spark, "patents").join(ids, "patent_id", "left_semi").select("year")
         years = [r[0] for r in seen.unionByName(patents.select("year")).distinct().collect()]  # a few dozen
-        for table in _FACTS:
+        for table in rows:
             stored = self.draft.read(self.spark, table, self.draft.of_values(table, "year", years))
             kept = stored.join(ids, "patent_id", "left_anti")
             self.draft.replace_parts(kept.unionByName(rows[table]), table, "year", years)
@@ -176,7 +206,8 @@ class _Refresh:
         star = snapshot_star(self.spark, self.draft)
         known = [y for y in years or [] if y is not None]
         touched = star if years is None else _in_years(star, F.col("year").isin(known))
-        for name, build in summaries.SUMMARIES.items():
+        for name in self.summaries:
+            build = summaries.SUMMARIES[name]
             if name not in YEARLY:
                 self.draft.replace(build(star), name)
             elif years is None:
@@ -187,10 +218,12 @@ class _Refresh:
 
 def _in_years(star: Star, chosen: Column) -> Star:
     """The patents of some years with their facts; flags stay true, since they speak of one patent each."""
-    links, cpc = star.dated_links.filter(chosen), star.dated_cpc.filter(chosen)
+    stored = {"links": star.dated_links, "cpc": star.dated_cpc}
+    dated = {name: None if df is None else df.filter(chosen) for name, df in stored.items()}
+    facts = {name: None if df is None else df.select(CLEAN[name].names) for name, df in dated.items()}
     return Star(
         patents=star.patents.filter(chosen), inventors=star.inventors, companies=star.companies,
-        links=links.select(CLEAN["links"].names), cpc=cpc.select(CLEAN["cpc"].names), dated_links=links, dated_cpc=cpc,
+        **facts, dated_links=dated["links"], dated_cpc=dated["cpc"],
     ).as_opened()
 
 
@@ -198,31 +231,36 @@ def _settings(min_year: int, max_year: int, prefer_named: bool) -> dict:
     return {"years": (min_year, max_year), "prefer_named": prefer_named}
 
 
+def _asked(tables: Iterable[str] | None, summarised: bool) -> set[str]:
+    return with_sources((*CLEAN_TABLES, *(summaries.SUMMARIES if summarised else ())) if tables is None else tables)
+
+
 def build(
     raw: Mapping[str, DataFrame], folder: str, min_year: int = 1976, max_year: int = 2025, prefer_named: bool = False,
-    summarised: bool = True,
+    summarised: bool = True, tables: Iterable[str] | None = None,
 ) -> Snapshot:
-    """A snapshot of the raw tables alone, whatever the folder held before; with or without the summary tables."""
+    """A snapshot of the raw tables alone, whatever the folder held before; with or without the summary tables, or
+    with the clean tables and summaries named by ``tables`` and what those are made from."""
     spark = raw["patents"].sparkSession
     draft = snapshots.draft(spark, folder)
-    _Refresh(spark, draft, raw, _settings(min_year, max_year, prefer_named), summarised).run()
+    _Refresh(spark, draft, raw, _settings(min_year, max_year, prefer_named), _asked(tables, summarised)).run()
     return draft.commit(spark)
 
 
 def load(
     raw: Mapping[str, DataFrame], folder: str, min_year: int = 1976, max_year: int = 2025, prefer_named: bool = False,
-    summarised: bool = True,
+    summarised: bool = True, tables: Iterable[str] | None = None,
 ) -> Snapshot:
     """A snapshot of the raw rows loaded so far and these; the first load is a build.
 
-    Year bounds and naming must stay what they were in the first load; it decides whether there are summary tables.
+    Year bounds and naming must stay what they were in the first load; it decides which tables there are.
     """
     spark = raw["patents"].sparkSession
     before = snapshots.snapshot(spark, folder)
     if before is None:
-        return build(raw, folder, min_year, max_year, prefer_named, summarised)
+        return build(raw, folder, min_year, max_year, prefer_named, summarised, tables)
     draft = before.next()
-    _Refresh(spark, draft, raw, _settings(min_year, max_year, prefer_named), summarised).run()
+    _Refresh(spark, draft, raw, _settings(min_year, max_year, prefer_named), _asked(tables, summarised)).run()
     return draft.commit(spark)
 
 

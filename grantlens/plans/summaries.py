@@ -116,6 +116,22 @@ SUMMARIES = {
     "mv_company_cagr": company_growth,
 }
 
+# The clean tables each summary is made from; links bring patents, inventors and companies, classes bring patents.
+MADE_FROM = {
+    "mv_yearly": ("patents",),
+    "mv_country_yearly": ("links",),
+    "mv_section_yearly": ("cpc",),
+    "mv_company_total": ("links",),
+    "mv_inventor_total": ("links",),
+    "mv_company_yearly": ("links",),
+    "mv_inventor_yearly": ("links",),
+    "mv_company_section": ("links", "cpc"),
+    "mv_decade_compare": ("links",),
+    "mv_country_halfsplit": ("links",),
+    "mv_section_halfsplit": ("cpc",),
+    "mv_company_cagr": ("links",),
+}
+
 # The summaries that grow with the data and are read by year window.
 BY_YEAR = {"mv_company_yearly", "mv_inventor_yearly"}
 

@@ -105,11 +105,10 @@ def read_clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame |
 
 
 def snapshot_star(spark: SparkSession, opened: Snapshot) -> Star:
-    """The clean tables of one snapshot."""
-    tables = {name: opened.read(spark, name) for name in CLEAN_TABLES}
-    for name in FACTS:
-        tables[f"dated_{name}"] = tables[name]
-    return Star(**{name: df if name.startswith("dated") else df.select(CLEAN[name].names) for name, df in tables.items()}).as_opened()
+    """The clean tables of one snapshot; None for those it was not to keep, so that asking for them fails."""
+    stored = {name: opened.read(spark, name) if name in opened.parts else None for name in CLEAN_TABLES}
+    tables = {name: None if df is None else df.select(CLEAN[name].names) for name, df in stored.items()}
+    return Star(**tables, **{f"dated_{name}": stored[name] for name in FACTS}).as_opened()
 
 
 def read_star(spark: SparkSession, folder: str, number: int | None = None) -> Star:

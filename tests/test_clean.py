@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from star_rows import rows
-from grantlens.plans import analysis, checks
+from grantlens.plans import analysis, checks, clean
 from grantlens.plans.clean import (
     clean_inventors,
     clean_links,
@@ -199,3 +199,17 @@ def test_clean_star_passes_its_checks(star):
     report = {(r[0], r[1]): r[2] for r in checks.quality_report(star, 1976, 2025).collect()}
     # the fixture has two countries only, one fewer than a real corpus must have
     assert {check for check, n in report.items() if n} == {("inventors", "country_variety")}
+
+
+def test_patents_are_parsed_before_one_sort(spark):
+    """Rows are sorted once, after the shuffle, and the filter on the year names the date once."""
+    raw = spark.createDataFrame(
+        [("p1", "\t1999-01-02 \n", "a"), ("p1", "\x0b1998/3/4\f", "b"), ("p2", "2001-01-01", "c"), ("p3", "1995-12-31", "d"),
+         ("p4", "1996-01-01", "e"), ("p5", "2000-12-31", "f"), ("p6", "1998", "g")],
+        "patent_id string, patent_date string, patent_title string").localCheckpoint()
+    found = clean.clean_patents(raw, 1996, 2000)
+    assert sorted((r[0], r[1], r[4]) for r in found.collect()) == [
+        ("p1", "b", 1998), ("p4", "e", 1996), ("p5", "f", 2000), ("p6", "g", None)]
+    plan = clean.clean_patents(raw, 1996, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    assert plan.count("patent_date#") == 4  # the scan, the filter, and the date and the year, which one parse serves

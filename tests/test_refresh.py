@@ -1,6 +1,7 @@
 """Snapshots and refreshes: what a stopped build leaves behind, and refreshed stars against full builds."""
 
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from grantlens.plans import checks, clean, refresh, summaries
 from grantlens.schemas import RAW
 from grantlens.sources import snapshots, synthetic
-from grantlens.sources.warehouse import read_star
+from grantlens.sources.warehouse import read_star, snapshot_star
 from star_rows import rows
 
 # The columns the rows below give.
@@ -212,3 +213,35 @@ def test_a_load_of_very_many_rows_looks_nothing_up(spark, loaded, tmp_path, monk
     got, want = content(spark, folder), content(spark, whole)
     for name in want:
         assert got[name] == want[name], name
+
+
+def test_a_star_of_some_tables_keeps_only_what_they_need(spark, loaded, tmp_path, monkeypatch):
+    """Two loads of some tables equal the same tables of all, few touched or many."""
+    more = {name: [r for case in sorted(SECOND) for r in SECOND[case].get(name, [])] for name in RAW}
+    folder = loaded("all-tables")
+    refresh.load(frames(spark, more), folder, 1976, 2025)
+    want = content(spark, folder)
+    for wanted, raws, many in (
+        (["mv_yearly"], {"patents"}, 0.5), (["mv_section_yearly"], {"patents", "cpc"}, 1000),
+        (["inventors", "companies"], {"inventors", "assignees", "locations"}, 1000), (["links"], set(RAW) - {"cpc"}, 1000),
+    ):
+        monkeypatch.setattr(refresh, "MANY", many)
+        target = str(tmp_path / wanted[0])
+        refresh.load(frames(spark, FIRST), target, 1976, 2025, tables=wanted)
+        after = refresh.load(frames(spark, more), target, 1976, 2025)
+        got = content(spark, target)
+        assert set(got) == refresh.with_sources(wanted)
+        assert got == {table: want[table] for table in got}, wanted
+        assert {p for p in after.parts if p.startswith("raw_")} == {f"raw_{r}" for r in raws}, wanted
+    with pytest.raises(ValueError, match="no such tables"):
+        refresh.load(frames(spark, FIRST), str(tmp_path / "wrong"), 1976, 2025, tables=["patent"])
+
+
+def test_summaries_name_the_tables_they_read(spark, loaded):
+    opened = snapshots.snapshot(spark, loaded("sources"))
+    assert summaries.MADE_FROM.keys() == summaries.SUMMARIES.keys()
+    for name, build in summaries.SUMMARIES.items():
+        kept = {t: p for t, p in opened.parts.items() if t in refresh.with_sources([name])}
+        star = snapshot_star(spark, replace(opened, parts=kept))
+        stored = opened.read(spark, name)
+        assert rows(build(star).select(stored.columns)) == rows(stored), name
