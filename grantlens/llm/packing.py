@@ -58,32 +58,30 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        last = max(self.tokenizer.get_vocab().values())
+        self.bytes_of = [k.to_bytes(4, "little") for k in range(last + 1)]
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.asarray(c.ids, dtype="<u4").tobytes() for c in coded]
+    def _encode(self, word: bytes) -> bytes:
+        # one by one: a batch of few words would wake a thread on every core of the machine
+        return b"".join([self.bytes_of[k] for k in self.tokenizer.encode(word.decode(), add_special_tokens=False).ids])
 
     def _merge(self, word: bytes) -> bytes:
         """Ids of a word of lower-case letters, which only the merges have to look at."""
-        tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(_BYTE_SIGNS))
-        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        signs = word.decode() if word.isascii() else word.decode("latin-1").translate(_BYTE_SIGNS)
+        return b"".join([self.bytes_of[t.id] for t in self.tokenizer.model.tokenize(signs)])
 
     def _learn(self, words: set[bytes]) -> None:
         """A mark after an ASCII letter or digit is a token of its own: stem and mark are learned apart."""
         known = self.known
         ends = [w for w in words if w[-1:] in b".," and len(w) > 1 and w[-2:-1].isalnum()]
         plain = words.difference(ends).union([w[:-1] for w in ends], (b".", b",") if ends else ())
-        others = []
-        for w in plain:
-            if w in known:
-                continue
-            letters = w.decode()
-            if letters.isalpha() and letters == letters.lower() and is_normalized("NFC", letters):
-                known[w] = self._merge(w)
+        for w in plain.difference(known):
+            if w.isascii():
+                merges = w.isalpha() and w.islower()
             else:
-                others.append(w)
-        if others:
-            known.update(zip(others, self._encode(others), strict=True))
+                letters = w.decode()
+                merges = letters.isalpha() and letters == letters.lower() and is_normalized("NFC", letters)
+            known[w] = self._merge(w) if merges else self._encode(w)
         for w in ends:
             known[w] = known[w[:-1]] + known[w[-1:]]
 
@@ -93,13 +91,13 @@ class WordCoder:
             raw = raw.lower()
         words = raw.split()
         known = self.known
-        missing = {w for w in words if w not in known}
+        missing = set(words).difference(known)
         if missing:
             if len(known) > REMEMBERED:
                 known.clear()
                 missing = set(words)
             self._learn(missing)
-        return b"".join([known[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, piece: int = PIECE) -> DataFrame:

@@ -81,3 +81,20 @@ def test_edges(edge_docs, tokenizer):
 
 def test_empty(empty_docs):
     assert packing.pack(empty_docs, PATH).count() == 0
+
+
+def test_few_words_are_encoded_without_threads_of_their_own():
+    """A batch of few words wakes a thread on every core; ids equal those of whole texts, with signs beyond ASCII too."""
+    coder = packing.WordCoder(PATH)
+    whole = coder.tokenizer
+
+    class Plain:
+        model = whole.model
+
+        def encode(self, text, **options):
+            return whole.encode(text, **options)
+
+    coder.tokenizer = Plain()  # has no encode_batch
+    for text in ("one two, ünder 12-34 Über ﬁne x.y É é <|a|> A", "naïve 漢字 \U0001F600 it's UPPER lower.", ""):
+        want = np.asarray(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert coder.encode(text) == want == coder.encode(text)
